@@ -184,13 +184,13 @@ def not_empty(dataset: str) -> Check:
 
 def non_negative(name: str, dataset: str) -> Check:
     return _violations(
-        f"{name}_negative", ERROR, F.col(name) < 0, name, f" negative values in {dataset}.{name}"
+        f"{dataset}.{name}_negative", ERROR, F.col(name) < 0, name, f" negative values in {dataset}.{name}"
     )
 
 
 def percentage(name: str, dataset: str) -> Check:
     return _violations(
-        f"{name}_invalid",
+        f"{dataset}.{name}_invalid",
         WARNING,
         (F.col(name) < 0) | (F.col(name) > 100),
         name,

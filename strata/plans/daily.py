@@ -6,6 +6,7 @@ A plain function; scheduling, retries and fetching stay outside.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import datetime
 from functools import reduce
@@ -85,11 +86,12 @@ def build_gold(
         stored = storage.staging(layout.gold)
         rollup.base_for(source, covered, grain).write.parquet(stored)
         base = spark.read.parquet(stored)
-        for r in covered:
-            table = rollup.rollup(base, r)
-            written[r.name] = tables.write_snapshot(
-                table, layout.gold, r.name, date, layout.fmt, now
-            )
+        write = lambda r: tables.write_snapshot(
+            rollup.rollup(base, r), layout.gold, r.name, date, layout.fmt, now
+        )
+        # The tables are small and independent: their jobs run side by side.
+        with ThreadPoolExecutor(len(covered)) as pool:
+            written.update(zip([r.name for r in covered], pool.map(write, covered)))
         storage.delete(spark, stored)
     return written
 

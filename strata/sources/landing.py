@@ -23,6 +23,7 @@ from strata.sources import storage
 RUN_PATTERN = (
     r"/([^/]+?)_bronze_([^/]+)_(\d{4}-\d{2}-\d{2})_(\d{8}_\d{6}(?:_\d{6})?)\.jsonl?(?:/|$)"
 )
+RUN_DIGITS = r"(\d{4})(\d{2})(\d{2})(\d{2})(\d{2})(\d{2})(\d{6})"
 
 # JSON text of values that count as an empty record.
 EMPTY_RECORDS = ("", "{}", "[]", "null", "false", "0", "0.0", "-0", "-0.0")
@@ -109,9 +110,11 @@ def _text_of(
 
 
 def _run_columns(path: Column) -> list[Column]:
+    # Runs named to the second get a zero fraction.
     digits = F.rpad(F.regexp_replace(F.regexp_extract(path, RUN_PATTERN, 4), "_", ""), 20, "0")
+    iso = F.regexp_replace(digits, RUN_DIGITS, "$1-$2-$3 $4:$5:$6.$7")
     return [
-        F.try_to_timestamp(digits, F.lit("yyyyMMddHHmmssSSSSSS")).alias("_ingest_ts"),
+        iso.try_cast("timestamp").alias("_ingest_ts"),
         F.regexp_extract(path, RUN_PATTERN, 2).alias("_source"),
         F.regexp_extract(path, RUN_PATTERN, 3).alias("_ingestion_date"),
     ]
