@@ -1,0 +1,132 @@
+import pytest
+from pyspark.sql import functions as F
+
+from strata.functions import quality, text
+from strata.operators import records
+
+
+def column(spark, values, kind="string"):
+    return spark.createDataFrame([(v,) for v in values], f"c {kind}")
+
+
+def applied(df, expression):
+    return [r[0] for r in df.select(expression).collect()]
+
+
+def test_trim_strips_spaces_only(spark):
+    df = column(spark, ["  Test Name  ", "\tkept\t", " \n "])
+    assert applied(df, text.trimmed(F.col("c"))) == ["Test Name", "\tkept\t", "\n"]
+
+
+def test_empty_to_null(spark):
+    assert applied(column(spark, ["", "x", None]), text.empty_to_null(F.col("c"))) == [None, "x", None]
+
+
+def test_mapping_rules_apply_in_sequence():
+    assert text.resolve_mapping({"A": "b", "b": "C", "c": "d"}) == {"a": "d", "b": "d", "c": "d"}
+    assert text.resolve_mapping({"b": "c", "a": "b"}) == {"b": "c", "a": "b"}
+    assert text.resolve_mapping({"x": "y", "X": "z"}) == {"x": "y"}
+    assert text.resolve_mapping({"a": "A", "A": "b"}) == {"a": "b"}
+
+
+def test_mapped_is_case_insensitive_and_passes_others(spark):
+    df = column(spark, ["USA", "United States", "Canada", None])
+    rules = {"usa": "United States", "united states": "United States"}
+    assert applied(df, text.mapped(F.col("c"), rules)) == ["United States", "United States", "Canada", None]
+
+
+@pytest.mark.parametrize(
+    "value, digits, formatted",
+    [
+        ("303-555-1234", "3035551234", "(303) 555-1234"),
+        ("(303) 555 1234", "3035551234", "(303) 555-1234"),
+        ("+1 303 555 1234", "13035551234", "13035551234"),
+        ("N/A", "", ""),
+        (None, None, None),
+    ],
+)
+def test_phone(spark, value, digits, formatted):
+    df = column(spark, [value])
+    stripped = text.digits_only(F.col("c"))
+    assert applied(df, stripped) == [digits]
+    assert applied(df, text.us_phone(stripped)) == [formatted]
+
+
+def test_postal_code_loses_one_trailing_dash(spark):
+    df = column(spark, ["48450-", "48450--", "48450-1234", "-"])
+    assert applied(df, text.without_trailing_dash(F.col("c"))) == ["48450", "48450-", "48450-1234", ""]
+
+
+@pytest.mark.parametrize(
+    "value, valid",
+    [
+        ('[{"a": 1}]', True), ("{}", True), ("null", True), ('"x"', True), ("[1, 2]\n", True),
+        ("{bad", False), ("", False), ("[1] x", False), ("[1],[2]", False), ("1],[2", False),
+        ('1},{"v":2', False), ('[{"a":1},{bad]', False), (None, False),
+    ],
+)
+def test_is_json_accepts_exactly_one_value(spark, value, valid):
+    assert applied(column(spark, [value]), text.is_json(F.col("c"))) == [valid]
+
+
+def test_coordinates(spark):
+    pairs = [(40.0, -74.0), (200.0, 0.0), (None, 1.0), (0.0, 181.0), (float("nan"), 0.0), (90.0, -180.0)]
+    df = spark.createDataFrame(pairs, "lat double, lon double")
+    flags = applied(df, quality.valid_coordinates(F.col("lat"), F.col("lon")))
+    assert flags == [True, False, False, False, False, True]
+
+
+def test_bands(spark):
+    df = column(spark, [100, 80, 79, 50, 40, 0, None], "int")
+    assert applied(df, quality.score_band(F.col("c"))) == [
+        "Excellent", "Excellent", "Good", "Fair", "Fair", "Poor", None,
+    ]
+    strict = quality.score_band(F.col("c"), quality.BANDS_90_75_50)
+    assert applied(df, strict) == ["Excellent", "Good", "Good", "Fair", "Poor", "Poor", None]
+
+
+# --- record converters -------------------------------------------------------------------
+
+
+def test_float_from_mixed_text(spark):
+    df = column(spark, ["40", "36.5", "-74.5", None, "invalid", "", "1e3"])
+    out = records.convert_fields_to_float(df, ["c", "absent"])
+    assert [r.c for r in out.collect()] == [40.0, 36.5, -74.5, None, None, None, 1000.0]
+
+
+def test_float_from_numbers(spark):
+    df = spark.createDataFrame([(1, 2.5, True)], "a int, b double, d boolean")
+    assert records.convert_fields_to_float(df, ["a", "b", "d"]).first() == (1.0, 2.5, 1.0)
+
+
+def test_float_skip_keeps_the_original(spark):
+    out = records.convert_fields_to_float(column(spark, ["1.5", "n/a"]), ["c"], "skip")
+    assert [tuple(r) for r in out.collect()] == [("1.5", 1.5), ("n/a", None)]
+
+
+def test_raise_names_field_and_value(spark):
+    out = records.convert_fields_to_float(column(spark, ["1", None, "oops"]), ["c"], "raise")
+    with pytest.raises(Exception, match="Failed to convert c=oops to float"):
+        out.collect()
+    fine = records.convert_fields_to_int(column(spark, ["1", None]), ["c"], "raise")
+    assert [r.c for r in fine.collect()] == [1, None]
+
+
+def test_int_truncates_toward_zero(spark):
+    df = column(spark, ["42", "42.7", "-42.7", "x", "inf", "nan", "1e30"])
+    out = records.convert_fields_to_int(df, ["c"])
+    assert [r.c for r in out.collect()] == [42, 42, -42, None, None, None, None]
+    assert out.schema["c"].dataType.simpleString() == "bigint"
+
+
+def test_unknown_on_error_is_rejected(spark):
+    for convert in (records.convert_fields_to_float, records.convert_fields_to_int):
+        with pytest.raises(ValueError, match="Invalid on_error"):
+            convert(column(spark, ["1"]), ["c"], "ignore")
+
+
+def test_normalize_empty_strings(spark):
+    df = spark.createDataFrame([("", " ", "", 0)], "a string, b string, c string, n int")
+    assert records.normalize_empty_strings(df).first() == (None, " ", None, 0)
+    assert records.normalize_empty_strings(df, []).first() == (None, " ", None, 0)
+    assert records.normalize_empty_strings(df, ["a", "absent"]).first() == (None, " ", "", 0)
