@@ -7,7 +7,7 @@ plain metrics.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
@@ -30,40 +30,39 @@ RESULT_SCHEMA = (
 class Check:
     """An aggregate, the test of its value and the message of a failure.
 
-    ``fails`` and ``message`` receive the aggregated value. ``alone`` marks an aggregate
-    over distinct values: it gets its own narrow pass, because carrying every other
-    counter along with each distinct key would widen the largest shuffle.
+    ``fails`` is a SQL condition on ``{v}``, the aggregated value as double; ``message`` is
+    a ``format_string`` pattern that may use that value. ``alone`` marks an aggregate over
+    distinct values: it gets its own narrow pass, because carrying every other counter
+    along with each distinct key would widen the largest shuffle.
     """
 
     metric: str
     severity: str
     observed: Column
-    fails: Callable[[Column], Column] = lambda value: F.lit(False)
-    message: Callable[[Column], Column] = lambda value: F.lit(None).cast("string")
+    fails: str = "false"
+    message: str = ""
     field: str | None = None
     bound: float | None = None
     alone: bool = False
 
 
-def _whole(value: Column) -> Column:
-    return value.cast("bigint").cast("string")
+def _literal(value: str | float | None) -> str:
+    if value is None:
+        return "NULL"
+    if isinstance(value, str):
+        return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    return repr(float(value)) + "D"
 
 
-def _text(*parts: str | Column) -> Column:
-    return F.concat(*[F.lit(p) if isinstance(p, str) else p for p in parts])
+def _plain(name: str) -> str:
+    """A name as text inside a ``format_string`` pattern."""
+    return name.replace("%", "%%")
 
 
-def _violations(metric, severity, broken: Column, field: str, text: str) -> Check:
+def _violations(metric: str, severity: str, broken: Column, field: str, what: str) -> Check:
     """Check that no row satisfies ``broken``."""
-    return Check(
-        metric,
-        severity,
-        F.count_if(broken),
-        lambda v: v > 0,
-        lambda v: _text("Found ", _whole(v), text),
-        field,
-        0,
-    )
+    message = f"Found %.0f {_plain(what)}"
+    return Check(metric, severity, F.count_if(broken), "{v} > 0", message, field, 0)
 
 
 def evaluate(df: DataFrame, checks: Sequence[Check], layer: str, dataset: str) -> DataFrame:
@@ -75,24 +74,18 @@ def evaluate(df: DataFrame, checks: Sequence[Check], layer: str, dataset: str) -
 
 def _result_rows(df: DataFrame, checks: Sequence[Check], layer: str, dataset: str) -> DataFrame:
     wide = df.agg(*[c.observed.cast("double").alias(f"_{i}") for i, c in enumerate(checks)])
-    rows = []
-    for i, check in enumerate(checks):
-        value = F.col(f"_{i}")
-        failed = F.coalesce(check.fails(value), F.lit(False))
-        rows.append(
-            F.struct(
-                F.lit(layer).alias("layer"),
-                F.lit(dataset).alias("dataset"),
-                F.lit(check.metric).alias("metric"),
-                F.lit(check.field).cast("string").alias("field"),
-                F.lit(check.severity).alias("severity"),
-                value.alias("observed"),
-                F.lit(check.bound).cast("double").alias("bound"),
-                (~failed).alias("passed"),
-                F.when(failed, check.message(value)).alias("message"),
-            )
-        )
-    return wide.select(F.inline(F.array(*rows)))
+    rows = [_result_row(c, f"_{i}", layer, dataset) for i, c in enumerate(checks)]
+    return wide.selectExpr(f"inline(array({', '.join(rows)}))")
+
+
+def _result_row(check: Check, value: str, layer: str, dataset: str) -> str:
+    failed = f"coalesce({check.fails.format(v=value)}, false)"
+    return f"""named_struct(
+        'layer', {_literal(layer)}, 'dataset', {_literal(dataset)},
+        'metric', {_literal(check.metric)}, 'field', CAST({_literal(check.field)} AS STRING),
+        'severity', {_literal(check.severity)}, 'observed', {value},
+        'bound', CAST({_literal(check.bound)} AS DOUBLE), 'passed', NOT {failed},
+        'message', if({failed}, format_string({_literal(check.message)}, {value}), NULL))"""
 
 
 def failed_row(
@@ -117,8 +110,8 @@ def unique(key: str) -> Check:
         "duplicate_count",
         ERROR,
         F.count("*") - F.count_distinct(key) - null_key,
-        lambda v: v > 0,
-        lambda v: _text("Found ", _whole(v), f" duplicate values in '{key}'"),
+        "{v} > 0",
+        f"Found %.0f duplicate values in '{_plain(key)}'",
         key,
         0,
         alone=True,
@@ -130,8 +123,8 @@ def required(name: str, severity: str = ERROR) -> Check:
         f"{name}_null_count",
         severity,
         F.count_if(F.col(name).isNull()),
-        lambda v: v > 0,
-        lambda v: _text(f"Field '{name}' has ", _whole(v), " null values"),
+        "{v} > 0",
+        f"Field '{_plain(name)}' has %.0f null values",
         name,
         0,
     )
@@ -145,7 +138,7 @@ def in_range(name: str, low: float, high: float) -> Check:
         WARNING,
         (value < low) | (value > high),
         name,
-        f" records with '{name}' outside range [{low}, {high}]",
+        f"records with '{name}' outside range [{low}, {high}]",
     )
 
 
@@ -155,36 +148,28 @@ def allowed(name: str, values: Sequence[str]) -> Check:
         WARNING,
         F.col(name).isNotNull() & ~F.col(name).isin(list(values)),
         name,
-        f" records with '{name}' having values outside allowed set",
+        f"records with '{name}' having values outside allowed set",
     )
 
 
 def mean_at_least(name: str, bound: float, metric: str) -> Check:
     """No rows, no mean, nothing to warn about."""
-    return Check(
-        metric,
-        WARNING,
-        F.avg(name),
-        lambda v: v < bound,
-        lambda v: _text("Average ", F.format_string("%.2f", v), f" of '{name}' below threshold {bound}"),
-        name,
-        bound,
-    )
+    message = f"Average %.2f of '{_plain(name)}' below threshold {bound}"
+    return Check(metric, WARNING, F.avg(name), f"{{v}} < {bound}", message, name, bound)
 
 
 def not_empty(dataset: str) -> Check:
-    return Check(
-        f"{dataset}_count",
-        WARNING,
-        F.count("*"),
-        lambda v: v == 0,
-        lambda v: F.lit(f"Aggregation '{dataset}' has no records"),
-    )
+    message = f"Aggregation '{_plain(dataset)}' has no records"
+    return Check(f"{dataset}_count", WARNING, F.count("*"), "{v} = 0", message)
 
 
 def non_negative(name: str, dataset: str) -> Check:
     return _violations(
-        f"{dataset}.{name}_negative", ERROR, F.col(name) < 0, name, f" negative values in {dataset}.{name}"
+        f"{dataset}.{name}_negative",
+        ERROR,
+        F.col(name) < 0,
+        name,
+        f"negative values in {dataset}.{name}",
     )
 
 
@@ -194,7 +179,7 @@ def percentage(name: str, dataset: str) -> Check:
         WARNING,
         (F.col(name) < 0) | (F.col(name) > 100),
         name,
-        f" invalid percentages in {dataset}.{name}",
+        f"invalid percentages in {dataset}.{name}",
     )
 
 
@@ -204,8 +189,8 @@ def complete(name: str, ratio: float) -> Check:
         f"{name}_completeness",
         WARNING,
         F.avg(F.col(name).isNotNull().cast("double")),
-        lambda v: v < ratio,
-        lambda v: _text(f"'{name}' is only ", F.format_string("%.4f", v), " complete"),
+        f"{{v}} < {ratio}",
+        f"'{_plain(name)}' is only %.4f complete",
         name,
         ratio,
     )
@@ -267,37 +252,25 @@ def check_landed(files: DataFrame, spec: QualitySpec, dataset: str) -> DataFrame
     limit = spec.min_landed
     checks = [
         Check("file_count", INFO, F.count("*")),
-        _violations("invalid_json_count", ERROR, ~F.col("valid"), "path", " files with invalid JSON"),
+        _violations("invalid_json_count", ERROR, ~F.col("valid"), "path", "files with invalid JSON"),
         _violations(
             "non_array_count",
             WARNING,
             F.col("valid") & ~F.col("is_array"),
             "path",
-            " files that are not a JSON array",
+            "files that are not a JSON array",
         ),
         Check(
             "record_count",
             ERROR,
             records,
-            lambda v: v < limit,
-            lambda v: _text("Record count ", _whole(v), f" below threshold {limit}"),
+            f"{{v}} < {limit}",
+            f"Record count %.0f below threshold {limit}",
             bound=limit,
         ),
+        Check("empty_record_count", WARNING, empty, "{v} > 0", "Found %.0f empty records", bound=0),
         Check(
-            "empty_record_count",
-            WARNING,
-            empty,
-            lambda v: v > 0,
-            lambda v: _text("Found ", _whole(v), " empty records"),
-            bound=0,
-        ),
-        Check(
-            "filled_record_count",
-            ERROR,
-            records - empty,
-            lambda v: v == 0,
-            lambda v: F.lit("All records are empty"),
-            bound=1,
+            "filled_record_count", ERROR, records - empty, "{v} = 0", "All records are empty", bound=1
         ),
     ]
     return evaluate(per_file, checks, "bronze", dataset)
@@ -322,8 +295,8 @@ def check_sum_matches_source(
         f"{measure}_difference",
         ERROR,
         F.max("difference"),
-        lambda v: v != 0,
-        lambda v: _text(f"Sum of {dataset}.{measure} differs from source by ", _whole(v)),
+        "{v} <> 0",
+        f"Sum of {_plain(dataset)}.{_plain(measure)} differs from source by %.0f",
         measure,
         0,
     )
@@ -347,8 +320,8 @@ def check_dimensions_present(
         "missing_dimensions",
         ERROR,
         F.count("*"),
-        lambda v: v > 0,
-        lambda v: _text(_whole(v), f" dimension values missing from {dataset}"),
+        "{v} > 0",
+        f"%.0f dimension values missing from {_plain(dataset)}",
         ",".join(dimensions),
         0,
     )
@@ -369,7 +342,7 @@ def check_presence(found: DataFrame, expected: DataFrame, layer: str) -> DataFra
         F.coalesce("_found", F.lit(0.0)).alias("observed"),
         F.lit(1.0).alias("bound"),
         (~missing).alias("passed"),
-        F.when(missing, _text("Missing ", F.col("dataset"), " for ", F.col("date"))).alias("message"),
+        F.when(missing, F.format_string("Missing %s for %s", "dataset", "date")).alias("message"),
     )
 
 

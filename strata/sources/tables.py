@@ -198,8 +198,8 @@ def append_metrics(
 ) -> None:
     """Append one JSON line with a timestamp. Nested values are stored as JSON objects."""
     event = {**metrics, "timestamp": (now or datetime.now()).isoformat()}
-    line = spark.createDataFrame([(json.dumps(event, default=str),)], "value string")
-    line.coalesce(1).write.mode("append").text(path)
+    line = spark.range(0, 1, 1, 1).select(F.lit(json.dumps(event, default=str)).alias("value"))
+    line.write.mode("append").text(path)
 
 
 def read_metrics(spark: SparkSession, path: str, schema: str) -> DataFrame:
