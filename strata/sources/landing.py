@@ -11,19 +11,19 @@ Two layouts, told apart by extension:
 
 from __future__ import annotations
 
+import re
+from dataclasses import dataclass
 from datetime import datetime
 from functools import reduce
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from strata.functions.text import is_json
 from strata.sources import storage
 
-RUN_PATTERN = (
-    r"/([^/]+?)_bronze_([^/]+)_(\d{4}-\d{2}-\d{2})_(\d{8}_\d{6}(?:_\d{6})?)\.jsonl?(?:/|$)"
-)
-RUN_DIGITS = r"(\d{4})(\d{2})(\d{2})(\d{2})(\d{2})(\d{2})(\d{6})"
+RUN_PATTERN = r"(.+?)_bronze_(.+)_(\d{4}-\d{2}-\d{2})_(\d{8})_(\d{6})(?:_(\d{6}))?\.jsonl?"
 
 # JSON text of values that count as an empty record.
 EMPTY_RECORDS = ("", "{}", "[]", "null", "false", "0", "0.0", "-0", "-0.0")
@@ -84,24 +84,23 @@ def append_records(
 
 def runs(
     spark: SparkSession, landing: str, date: str | None = None, source: str | None = None
-) -> list[str]:
-    """Names of the runs of one date (or of all dates)."""
-    found = storage.names(spark, f"{landing.rstrip('/')}/*_bronze_{source or '*'}_{date or '*'}_*")
-    return [n for n in found if n.endswith((".json", ".jsonl")) and not n.startswith("_")]
-
-
-def _text_of(
-    spark: SparkSession, landing: str, date: str | None, source: str | None
-) -> dict[str, DataFrame]:
-    """Per layout, the raw text of all matching runs with its file path."""
+) -> list[Run]:
+    """The runs of one date (or of all dates)."""
     if not storage.exists(spark, landing):
         raise FileNotFoundError(f"Landing folder does not exist: {landing}")
-    found = runs(spark, landing, date, source)
+    names = storage.names(spark, f"{landing.rstrip('/')}/*_bronze_*.json*")
+    every = [run for run in map(Run.named, names) if run]
+    found = [r for r in every if date in (None, r.date) and source in (None, r.source)]
     if not found:
         raise FileNotFoundError(f"No landed data for {date or 'any date'} in {landing}")
+    return found
+
+
+def _text_of(spark: SparkSession, landing: str, found: list[Run]) -> dict[str, DataFrame]:
+    """Per layout, the raw text of the runs with its file path."""
     texts = {}
     for extension, whole in ((".json", True), (".jsonl", False)):
-        paths = [f"{landing.rstrip('/')}/{n}" for n in found if n.endswith(extension)]
+        paths = [f"{landing.rstrip('/')}/{r.name}" for r in found if r.name.endswith(extension)]
         if paths:
             texts[extension] = spark.read.text(paths, wholetext=whole).select(
                 "value", F.col("_metadata.file_path").alias("_path")
@@ -109,15 +108,43 @@ def _text_of(
     return texts
 
 
-def _run_columns(path: Column) -> list[Column]:
-    # Runs named to the second get a zero fraction.
-    digits = F.rpad(F.regexp_replace(F.regexp_extract(path, RUN_PATTERN, 4), "_", ""), 20, "0")
-    iso = F.regexp_replace(digits, RUN_DIGITS, "$1-$2-$3 $4:$5:$6.$7")
-    return [
-        iso.try_cast("timestamp").alias("_ingest_ts"),
-        F.regexp_extract(path, RUN_PATTERN, 2).alias("_source"),
-        F.regexp_extract(path, RUN_PATTERN, 3).alias("_ingestion_date"),
-    ]
+@dataclass(frozen=True)
+class Run:
+    """What the name of a run says about it."""
+
+    name: str
+    dataset: str
+    source: str
+    date: str
+    landed_at: datetime
+
+    @classmethod
+    def named(cls, name: str) -> Run | None:
+        match = re.fullmatch(RUN_PATTERN, name)
+        if match is None:
+            return None
+        dataset, source, date, day, time, micros = match.groups()
+        landed_at = datetime.strptime(f"{day}{time}{micros or '000000'}", "%Y%m%d%H%M%S%f")
+        return cls(name, dataset, source, date, landed_at)
+
+
+def _with_run(spark: SparkSession, records: DataFrame, landing: str, found: list[Run]) -> DataFrame:
+    """Add the run columns. The runs are a small local table: one hash lookup per record
+    instead of several regular expressions, broadcast while Spark finds it small enough."""
+    root = storage.url_path(spark, landing).rstrip("/") + "/"
+    name = F.substring_index(F.substring_index("_path", root, -1), "/", 1)
+    known = pa.table(
+        {
+            "_run": [r.name for r in found],
+            "_landed_at": [r.landed_at.isoformat(sep=" ") for r in found],
+            "_source": [r.source for r in found],
+            "_ingestion_date": [r.date for r in found],
+        }
+    )
+    described = spark.createDataFrame(known).withColumn(
+        "_ingest_ts", F.col("_landed_at").cast("timestamp")
+    )
+    return records.withColumn("_run", name).join(described, "_run", "left")
 
 
 def _array(strict: bool) -> Column:
@@ -146,8 +173,8 @@ def scan(
     """
     if on_invalid not in ("raise", "skip"):
         raise ValueError(f"on_invalid must be 'raise' or 'skip', not {on_invalid!r}")
-    parts = []
-    for extension, text in _text_of(spark, landing, date, source).items():
+    found, parts = runs(spark, landing, date, source), []
+    for extension, text in _text_of(spark, landing, found).items():
         if extension == ".json":
             records = text.select(
                 "_path", F.posexplode(_array(on_invalid == "raise")).alias("_position", "payload")
@@ -157,9 +184,11 @@ def scan(
                 "_path", F.lit(None).cast("int").alias("_position"), F.col("value").alias("payload")
             )
         parts.append(records)
-    return reduce(DataFrame.unionByName, parts).select(
+    return _with_run(spark, reduce(DataFrame.unionByName, parts), landing, found).select(
         "payload",
-        *_run_columns(F.col("_path")),
+        "_ingest_ts",
+        "_source",
+        "_ingestion_date",
         "_position",
         F.xxhash64("payload").alias("_record_hash"),
     )
@@ -173,8 +202,8 @@ def inventory(
     spark: SparkSession, landing: str, date: str | None = None, source: str | None = None
 ) -> DataFrame:
     """``(path, valid, is_array, records, empty_records)`` per array file or per record line."""
-    parts = []
-    for extension, text in _text_of(spark, landing, date, source).items():
+    found, parts = runs(spark, landing, date, source), []
+    for extension, text in _text_of(spark, landing, found).items():
         path = F.col("_path").alias("path")
         if extension == ".json":
             valid = text.select("value", path, is_json(F.col("value")).alias("valid"))
@@ -214,7 +243,8 @@ def found_files(spark: SparkSession, root: str, pattern: str = "*") -> DataFrame
 
 def landed_dates(files: DataFrame) -> DataFrame:
     """Distinct ``(dataset, date)`` of landed files."""
+    pattern = f"/{RUN_PATTERN.replace('(.+?)', '([^/]+?)', 1)}(?:/|$)"
     return files.select(
-        F.regexp_extract("path", RUN_PATTERN, 1).alias("dataset"),
-        F.regexp_extract("path", RUN_PATTERN, 3).alias("date"),
+        F.regexp_extract("path", pattern, 1).alias("dataset"),
+        F.regexp_extract("path", pattern, 3).alias("date"),
     ).distinct()

@@ -19,6 +19,12 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
+def url_path(spark: SparkSession, path: str) -> str:
+    """Absolute path, encoded as in ``_metadata.file_path``, without scheme and host."""
+    fs, p = _file_system(spark, path)
+    return fs.makeQualified(p).toUri().getRawPath()
+
+
 def names(spark: SparkSession, pattern: str) -> list[str]:
     """Last path components matching a glob. The number of runs and snapshots bounds it."""
     fs, p = _file_system(spark, pattern)
