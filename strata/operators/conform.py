@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -105,6 +105,9 @@ def standardize(df: DataFrame, spec: StandardizeSpec) -> DataFrame:
         (spec.trailing_dash, text.without_trailing_dash),
     ):
         df = df.withColumns({n: rule(F.col(n)) for n in names if n in present})
+    if spec.blank_results_to_null:
+        ruled = {*spec.digits_only, *spec.us_phone, *spec.trailing_dash} & present
+        df = df.withColumns({n: text.empty_to_null(F.col(n)) for n in sorted(ruled)})
     return df
 
 
@@ -136,16 +139,25 @@ def stamp(df: DataFrame, layer: str = "silver") -> DataFrame:
     return df.withColumns({"_processing_timestamp": F.current_timestamp(), "_layer": F.lit(layer)})
 
 
-def conform(df: DataFrame, spec: DatasetSpec) -> DataFrame:
+# A step of the chain: (rows, declaration) -> rows.
+Step = Callable[[DataFrame, DatasetSpec], DataFrame]
+
+# Flags come after the defaults, so a defaulted value counts as present.
+STEPS: tuple[Step, ...] = (
+    lambda df, spec: enforce_types(df, spec.fields),
+    lambda df, spec: require_columns(df, spec.required),
+    lambda df, spec: standardize(df, spec.standardize),
+    lambda df, spec: fill_defaults(df, spec.defaults),
+    lambda df, spec: add_quality(df, spec.score),
+    lambda df, spec: stamp(df),
+)
+
+
+def conform(df: DataFrame, spec: DatasetSpec, steps: Sequence[Step] = STEPS) -> DataFrame:
     """Parsed, de-duplicated text columns -> typed, standardised, scored rows.
 
-    Flags come after the defaults, so a defaulted value counts as present.
+    Pass other ``steps`` to replace or extend the chain for a dataset.
     """
-    return (
-        df.transform(enforce_types, spec.fields)
-        .transform(require_columns, spec.required)
-        .transform(standardize, spec.standardize)
-        .transform(fill_defaults, spec.defaults)
-        .transform(add_quality, spec.score)
-        .transform(stamp)
-    )
+    for step in steps:
+        df = step(df, spec)
+    return df

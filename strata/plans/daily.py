@@ -14,14 +14,11 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.operators import checks, conform, dedup, rollup
+from strata.operators import checks, conform, rollup
 from strata.operators.parse import parse_payload
 from strata.plans.specs import DatasetSpec
 from strata.sources import landing, storage, tables
 
-RUN_COLUMNS = ("_ingest_ts", "_position", "_record_hash")
-
-
 @dataclass(frozen=True)
 class Layout:
     """Where a dataset lives. ``fmt`` is the format of the silver and gold tables."""
@@ -44,18 +41,26 @@ class Layout:
 def load_latest(
     spark: SparkSession, spec: DatasetSpec, layout: Layout, date: str, normalize_key: bool = False
 ) -> DataFrame:
-    """Landed records of a date, parsed, newest record per key."""
-    records = landing.scan(spark, layout.landing, date, spec.source)
-    parsed = parse_payload(records, spec.fields, keep=RUN_COLUMNS)
-    latest = dedup.keep_latest(parsed, spec.key, landing.latest_first(), normalize_key)
-    return latest.drop("_position", "_record_hash")
+    """Landed records of a date, parsed by the declared fields, newest record per key."""
+
+    def parser(records: DataFrame) -> DataFrame:
+        return parse_payload(records, spec.fields, keep=landing.RUN_COLUMNS)
+
+    return landing.load_latest(
+        spark, layout.landing, date, spec.key, parser, spec.source, normalize_key
+    )
 
 
 def build_silver(
-    spark: SparkSession, spec: DatasetSpec, layout: Layout, date: str, replace: str = "date"
+    spark: SparkSession,
+    spec: DatasetSpec,
+    layout: Layout,
+    date: str,
+    replace: str = "date",
+    steps: Sequence[conform.Step] = conform.STEPS,
 ) -> dict:
-    """Land-to-silver for one date as a single write job."""
-    rows = load_latest(spark, spec, layout, date).transform(conform.conform, spec)
+    """Land-to-silver for one date as a single write job. ``steps`` replaces conform steps."""
+    rows = load_latest(spark, spec, layout, date).transform(conform.conform, spec, steps)
     return tables.write_dated(rows, layout.silver, date, spec.partition_by, layout.fmt, replace)
 
 

@@ -31,13 +31,18 @@ class FieldSpec:
 
 @dataclass(frozen=True)
 class StandardizeSpec:
-    """Which columns get which clean-up rule; columns that are absent are skipped."""
+    """Which columns get which clean-up rule; columns that are absent are skipped.
+
+    A phone or postal code can come out of its rule empty ("N/A" has no digits). It stays an
+    empty string, hence present, unless ``blank_results_to_null``.
+    """
 
     value_maps: Mapping[str, Mapping[str, str]] = field(default_factory=dict)
     upper: Sequence[str] = ()
     digits_only: Sequence[str] = ()
     us_phone: Sequence[str] = ()
     trailing_dash: Sequence[str] = ()
+    blank_results_to_null: bool = False
 
 
 @dataclass(frozen=True)

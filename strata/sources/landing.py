@@ -12,6 +12,7 @@ Two layouts, told apart by extension:
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import datetime
 from functools import reduce
@@ -21,6 +22,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from strata.functions.text import is_json
+from strata.operators.dedup import keep_latest
 from strata.sources import storage
 
 RUN_PATTERN = r"(.+?)_bronze_(.+)_(\d{4}-\d{2}-\d{2})_(\d{8})_(\d{6})(?:_(\d{6}))?\.jsonl?"
@@ -29,6 +31,10 @@ RUN_PATTERN = r"(.+?)_bronze_(.+)_(\d{4}-\d{2}-\d{2})_(\d{8})_(\d{6})(?:_(\d{6})
 EMPTY_RECORDS = ("", "{}", "[]", "null", "false", "0", "0.0", "-0", "-0.0")
 
 
+# What a parser must pass through for the newest record to be told apart.
+RUN_COLUMNS = ("_ingest_ts", "_position", "_record_hash")
+
+
 def latest_first() -> list[Column]:
     """Order for ``keep_latest``: newest run, then last position in its file. Lines of a
     split folder have no position; the record's hash then makes the order total."""
@@ -194,6 +200,24 @@ def scan(
     )
 
 
+def load_latest(
+    spark: SparkSession,
+    landing: str,
+    date: str,
+    key: str,
+    parser: Callable[[DataFrame], DataFrame],
+    source: str | None = None,
+    normalize_key: bool = False,
+) -> DataFrame:
+    """Landed records of a date through ``parser``, newest record per ``key``.
+
+    ``parser`` turns ``payload`` into columns and keeps ``RUN_COLUMNS``.
+    """
+    parsed = scan(spark, landing, date, source).transform(parser)
+    latest = keep_latest(parsed, key, latest_first(), normalize_key)
+    return latest.drop("_position", "_record_hash")
+
+
 def _is_empty(record: Column) -> Column:
     return record.isNull() | F.trim(record).isin(*EMPTY_RECORDS)
 

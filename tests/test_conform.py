@@ -1,10 +1,12 @@
+from dataclasses import replace
+
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strata.operators import conform, dedup, preview, schema
 from strata.operators.parse import parse_payload
-from strata.plans.specs import COUNTRY_NAMES, FieldSpec, ScoreSpec, StandardizeSpec
+from strata.plans.specs import COUNTRY_NAMES, DatasetSpec, ScoreSpec, StandardizeSpec
 from strata.functions.text import MAX_LITERAL_MAPPING
 from tests.support import plan, rows
 
@@ -117,6 +119,20 @@ def test_standardize(spark):
     )
 
 
+def test_blank_results_can_become_null(spark):
+    df = spark.createDataFrame([("N/A", "-")], "phone string, postal_code string")
+    assert rows(conform.standardize(df, RULES)) == [("", "")]
+    assert rows(conform.standardize(df, replace(RULES, blank_results_to_null=True))) == [(None, None)]
+
+
+def test_steps_can_be_replaced(spark):
+    df = spark.createDataFrame([(" a ",)], "id string")
+    spec = DatasetSpec("t", (), required=("id",))
+    assert conform.conform(df, spec).columns == ["id", "data_quality_score", "_processing_timestamp", "_layer"]
+    steps = (lambda rows, spec: conform.standardize(rows, spec.standardize), lambda rows, spec: rows.withColumn("n", F.lit(1)))
+    assert rows(conform.conform(df, spec, steps)) == [("a", 1)]
+
+
 def test_standardize_skips_absent_columns(spark):
     df = spark.createDataFrame([(" a ", 1)], "name string, n int")
     assert rows(conform.standardize(df, RULES)) == [("a", 1)]

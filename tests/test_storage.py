@@ -12,6 +12,7 @@ from strata.plans import daily
 from strata.plans.daily import Layout
 from strata.plans.specs import FieldSpec, place_dataset
 from strata.sources import landing, storage, tables
+from strata.streaming.arrivals import follow_landed
 from tests.support import plan, rows
 
 DAY, NEXT = "2026-01-25", "2026-01-26"
@@ -341,3 +342,21 @@ def test_kpis_of_a_day(spark, layout):
     values = {r.metric: r.value for r in metrics.collect()}
     assert values["bronze_record_count"] == 4 and values["silver_bronze_delta_pct"] == 25.0
     assert values["gold_row_count"] == 1 and values["duplicate_count"] == 0
+
+
+def test_following_arrivals_rebuilds_only_dates_with_news(spark, layout, folder):
+    def follow():
+        follow_landed(spark, SPEC, layout, f"{folder}/seen").awaitTermination()
+
+    def built(day):
+        return daily.read_silver(spark, layout, day).first()._processing_timestamp
+
+    land_day(layout, DAY_RECORDS)
+    land_day(layout, DAY_RECORDS[:1], NEXT)
+    follow()
+    assert daily.read_silver(spark, layout, DAY).count() == 3
+    before = built(DAY), built(NEXT)
+    landing.append_records(spark.createDataFrame([place(7)]), layout.landing, "places", NEXT)
+    follow()
+    assert daily.read_silver(spark, layout, NEXT).count() == 2
+    assert built(DAY) == before[0] and built(NEXT) > before[1]
