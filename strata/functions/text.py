@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 # A literal map is searched linearly per row, so longer mappings go through a join
 # (see strata.operators.conform.map_values).
 MAX_LITERAL_MAPPING = 200
+# Longest mapping that is broadcast for that join; at some 100 bytes an entry, 10 MB.
+MAX_BROADCAST_MAPPING = 100_000
 
 
 def empty_to_null(c: Column) -> Column:

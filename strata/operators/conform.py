@@ -79,8 +79,8 @@ def clean_strings(df: DataFrame) -> DataFrame:
 def map_values(df: DataFrame, name: str, mapping: Mapping[str, str]) -> DataFrame:
     """Replace values of one column.
 
-    A long mapping becomes a local lookup table and a join. No broadcast hint: Spark knows
-    the table's size and broadcasts it only while that is below the session's limit.
+    A long mapping becomes a local lookup table and a join, broadcast up to a fixed number
+    of entries; beyond that Spark picks the join by the table's size.
     """
     if len(mapping) <= text.MAX_LITERAL_MAPPING:
         return df.withColumn(name, text.mapped(F.col(name), mapping))
@@ -88,6 +88,8 @@ def map_values(df: DataFrame, name: str, mapping: Mapping[str, str]) -> DataFram
     lookup = df.sparkSession.createDataFrame(
         pa.table({"_from": list(pairs.keys()), "_to": list(pairs.values())})
     )
+    if len(pairs) <= text.MAX_BROADCAST_MAPPING:
+        lookup = F.broadcast(lookup)
     joined = df.join(lookup, F.lower(df[name]) == lookup["_from"], "left")
     return joined.withColumn(name, F.coalesce("_to", name)).drop("_from", "_to")
 

@@ -31,6 +31,9 @@ RUN_PATTERN = r"(.+?)_bronze_(.+)_(\d{4}-\d{2}-\d{2})_(\d{8})_(\d{6})(?:_(\d{6})
 EMPTY_RECORDS = ("", "{}", "[]", "null", "false", "0", "0.0", "-0", "-0.0")
 
 
+# About 100 bytes a run.
+MAX_BROADCAST_RUNS = 100_000
+
 # What a parser must pass through for the newest record to be told apart.
 RUN_COLUMNS = ("_ingest_ts", "_position", "_record_hash")
 
@@ -135,8 +138,8 @@ class Run:
 
 
 def _with_run(spark: SparkSession, records: DataFrame, landing: str, found: list[Run]) -> DataFrame:
-    """Add the run columns. The runs are a small local table: one hash lookup per record
-    instead of several regular expressions, broadcast while Spark finds it small enough."""
+    """Add the run columns: one hash lookup per record instead of several regular
+    expressions. The table has a row per run, so it is broadcast while it has few rows."""
     root = storage.url_path(spark, landing).rstrip("/") + "/"
     name = F.substring_index(F.substring_index("_path", root, -1), "/", 1)
     known = pa.table(
@@ -150,6 +153,8 @@ def _with_run(spark: SparkSession, records: DataFrame, landing: str, found: list
     described = spark.createDataFrame(known).withColumn(
         "_ingest_ts", F.col("_landed_at").cast("timestamp")
     )
+    if len(found) <= MAX_BROADCAST_RUNS:
+        described = F.broadcast(described)
     return records.withColumn("_run", name).join(described, "_run", "left")
 
 
@@ -255,20 +260,16 @@ def inventory(
     return reduce(DataFrame.unionByName, parts)
 
 
-def found_files(spark: SparkSession, root: str, pattern: str = "*") -> DataFrame:
-    """``(path, length)`` of all files under the matching folders; contents are not read."""
-    return (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", "true")
-        .load(f"{root.rstrip('/')}/{pattern}")
-        .select("path", "length")
-    )
+def found_runs(spark: SparkSession, landing: str) -> DataFrame:
+    """Distinct ``(dataset, date)`` of the runs that landed."""
+    try:
+        pairs = sorted({(r.dataset, r.date) for r in runs(spark, landing)})
+    except FileNotFoundError:
+        pairs = []
+    return spark.createDataFrame(pairs, "dataset string, date string")
 
 
 def landed_dates(files: DataFrame) -> DataFrame:
-    """Distinct ``(dataset, date)`` of landed files."""
-    pattern = f"/{RUN_PATTERN.replace('(.+?)', '([^/]+?)', 1)}(?:/|$)"
-    return files.select(
-        F.regexp_extract("path", pattern, 1).alias("dataset"),
-        F.regexp_extract("path", pattern, 3).alias("date"),
-    ).distinct()
+    """Distinct dates of the runs that files with a ``path`` belong to."""
+    date = F.regexp_extract("path", f"/[^/]+?{RUN_PATTERN[len('(.+?)'):]}(?:/|$)", 2)
+    return files.select(date.alias("date")).distinct()

@@ -278,9 +278,9 @@ def check_completeness(spark, sf_dir):
     ),
 )
 def presence_audit(spark, sf_dir):
-    """Landed files and gold snapshots against the dates that should exist."""
+    """Landed runs and gold snapshots against the dates that should exist."""
     root = fx.landed(spark, sf_dir)
-    landed = landing.landed_dates(landing.found_files(spark, root, "*_bronze_*"))
+    landed = landing.found_runs(spark, root)
     dates = [("places", d) for d in (fx.DATE, fx.NEXT_DATE, fx.MISSING_DATE)]
     wanted = spark.createDataFrame(dates, "dataset string, date string")
     gold = storage.workspace(spark, "presence")

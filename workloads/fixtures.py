@@ -157,7 +157,7 @@ SILVER_COLUMNS = (*NAMES, "is_valid_location", "has_complete_address", "data_qua
 
 DATE, NEXT_DATE, MISSING_DATE = "2026-01-25", "2026-01-26", "2026-01-27"
 FIRST_RUN, SECOND_RUN = datetime(2026, 1, 25, 1, 0, 0), datetime(2026, 1, 25, 2, 0, 0)
-PAGE = 500
+PAGE = 5000
 
 
 def paged(records: DataFrame, per_page: int) -> DataFrame:

@@ -6,7 +6,9 @@ Each writes to a fresh folder and returns what a reader finds there.
 from __future__ import annotations
 
 from datetime import datetime
+from functools import reduce
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strata.operators import pages, rollup
@@ -207,8 +209,16 @@ def gold_all_row_counts(spark, sf_dir):
     layout = fx.dated(spark, sf_dir)
     fresh = Layout(layout.landing, layout.silver, storage.workspace(spark, "gold-all"))
     written = daily.build_gold(spark, fx.PLACES, fresh, fx.DATE)
-    rows = [(name, table["record_count"]) for name, table in written.items()]
-    return spark.createDataFrame(rows, "name string, record_count bigint")
+    return _stored_counts(spark, written, "name")
+
+
+def _stored_counts(spark, snapshots, label):
+    """Rows found in each stored snapshot."""
+    counts = [
+        spark.read.parquet(t["path"]).agg(F.count("*").alias("record_count")).withColumn(label, F.lit(n))
+        for n, t in snapshots.items()
+    ]
+    return reduce(DataFrame.unionByName, counts)
 
 
 @query(
@@ -277,6 +287,7 @@ def daily_run(spark, sf_dir):
     early, late = places.filter("seq % 2 = 0"), places.filter("seq % 2 = 1")
     landing.append_records(early, layout.landing, "places", fx.DATE, "api", fx.FIRST_RUN)
     day = daily.run_day(spark, fx.LENIENT, layout, fx.DATE, late)
-    rows = [("landed", day["landed"]["record_count"]), ("silver", day["silver"]["records_written"])]
-    rows += [(name, t["record_count"]) for name, t in day["gold"].items()]
-    return spark.createDataFrame(rows, "stage string, record_count bigint")
+    count = F.count("*").alias("record_count")
+    arrived = spark.read.text(day["landed"]["path"]).agg(count).withColumn("stage", F.lit("landed"))
+    silver = daily.read_silver(spark, layout, fx.DATE).agg(count).withColumn("stage", F.lit("silver"))
+    return arrived.unionByName(silver).unionByName(_stored_counts(spark, day["gold"], "stage"))
