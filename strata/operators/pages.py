@@ -12,11 +12,7 @@ from pyspark.sql import functions as F
 
 def _sizes(pages: DataFrame) -> DataFrame:
     size = F.coalesce(F.size("records"), F.lit(0))
-    return pages.groupBy("page").agg(
-        F.sum(F.when(size > 0, size).otherwise(0)).alias("received"),
-        F.max("per_page").alias("per_page"),
-        F.max("reported_total").alias("reported_total"),
-    )
+    return pages.groupBy("page").agg(F.sum(F.when(size > 0, size).otherwise(0)).alias("received"))
 
 
 def _stop(sizes: DataFrame) -> Column:
@@ -33,18 +29,25 @@ def page_records(pages: DataFrame) -> DataFrame:
 
 
 def reconcile_pages(pages: DataFrame) -> DataFrame:
-    """One row comparing what arrived with what the source reported."""
+    """One row comparing what arrived with what the source reported.
+
+    The records are read once: the stop page comes from the same shuffle as the sizes, and
+    the reported numbers from a scan of their two columns alone.
+    """
     sizes = _sizes(pages)
     counted = F.coalesce(F.col("page") < _stop(sizes), F.lit(True))
     totals = sizes.agg(
-        F.max("reported_total").alias("reported_total"),
         F.coalesce(F.sum(F.when(counted, F.col("received"))), F.lit(0)).alias("received"),
-        F.max("per_page").alias("per_page"),
         F.count_if(counted).alias("pages_received"),
         F.max(F.when(counted, F.col("page"))).alias("last_page"),
     )
+    reported = totals.select(
+        "*",
+        pages.agg(F.max("reported_total")).scalar().alias("reported_total"),
+        pages.agg(F.max("per_page")).scalar().alias("per_page"),
+    )
     expected = F.ceil(F.try_divide(F.col("reported_total").cast("double"), F.col("per_page")))
-    return totals.select(
+    return reported.select(
         "reported_total",
         "received",
         expected.alias("expected_pages"),
