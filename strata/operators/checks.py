@@ -31,9 +31,10 @@ class Check:
     """An aggregate, the test of its value and the message of a failure.
 
     ``fails`` is a SQL condition on ``{v}``, the aggregated value as double; ``message`` is
-    a ``format_string`` pattern that may use that value. ``alone`` marks an aggregate over
-    distinct values: it gets its own narrow pass, because carrying every other counter
-    along with each distinct key would widen the largest shuffle.
+    a ``format_string`` pattern that may use that value, shown on failure (always for an
+    ``info`` row). ``alone`` marks an aggregate over distinct values: it gets its own narrow
+    pass, because carrying every other counter along with each distinct key would widen the
+    largest shuffle.
     """
 
     metric: str
@@ -80,12 +81,13 @@ def _result_rows(df: DataFrame, checks: Sequence[Check], layer: str, dataset: st
 
 def _result_row(check: Check, value: str, layer: str, dataset: str) -> str:
     failed = f"coalesce({check.fails.format(v=value)}, false)"
+    shown = "true" if check.severity == INFO and check.message else failed
     return f"""named_struct(
         'layer', {_literal(layer)}, 'dataset', {_literal(dataset)},
         'metric', {_literal(check.metric)}, 'field', CAST({_literal(check.field)} AS STRING),
         'severity', {_literal(check.severity)}, 'observed', {value},
         'bound', CAST({_literal(check.bound)} AS DOUBLE), 'passed', NOT {failed},
-        'message', if({failed}, format_string({_literal(check.message)}, {value}), NULL))"""
+        'message', if({shown}, format_string({_literal(check.message)}, {value}), NULL))"""
 
 
 def failed_row(
@@ -234,8 +236,16 @@ def check_silver(df: DataFrame, spec: QualitySpec, dataset: str) -> DataFrame:
     return evaluate(df, silver_checks(df, spec), "silver", dataset)
 
 
-def check_gold(df: DataFrame, spec: QualitySpec, dataset: str) -> DataFrame:
-    return evaluate(df, gold_checks(df, dataset, spec), "gold", dataset)
+def check_gold(
+    df: DataFrame, spec: QualitySpec, dataset: str, path: str | None = None
+) -> DataFrame:
+    """Checks of one aggregate table; a ``path`` is reported by its last component."""
+    found = gold_checks(df, dataset, spec)
+    if path:
+        folder = _plain(path.rstrip("/").rsplit("/", 1)[-1])
+        nothing = F.max(F.lit(None).cast("double"))
+        found.append(Check(f"{dataset}_path", INFO, nothing, message=folder))
+    return evaluate(df, found, "gold", dataset)
 
 
 def check_landed(files: DataFrame, spec: QualitySpec, dataset: str) -> DataFrame:
@@ -392,7 +402,8 @@ def summary(results: DataFrame) -> dict[str, dict]:
             row.layer,
             {"layer": row.layer, "passed": True, "errors": [], "warnings": [], "metrics": {}},
         )
-        entry["metrics"][row.metric] = row.observed
+        noted = row.severity == INFO and row.message is not None
+        entry["metrics"][row.metric] = row.message if noted else row.observed
         if not row.passed:
             entry["warnings" if row.severity != ERROR else "errors"].append(row.message)
             entry["passed"] = entry["passed"] and row.severity != ERROR

@@ -128,7 +128,7 @@ def add_quality(df: DataFrame, spec: ScoreSpec = ScoreSpec()) -> DataFrame:
     flags: dict[str, Column] = {}
     if {spec.latitude, spec.longitude} <= have:
         flags["is_valid_location"] = quality.valid_coordinates(
-            F.col(spec.latitude), F.col(spec.longitude)
+            F.col(spec.latitude).try_cast("double"), F.col(spec.longitude).try_cast("double")
         )
     if set(spec.address) <= have:
         flags["has_complete_address"] = quality.all_present([F.col(n) for n in spec.address])

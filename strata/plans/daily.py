@@ -154,7 +154,7 @@ def check_gold(
             reason = f"Error reading aggregation '{name}': {reason}"
             parts.append(checks.failed_row(spark, "gold", name, "readable", reason))
         else:
-            parts.append(checks.check_gold(table, spec.quality, name))
+            parts.append(checks.check_gold(table, spec.quality, name, path))
     return reduce(DataFrame.unionByName, parts)
 
 

@@ -90,9 +90,9 @@ def read_dated(
 ) -> DataFrame:
     """The whole table or one date.
 
-    For one date only that folder is listed, however many dates the table has. Partition
-    columns come back as strings; Spark's type inference would turn dates and codes into
-    other types.
+    For one date only that folder is listed, however many dates the table has; a date the
+    table lacks gives no rows. Partition columns come back as strings; Spark's type inference
+    would turn dates and codes into other types.
     """
     reader = spark.read.format(fmt)
     if fmt == "delta":
@@ -100,6 +100,8 @@ def read_dated(
         return df if date is None else df.filter(F.col(DATE_COLUMN) == date)
     reader = reader.option("basePath", path)
     location = path if date is None else f"{path.rstrip('/')}/{DATE_COLUMN}={date}"
+    if not storage.exists(spark, location):
+        location = path
     if schema is None:
         text = {DATE_COLUMN, *_partition_columns(spark, location)}
         found = reader.load(location).schema.fields

@@ -175,6 +175,15 @@ def test_read_of_a_date_lists_one_folder(spark, folder):
     assert len(one.inputFiles()) == 1 and DAY in one.inputFiles()[0]
 
 
+def test_date_the_table_lacks(spark, folder):
+    df = spark.createDataFrame([("1", "US", "01", 1)], CELLS)
+    tables.write_dated(df, f"{folder}/t", DAY, ["country", "state"])
+    absent = tables.read_dated(spark, f"{folder}/t", NEXT)
+    assert absent.count() == 0 and set(absent.columns) == {*df.columns, "_processing_date"}
+    with pytest.raises(tables.AnalysisException):
+        tables.read_dated(spark, f"{folder}/absent", NEXT)
+
+
 def test_hot_cell_is_split(spark, folder):
     """A cell with most of the rows is written as several files, small cells as one each."""
     df = spark.range(0, 400000, 1, 8).select(
@@ -283,6 +292,9 @@ def test_whole_day(spark, layout):
     gold = tables.read_snapshot(spark, layout.gold, "places_by_type", DAY)
     assert rows(gold.select("kind", "record_count", "percentage_of_total")) == [("micro", 2, 66.67), ("nano", 1, 33.33)]
     assert day["gold"]["places_data_quality_metrics"]["record_count"] == 1
+    reported = day["gold_checks"]["gold"]["metrics"]
+    assert reported["places_by_type_count"] == 2
+    assert reported["places_by_type_path"] == os.path.basename(day["gold"]["places_by_type"]["path"])
     log = tables.read_metrics(spark, layout.metrics, "run_date string, bronze_record_count double")
     assert rows(log) == [(DAY, 4.0)]
 
