@@ -158,14 +158,18 @@ def _with_run(spark: SparkSession, records: DataFrame, landing: str, found: list
     return records.withColumn("_run", name).join(described, "_run", "left")
 
 
-def _array(strict: bool) -> Column:
-    """Elements of an array file as JSON text; null for a file that is not an array."""
-    elements = F.from_json("value", "array<string>")
+def _elements(text: DataFrame, strict: bool) -> DataFrame:
+    """``_path`` and the elements of each array file as JSON text; null if not an array.
+
+    The parsed column is made first, so that the test and the explode share one parse.
+    """
+    parsed = text.select("value", "_path", F.from_json("value", "array<string>").alias("_elements"))
     if not strict:
-        return elements
-    broken = elements.isNull() & ~is_json(F.col("value"))
+        return parsed.select("_path", "_elements")
+    broken = F.col("_elements").isNull() & ~is_json(F.col("value"))
     reason = F.concat(F.lit("Invalid JSON in "), F.col("_path"))
-    return F.when(broken, F.raise_error(reason)).otherwise(elements)
+    checked = F.when(broken, F.raise_error(reason)).otherwise(F.col("_elements"))
+    return parsed.select("_path", checked.alias("_elements"))
 
 
 def scan(
@@ -187,8 +191,12 @@ def scan(
     found, parts = runs(spark, landing, date, source), []
     for extension, text in _text_of(spark, landing, found).items():
         if extension == ".json":
-            records = text.select(
-                "_path", F.posexplode(_array(on_invalid == "raise")).alias("_position", "payload")
+            # The outer form, with its empty rows dropped after: for the plain form Spark
+            # infers a filter on the array and would parse every file again to test it.
+            records = (
+                _elements(text, on_invalid == "raise")
+                .select("_path", F.posexplode_outer("_elements").alias("_position", "payload"))
+                .filter(F.col("_position").isNotNull())
             )
         else:
             records = text.filter(F.trim("value") != "").select(

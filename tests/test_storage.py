@@ -69,6 +69,11 @@ def test_array_files(spark, folder):
     assert rows(parsed) == sorted([("1", 0), ("2", 1), ("3", 2), ("4", 0), (None, 1)], key=str)
 
 
+def test_each_array_file_is_parsed_once(spark, folder):
+    land_file(folder, f"things_bronze_api_{DAY}_20260126_193015.json", RECORDS)
+    assert plan(landing.scan(spark, folder, DAY)).count("from_json") == 1
+
+
 def test_missing_folder_and_date(spark, folder):
     with pytest.raises(FileNotFoundError, match="does not exist"):
         landing.scan(spark, f"{folder}/absent", DAY)

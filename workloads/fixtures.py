@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from dataclasses import replace
 from datetime import datetime
-from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -177,8 +176,18 @@ def write_array_run(records: DataFrame, path: str) -> None:
     paged(records, PAGE).select(text).write.option("maxRecordsPerFile", 1).text(path)
 
 
-@lru_cache(maxsize=8)
-def _landed(spark: SparkSession, application: str, sf_dir: str) -> str:
+_STORED: dict[tuple[str, str, str], str] = {}
+
+
+def _stored(spark: SparkSession, sf_dir: str, label: str, build) -> str:
+    """Folder of a stored fixture, built once per application while it exists."""
+    key = (spark.sparkContext.applicationId, sf_dir, label)
+    if key not in _STORED or not storage.exists(spark, _STORED[key]):
+        _STORED[key] = build(spark, sf_dir)
+    return _STORED[key]
+
+
+def _land(spark: SparkSession, sf_dir: str) -> str:
     """Two runs for DATE (array files of the even records, then lines of the odd ones) and
     one for NEXT_DATE with blank records, a broken file and a file that is not an array."""
     root = storage.workspace(spark, "landing")
@@ -204,20 +213,17 @@ def _landed(spark: SparkSession, application: str, sf_dir: str) -> str:
 
 
 def landed(spark: SparkSession, sf_dir: str) -> str:
-    return _landed(spark, spark.sparkContext.applicationId, sf_dir)
+    return _stored(spark, sf_dir, "landing", _land)
 
 
-@lru_cache(maxsize=8)
-def _dated(spark: SparkSession, application: str, sf_dir: str) -> Layout:
-    """Silver table with all places on DATE and the odd ones on NEXT_DATE."""
-    layout = Layout.under(storage.workspace(spark, "dated"), "places")
+def _write_dates(spark: SparkSession, sf_dir: str) -> str:
+    """Silver table with all places on each of two dates."""
+    root = storage.workspace(spark, "dated")
     rows = conformed_places(spark, sf_dir)
-    cells = PLACES.partition_by
-    tables.write_dated(rows, layout.silver, DATE, cells)
-    odd = rows.filter(F.col("seq").try_cast("bigint") % 2 == 1)
-    tables.write_dated(odd, layout.silver, NEXT_DATE, cells)
-    return layout
+    for date in (DATE, NEXT_DATE):
+        tables.write_dated(rows, Layout.under(root, "places").silver, date, PLACES.partition_by)
+    return root
 
 
 def dated(spark: SparkSession, sf_dir: str) -> Layout:
-    return _dated(spark, spark.sparkContext.applicationId, sf_dir)
+    return Layout.under(_stored(spark, sf_dir, "dated", _write_dates), "places")
