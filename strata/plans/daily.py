@@ -58,10 +58,27 @@ def build_silver(
     date: str,
     replace: str = "date",
     steps: Sequence[conform.Step] = conform.STEPS,
+    quarantine: str | None = None,
 ) -> dict:
-    """Land-to-silver for one date as a single write job. ``steps`` replaces conform steps."""
+    """Land-to-silver for one date as a single write job. ``steps`` replaces conform steps.
+
+    With a ``quarantine`` path, rows that break a row-level rule go to a dated table there,
+    with their reasons, instead of to silver.
+    """
     rows = load_latest(spark, spec, layout, date).transform(conform.conform, spec, steps)
-    return tables.write_dated(rows, layout.silver, date, spec.partition_by, layout.fmt, replace)
+    write = lambda df, path, cells: tables.write_dated(
+        df, path, date, cells, layout.fmt, replace
+    )
+    if quarantine is None:
+        return write(rows, layout.silver, spec.partition_by)
+    # Both outputs come from one stored pass instead of running the whole chain twice.
+    stored = storage.staging(layout.silver)
+    checks.tag_reasons(rows, checks.row_rules(rows, spec.quality)).write.parquet(stored)
+    valid, rejected = checks.split_tagged(spark.read.parquet(stored))
+    written = write(valid, layout.silver, spec.partition_by)
+    written["quarantined"] = write(rejected, quarantine, ())["records_written"]
+    storage.delete(spark, stored)
+    return written
 
 
 def read_silver(spark: SparkSession, layout: Layout, date: str | None = None) -> DataFrame:

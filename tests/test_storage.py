@@ -312,6 +312,19 @@ def test_rerun_gives_the_same_day(spark, layout):
     assert rows(daily.read_silver(spark, layout, DAY).drop("_processing_timestamp")) == first
 
 
+def test_silver_with_quarantine(spark, layout, folder):
+    land_day(layout, [*DAY_RECORDS, place(8, name=None), place(9, latitude=95, kind="pub")])
+    written = daily.build_silver(spark, SPEC, layout, DAY, quarantine=f"{folder}/rejected")
+    assert (written["records_written"], written["quarantined"]) == (3, 2)
+    assert {r.id for r in daily.read_silver(spark, layout, DAY).collect()} == {"1", "2", "3"}
+    rejected = tables.read_dated(spark, f"{folder}/rejected", DAY)
+    assert {r.id: r._reasons for r in rejected.collect()} == {
+        "8": ["name_missing"], "9": ["latitude_out_of_range", "kind_not_allowed"],
+    }
+    assert not [n for n in os.listdir(layout.silver) if n.startswith("_staging")]
+    checks.assert_passed(daily.check_silver(spark, SPEC, layout, DAY))
+
+
 def test_gold_counts_one_date_or_all(spark, layout):
     for day in (DAY, NEXT):
         land_day(layout, DAY_RECORDS, day)
