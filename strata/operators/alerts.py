@@ -41,7 +41,7 @@ def alert_rows(
         ).alias("metrics"),
     )
     title = f"{SEVERITY_MARKS.get(severity, SEVERITY_MARKS['INFO'])} *{severity}* Alert"
-    return per_layer.filter(F.size("failed_checks") > 0).select(
+    return per_layer.filter(F.array_size("failed_checks") > 0).select(
         F.lit(severity).alias("severity"),
         "layer",
         "dataset",

@@ -381,8 +381,8 @@ def row_rules(df: DataFrame, spec: QualitySpec) -> dict[str, Column]:
 
 def split_tagged(tagged: DataFrame) -> tuple[DataFrame, DataFrame]:
     """``(valid, rejected)`` of tagged rows; rejected rows keep ``_reasons``."""
-    valid = tagged.filter(F.size("_reasons") == 0).drop("_reasons")
-    return valid, tagged.filter(F.size("_reasons") > 0)
+    valid = tagged.filter(F.array_size("_reasons") == 0).drop("_reasons")
+    return valid, tagged.filter(F.array_size("_reasons") > 0)
 
 
 def quarantine(df: DataFrame, rules: Mapping[str, Column]) -> tuple[DataFrame, DataFrame]:

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 
 def _sizes(pages: DataFrame) -> DataFrame:
-    size = F.coalesce(F.size("records"), F.lit(0))
+    size = F.coalesce(F.array_size("records"), F.lit(0))
     return pages.groupBy("page").agg(F.sum(F.when(size > 0, size).otherwise(0)).alias("received"))
 
 

@@ -245,13 +245,13 @@ def inventory(
         if extension == ".json":
             valid = text.select("value", path, is_json(F.col("value")).alias("valid"))
             elements = F.when(F.col("valid"), F.from_json("value", "array<string>"))
-            empty = F.size(F.filter("_elements", _is_empty))
+            empty = F.array_size(F.filter("_elements", _is_empty))
             parts.append(
                 valid.select("path", "valid", elements.alias("_elements")).select(
                     "path",
                     "valid",
                     F.col("_elements").isNotNull().alias("is_array"),
-                    F.coalesce(F.size("_elements"), F.lit(0)).alias("records"),
+                    F.coalesce(F.array_size("_elements"), F.lit(0)).alias("records"),
                     F.coalesce(empty, F.lit(0)).alias("empty_records"),
                 )
             )
