@@ -16,26 +16,38 @@ from pyspark.sql import functions as F
 from strata.plans.specs import Measure, RollupSpec
 
 SET_FUNCTIONS = ("count_distinct", "collect_set")
-FUNCTIONS = ("avg", "avg_2dp", "sum", "min", "max", "count_true", "count_present", *SET_FUNCTIONS)
+# Partial aggregates each other function is put together from.
+NEEDS = {
+    "avg": ("total", "present"),
+    "avg_2dp": ("total", "present"),
+    "sum": ("sum",),
+    "min": ("min",),
+    "max": ("max",),
+    "count_true": ("true",),
+    "count_present": ("present",),
+}
+FUNCTIONS = (*NEEDS, *SET_FUNCTIONS)
 
 ROWS = "_rows"
+PART = "_part_"
+
+
+def _part(kind: str, column: str) -> str:
+    return f"{PART}{kind}_{column}"
 
 
 def _partials(column: str, function: str) -> dict[str, Column]:
     """Base columns a measure needs, by name, so that equal ones are shared."""
     c = F.col(column)
-    if function in ("avg", "avg_2dp"):
-        return {
-            f"_total_{column}": F.sum(c.cast("double")),
-            f"_present_{column}": F.count(c),
-        }
-    return {
-        "sum": {f"_sum_{column}": F.sum(c)},
-        "min": {f"_min_{column}": F.min(c)},
-        "max": {f"_max_{column}": F.max(c)},
-        "count_true": {f"_true_{column}": F.sum(F.when(c, 1).otherwise(0))},
-        "count_present": {f"_present_{column}": F.count(c)},
-    }[function]
+    made = {
+        "total": lambda: F.sum(c.cast("double")),
+        "present": lambda: F.count(c),
+        "sum": lambda: F.sum(c),
+        "min": lambda: F.min(c),
+        "max": lambda: F.max(c),
+        "true": lambda: F.sum(F.when(c, 1).otherwise(0)),
+    }
+    return {_part(kind, column): made[kind]() for kind in NEEDS[function]}
 
 
 def _final(measure: Measure) -> Column:
@@ -46,16 +58,13 @@ def _final(measure: Measure) -> Column:
         return F.count_distinct(column)
     if function == "collect_set":
         return F.array_sort(F.collect_set(column))
+    parts = [_part(kind, column) for kind in NEEDS[function]]
     if function in ("avg", "avg_2dp"):
-        mean = F.try_divide(F.sum(f"_total_{column}"), F.sum(f"_present_{column}"))
+        mean = F.try_divide(F.sum(parts[0]), F.sum(parts[1]))
         return F.round(mean, 2) if function == "avg_2dp" else mean
-    return {
-        "sum": lambda: F.sum(f"_sum_{column}"),
-        "min": lambda: F.min(f"_min_{column}"),
-        "max": lambda: F.max(f"_max_{column}"),
-        "count_true": lambda: F.sum(f"_true_{column}"),
-        "count_present": lambda: F.sum(f"_present_{column}"),
-    }[function]()
+    if function in ("min", "max"):
+        return F.min(parts[0]) if function == "min" else F.max(parts[0])
+    return F.sum(parts[0])
 
 
 def _measures(spec: RollupSpec) -> dict[str, Measure]:
@@ -93,19 +102,26 @@ def _ordering(spec: RollupSpec) -> list[Column]:
     return [*named, *rest] if named else []
 
 
-def rollup(base: DataFrame, spec: RollupSpec, total: Column | None = None) -> DataFrame:
+def total_rows(base: DataFrame) -> Column:
+    """Rows behind a base, as a scalar subquery that reuses the shuffle of the base.
+
+    Only equal shuffles are reused. Asking for the other partials as well keeps Spark from
+    pruning them here, which would make it read the input a second time.
+    """
+    others = [F.max(c).alias(c) for c in base.columns if c.startswith(PART)]
+    return base.agg(F.struct(F.sum(ROWS).alias(ROWS), *others)).scalar().getField(ROWS)
+
+
+def rollup(base: DataFrame, spec: RollupSpec) -> DataFrame:
     """One aggregate table from a base.
 
-    ``total`` is the row count shares refer to. Without it the total is a scalar subquery
-    over the base, whose shuffle Spark reuses, instead of a window over all groups, which
-    would run in a single task.
+    Shares refer to the rows of the whole base. Their total is a scalar subquery, not a
+    window over all groups, which would run in a single task.
     """
     measures = {alias: _final(m).alias(alias) for alias, m in _measures(spec).items()}
     result = base.groupBy(*spec.dimensions).agg(*measures.values())
     if spec.percentage and spec.record_count:
-        if total is None:
-            total = base.agg(F.sum(ROWS)).scalar()
-        share = F.round(F.col("record_count") / total * 100, 2)
+        share = F.round(F.col("record_count") / total_rows(base) * 100, 2)
         result = result.withColumn("percentage_of_total", share)
     ordering = _ordering(spec)
     return (result.orderBy(*ordering) if ordering else result).withColumn(
@@ -131,12 +147,7 @@ def aggregate(df: DataFrame, spec: RollupSpec) -> DataFrame:
     """One aggregate table straight from detail rows."""
     require_dimensions(df, spec.dimensions)
     spec = available(df, spec)
-    base = base_for(df, [spec], _grain(spec))
-    numeric = any(m != "count" and m[1] not in SET_FUNCTIONS for m in _measures(spec).values())
-    # With numeric partials the pruned total would not match the base's shuffle and would
-    # rebuild it; counting the input reads no column at all of a stored table.
-    total = df.agg(F.count("*")).scalar() if spec.percentage and numeric else None
-    return rollup(base, spec, total)
+    return rollup(base_for(df, [spec], _grain(spec)), spec)
 
 
 def aggregate_by_dimensions(

@@ -134,8 +134,14 @@ def test_share_reuses_the_shuffle_and_needs_no_single_task_window(spark, tmp_pat
     out = rollup.aggregate(spark.read.parquet(path), place_rollups("p", "kind")[1])
     text = plan(out, run=True)
     assert "ReusedExchange" in text and "Window" not in text
-    scans = [line for line in text.splitlines() if "FileScan" in line]
-    assert all("id" not in line.split("ReadSchema")[1] for line in scans)
+    assert text.count("FileScan") == 1
+    numeric = {"mean": ("data_quality_score", "avg"), "cities": ("city", "count_distinct")}
+    out = rollup.aggregate_by_dimensions(
+        spark.read.parquet(path), ["country"], include_percentage=True, additional_aggs=numeric
+    )
+    text = plan(out, run=True)
+    assert "ReusedExchange" in text and text.count("FileScan") == 1
+    assert "id:string" not in text.split("ReadSchema: ")[1].splitlines()[0]
 
 
 def test_hot_group(spark):
