@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.shared import byte_powers, keep_rows, mixed, stored, text_blocks
+from strata.llm.shared import byte_powers, keep_rows, mixed, stored, text_blocks, text_hash
 
 #: A cut follows a window of WINDOW bytes whose hash ends in CUT_BITS zero bits (1 KB on
 #: average); chunks have MIN_CHUNK to MAX_CHUNK bytes, but for the last of a text.
@@ -98,11 +98,13 @@ def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def recipes(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """key, text_sha256 (of the normalised text) and recipe: the chunk digests, in order."""
+    """doc_id, text_hash (of the text as it is), text_sha256 (of the normalised text) and recipe:
+    the chunk digests, in order."""
     kind = docs.schema[key].dataType.simpleString()
-    return docs.select(F.col(key).alias("doc_id"), F.col(text).cast("string").alias("text")).mapInArrow(
-        _recipes, f"doc_id {kind}, text_sha256 string, recipe binary"
+    source = docs.select(
+        F.col(key).alias("doc_id"), text_hash(text).alias("text_hash"), F.col(text).cast("string").alias("text")
     )
+    return source.mapInArrow(_recipes, f"doc_id {kind}, text_hash bigint, text_sha256 string, recipe binary")
 
 
 def chunk_dictionary(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -127,6 +129,10 @@ def exact_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id") -
     two chunks makes the recipes that contain it count with the text's own digest.
     An empty table gives no rows; further columns of the input play no part.
     """
+    return _grouped(docs, text, key).drop("text_hash")
+
+
+def _grouped(docs: DataFrame, text: str, key: str) -> DataFrame:
     rows = stored(recipes(docs, text, key).withColumn("row", F.monotonically_increasing_id()))
     bad = stored(unverified(chunk_dictionary(docs, text)))
     identity = F.col("recipe")
@@ -141,22 +147,23 @@ def exact_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id") -
         identity = F.when(F.col("marked"), F.concat("recipe", F.to_binary("text_sha256", F.lit("hex")))).otherwise(
             F.col("recipe")
         )
-    rows = rows.select("doc_id", "row", "text_sha256", identity.alias("identity"))
+    rows = rows.select("doc_id", "row", "text_hash", "text_sha256", identity.alias("identity"))
     groups = rows.groupBy("identity").agg(
         F.count("*").alias("group_size"),
         F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row")).alias("first"),
     )
-    alone = groups.filter("group_size > 1")
-    return rows.join(alone, "identity", "left").select(
+    # Stored, so that the join can split the rows of a very large group.
+    several = stored(groups.filter("group_size > 1"))
+    return rows.join(several, "identity", "left").select(
         "doc_id",
         F.when(F.col("first").isNull(), F.col("doc_id")).otherwise(F.col("first.doc_id")).alias("keep_id"),
         F.coalesce("group_size", F.lit(1).cast("long")).alias("group_size"),
         (F.col("first").isNull() | (F.col("first.row") == F.col("row"))).alias("kept"),
         "text_sha256",
+        "text_hash",
     )
 
 
 def drop_exact_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns."""
-    found = exact_duplicates(docs, text, key).filter("kept")
-    return keep_rows(docs, found, text, key)
+    return keep_rows(docs, _grouped(docs, text, key).filter("kept"), text, key)
