@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from strata.llm.exact_dedup import exact_duplicates
 from strata.llm.language_id import detect_languages
+from strata.llm.near_dedup import near_duplicates
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -50,3 +51,8 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op5_language_id")
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return detect_languages(table(spark, sf_dir, "documents"))
+
+
+@query("op7_near_dedup")
+def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"), n=4, percent=80)

@@ -175,22 +175,20 @@ def global_rank(df: DataFrame, *keys: str) -> DataFrame:
     return placed.withColumn("rank", within + base)
 
 
-def text_digest(text: str) -> Column:
-    """Digest of the text with every run of white space as one space; null counts as empty."""
-    return F.sha2(F.regexp_replace(F.coalesce(F.col(text).cast("string"), F.lit("")), r"[\x20\x09-\x0D]+", " "), 256)
+def text_hash(text: str) -> Column:
+    return F.xxhash64(F.col(text).cast("string"))
 
 
 def keep_rows(docs: DataFrame, ids: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """The rows of ``docs`` named by ``ids`` (doc_id, text_sha256), one row for each.
+    """The rows of ``docs`` named by ``ids`` (doc_id, text_hash), one row for each.
 
     Rows are named by id and text, so that texts that share an id are told apart; of repeated
-    rows one stays, and the row number needs no more than one of them from each task.
+    rows one stays, and no more than one of them leaves each task.
     """
-    id_, sha, nth = (single_column(n, *docs.columns) for n in ("_kept_id", "_kept_sha", "_nth"))
-    wanted = ids.select(F.col("doc_id").alias(id_), F.col("text_sha256").alias(sha)).distinct()
-    own = single_column("_sha", *docs.columns, sha)
-    found = docs.withColumn(own, text_digest(text)).join(
-        wanted, F.col(key).eqNullSafe(F.col(id_)) & (F.col(own) == F.col(sha)), "left_semi"
+    id_, own, other, nth = (single_column(n, *docs.columns) for n in ("_kept_id", "_hash", "_kept_hash", "_nth"))
+    wanted = ids.select(F.col("doc_id").alias(id_), F.col("text_hash").alias(other)).distinct()
+    found = docs.withColumn(own, text_hash(text)).join(
+        wanted, F.col(key).eqNullSafe(F.col(id_)) & (F.col(own) == F.col(other)), "left_semi"
     )
     one = Window.partitionBy(key, own).orderBy(own)
     return found.withColumn(nth, F.row_number().over(one)).filter(F.col(nth) == 1).select(*docs.columns)
