@@ -6,8 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from strata.llm.decontaminate import contamination_report
 from strata.llm.exact_dedup import exact_duplicates
 from strata.llm.language_id import detect_languages
+from strata.llm.mixing import mix_sources
 from strata.llm.near_dedup import near_duplicates
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -56,3 +58,51 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op7_near_dedup")
 def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), n=4, percent=80)
+
+
+OP9_SQL = r"""
+WITH item_words AS (
+  SELECT DISTINCT item_id, words FROM (
+    SELECT item_id,
+           regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                              '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words
+    FROM benchmark)
+  WHERE len(words) > 0
+), windows AS (
+  SELECT DISTINCT item_id, least(len(words), 10) AS n,
+         array_to_string(words[i:i + least(len(words), 10) - 1], ' ') AS w
+  FROM (SELECT item_id, words, unnest(range(1, greatest(len(words) - 10, 0) + 2)) AS i FROM item_words)
+), docs AS (
+  SELECT row_number() OVER () AS r, doc_id,
+         coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                     '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), []) AS words
+  FROM documents
+), places AS (
+  SELECT r, words, n, unnest(range(1, len(words) - n + 2)) AS i
+  FROM docs, (SELECT DISTINCT n FROM windows) WHERE len(words) >= n
+), hits AS (
+  SELECT r, i, p.n, item_id
+  FROM (SELECT r, i, n, array_to_string(words[i:i + n - 1], ' ') AS w FROM places) p
+  JOIN windows USING (n, w)
+), covered AS (
+  SELECT r, count(DISTINCT k) AS n_hit
+  FROM (SELECT r, unnest(range(i, i + n)) AS k FROM hits) GROUP BY r
+), found AS (
+  SELECT r, count(*) AS n_items, string_agg(id, ',' ORDER BY id COLLATE C) AS ids
+  FROM (SELECT DISTINCT r, CAST(item_id AS VARCHAR) AS id FROM hits WHERE item_id IS NOT NULL) GROUP BY r
+)
+SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit,
+       coalesce(n_items, 0) AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AS contaminated
+FROM docs LEFT JOIN covered USING (r) LEFT JOIN found USING (r)
+"""
+
+
+@query("op9_decontamination", OP9_SQL)
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contamination_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query("op3_mixing")
+def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix_sources(table(spark, sf_dir, "documents"))
