@@ -10,8 +10,6 @@ small documents. Only ids, sizes and sources move; texts stay where they are.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
