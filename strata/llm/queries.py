@@ -8,9 +8,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 from strata.llm.decontaminate import contamination_report
 from strata.llm.exact_dedup import exact_duplicates
+from strata.llm.html_text import extract_pages
 from strata.llm.language_id import detect_languages
+from strata.llm.line_dedup import repeated_units
 from strata.llm.mixing import mix_sources
 from strata.llm.near_dedup import near_duplicates
+from strata.llm.suffix_dedup import repeated_passages
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -106,3 +109,48 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op3_mixing")
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(table(spark, sf_dir, "documents"))
+
+
+@query("op2_html_extraction")
+def op2_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_pages(table(spark, sf_dir, "pages"))
+
+
+OP1_SQL = r"""
+WITH rows AS (
+  SELECT row_number() OVER (ORDER BY doc_id) AS r, doc_id, string_split(text, chr(10)) AS lines
+  FROM documents WHERE text IS NOT NULL
+), cut AS (
+  SELECT r, doc_id, unnest(lines) AS line, unnest(range(1, len(lines) + 1)) AS k FROM rows
+), placed AS (
+  SELECT r, doc_id, k, line,
+         coalesce(sum(length(line) + 1) OVER (PARTITION BY r ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start,
+         regexp_extract_all(translate(line, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x20\x09-\x0D]+') AS words
+  FROM cut
+), units AS (
+  SELECT r, doc_id, row_number() OVER (PARTITION BY r ORDER BY k) - 1 AS unit,
+         start, start + length(line) AS stop, len(words) AS n_words, array_to_string(words, ' ') AS normal
+  FROM placed WHERE len(words) > 0
+), ranked AS (
+  SELECT *, first_value(doc_id) OVER w AS keep_id, first_value(r) OVER w AS keep_r, first_value(unit) OVER w AS keep_unit
+  FROM units WINDOW w AS (PARTITION BY normal ORDER BY doc_id, r, unit)
+), later AS (
+  SELECT *, unit - row_number() OVER (PARTITION BY r ORDER BY unit) AS run
+  FROM ranked WHERE r <> keep_r OR unit <> keep_unit
+), passages AS (
+  SELECT *, sum(n_words) OVER (PARTITION BY r, run) AS passage FROM later
+)
+SELECT doc_id, unit, CAST(start AS BIGINT) AS start, CAST(stop AS BIGINT) AS "end", CAST(n_words AS BIGINT) AS n_words, keep_id, keep_unit
+FROM passages WHERE passage >= 50
+"""
+
+
+@query("op1_substring_dedup", OP1_SQL)
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeated_units(table(spark, sf_dir, "documents"))
+
+
+@query("op4_suffix_dedup")
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeated_passages(table(spark, sf_dir, "documents"))
