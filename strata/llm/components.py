@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.shared import stored
+from strata.llm.shared import discard, stored
 
 #: Rounds shorten every path at least by half; 60 suffice for any graph that can be stored.
 MAX_ROUNDS = 60
@@ -20,11 +20,12 @@ def connected_components(edges: DataFrame) -> DataFrame:
     """
     edges = stored(_oriented(edges))
     for _ in range(MAX_ROUNDS):
-        after = stored(_small_star(_large_star(edges)))
-        changed = _summary(after) != _summary(edges)
-        edges = after
-        if not changed:
+        if _are_stars(edges):
             break
+        halfway = _large_star(edges)
+        discard(edges)
+        edges = _small_star(halfway)
+        discard(halfway)
     else:
         raise RuntimeError("components did not settle")
     leaves = edges.select(F.col("b").alias("node"), F.col("a").alias("component"))
@@ -32,15 +33,11 @@ def connected_components(edges: DataFrame) -> DataFrame:
     return leaves.union(roots)
 
 
-def _summary(edges: DataFrame) -> tuple:
-    """Equal for equal sets of edges."""
-    return tuple(
-        edges.agg(
-            F.count("*"),
-            F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")),
-            F.sum(F.xxhash64("b", "a").cast("decimal(38,0)")),
-        ).first()
-    )
+def _are_stars(edges: DataFrame) -> bool:
+    """Every larger end has one edge and is the smaller end of none."""
+    ends = edges.select(F.col("a").alias("v"), F.lit(0).alias("up")).union(edges.select("b", F.lit(1)))
+    seen = ends.groupBy("v").agg(F.sum("up").alias("up"), F.min("up").alias("low"))
+    return seen.filter("up > 1 or (up = 1 and low = 0)").isEmpty()
 
 
 def _oriented(edges: DataFrame) -> DataFrame:
@@ -56,13 +53,17 @@ def _large_star(edges: DataFrame) -> DataFrame:
     # Stored, so that a node with very many edges can be split in the join.
     least = stored(both.groupBy("a").agg(F.min("b").alias("m")))
     # Only larger neighbours move: the pairs (a, b) with a < b as they are.
-    return edges.join(least, "a").select(F.least("a", "m").alias("a"), "b").distinct()
+    found = stored(edges.join(least, "a").select(F.least("a", "m").alias("a"), "b").distinct())
+    discard(least)
+    return found
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
     """Every node links its smaller neighbours, and itself, to the smallest of them."""
     least = stored(edges.groupBy("b").agg(F.min("a").alias("m")))
     moved = edges.join(least, "b")
-    return moved.select(F.col("m").alias("a"), F.col("a").alias("c")).union(
-        moved.select(F.col("m").alias("a"), F.col("b").alias("c"))
-    ).filter("a <> c").select("a", F.col("c").alias("b")).distinct()
+    ends = F.explode(F.array("a", "b")).alias("c")
+    found = moved.select(F.col("m").alias("a"), ends).filter("a <> c").select("a", F.col("c").alias("b")).distinct()
+    found = stored(found)
+    discard(least)
+    return found

@@ -4,9 +4,12 @@ A document is the set of its word shingles. Equal sets become one class; every c
 ``COORDINATES`` minwise tokens. In each of ``TREES`` independent trees a class branches, at
 every node, into the children named by the two tokens that the node's own path chooses, so
 similar sets meet again and again while others part. Each node compares its members with one of
-them, its leader; members that are thereby known to be linked need no comparison with each other.
-What is left of small nodes is compared exhaustively, what is left of large ones branches on.
-Signatures only select candidates: every link is confirmed on the full sets.
+them, its leader, which joins most of a large group of near copies at linear cost. Small nodes
+that then still hold several components are compared exhaustively, larger ones branch on.
+
+Signatures only select: members that look similar to one of another component are gathered by
+what they look similar to, and compared on their full sets, cell by cell; cells and nodes report
+no more pairs than they have members.
 
 At similarity 0.8 two sets miss each other in a tree with probability 0.054, in four with 1e-5;
 a signature of 128 tokens misses the selection limit with probability 1e-4.
@@ -19,13 +22,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strata.llm.components import connected_components
 from strata.llm.shared import (
     NOT_SPACE,
     Words,
+    discard,
     keep_rows,
     mixed,
     rolling,
@@ -36,10 +40,12 @@ from strata.llm.shared import (
 
 COORDINATES = 128
 TREES = 4
-#: Nodes of up to so many members are compared exhaustively.
-SMALL_NODE = 64
-#: Large nodes branch so many times; what then is left is compared in blocks of SMALL_NODE.
-LEVELS = 4
+#: Nodes of up to so many members are compared exhaustively, in cells of two blocks of BLOCK.
+SMALL_NODE, BLOCK = 4096, 256
+#: Larger nodes branch so many times; what then is left is compared exhaustively all the same.
+LEVELS = 6
+#: Bytes of text in a block of full sets.
+BLOCK_TEXT = 8 << 20
 #: Estimates deviate by up to 0.14 (four deviations at 0.8).
 SLACK = 0.14
 #: Bits of the table that tells which texts take part in a confirmation.
@@ -168,24 +174,44 @@ def _branch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _selector(limit: float):
     def select(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """(a, b, sketch of a, sketch of b) -> (a, b, estimate) of the pairs above the limit."""
+        """(a, b, sketch of a, sketch of b) -> (a, b) of the pairs above the limit."""
         for batch in batches:
             if batch.num_rows:
                 same = _matrix(batch.column(2), np.uint8) == _matrix(batch.column(3), np.uint8)
                 estimate = same.mean(axis=1)
-                good = np.flatnonzero(estimate >= limit)
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).take(pa.array(good)), batch.column(1).take(pa.array(good)), pa.array(estimate[good])],
-                    names=["a", "b", "estimate"],
-                )
+                yield pa.RecordBatch.from_arrays(batch.columns[:2], names=["a", "b"]).filter(pa.array(estimate >= limit))
 
     return select
 
 
-def _exhaustive(limit: float):
+class _Forest:
+    """Union-find over the positions of a cell; positions of equal component start united."""
+
+    def __init__(self, component: np.ndarray):
+        _, first, inverse = np.unique(component, return_index=True, return_inverse=True)
+        self.parent = first[inverse]
+
+    def union(self, i: int, j: int) -> bool:
+        a, b = self.parent[i], self.parent[j]
+        if a == b:
+            return False
+        self.parent[self.parent == b] = a
+        return True
+
+
+def _may_meet(side: np.ndarray, i: int) -> np.ndarray:
+    """Positions that position i is compared with: later ones of its own side 2, or side 1 for
+    side 0."""
+    if side[i] == 2:
+        return np.arange(i + 1, len(side))
+    return np.flatnonzero(side == 1) if side[i] == 0 else np.zeros(0, np.int64)
+
+
+def _alike(limit: float):
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """(members: node, component, side, sketch) -> (a, b) of different components whose
-        estimate is above the limit; members of sides 0 and 1 meet, of one side only if it is 2."""
+        """(members: node, component, side, sketch) -> (a, b): for every member whose estimate
+        with one of another component is above the limit a pair, and pairs that connect all such
+        members as they are connected by such estimates."""
         for batch in batches:
             ones, others = [], []
             for row in batch.column(0):
@@ -193,12 +219,50 @@ def _exhaustive(limit: float):
                 node, part = flat.field("node").to_numpy(), flat.field("component").to_numpy()
                 side = flat.field("side").to_numpy()
                 sketch = _matrix(flat.field("sketch"), np.uint8)
+                forest, named = _Forest(part), np.zeros(len(node), dtype=bool)
                 for i in range(len(node)):
-                    j = np.flatnonzero((part != part[i]) & np.where(side == 2, node > node[i], side > side[i]))
+                    j = _may_meet(side, i)
+                    j = j[part[j] != part[i]]
+                    j = j[(sketch[j] == sketch[i]).mean(axis=1) >= limit] if len(j) else j
+                    for k in j.tolist():
+                        if forest.union(i, k) or not named[k] or not named[i]:
+                            named[i] = named[k] = True
+                            ones.append(node[i])
+                            others.append(node[k])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(ones, pa.int64()), pa.array(others, pa.int64())], names=["a", "b"]
+            )
+
+    return compare
+
+
+def _similar(n: int, percent: int):
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """(members: node, component, side, text) -> (a, b): pairs similar by their full sets
+        that connect all components of the cell that such pairs connect."""
+        for batch in batches:
+            ones, others = [], []
+            for row in batch.column(0):
+                flat = row.values
+                node, part = flat.field("node").to_numpy(), flat.field("component").to_numpy()
+                side = flat.field("side").to_numpy()
+                sets = [s for _, _, block in text_blocks(flat.field("text")) for s in Shingles(block, n).sets()]
+                sizes = np.array(list(map(len, sets)))
+                starts = np.cumsum(sizes) - sizes
+                kinds, ids = np.unique(np.concatenate(sets), return_inverse=True)
+                forest, mark = _Forest(part), np.zeros(len(kinds), dtype=np.int64)
+                for i in range(len(node)):
+                    j = _may_meet(side, i)
+                    j = j[forest.parent[j] != forest.parent[i]]
                     if len(j):
-                        j = j[(sketch[j] == sketch[i]).mean(axis=1) >= limit]
-                        ones += [node[i]] * len(j)
-                        others += node[j].tolist()
+                        own = ids[starts[i] : starts[i] + sizes[i]]
+                        mark[own] = 1
+                        common = np.add.reduceat(mark[ids], starts)[j]
+                        mark[own] = 0
+                        for k in j[100 * common >= percent * (sizes[i] + sizes[j] - common)].tolist():
+                            if forest.union(i, k):
+                                ones.append(node[i])
+                                others.append(node[k])
             yield pa.RecordBatch.from_arrays(
                 [pa.array(ones, pa.int64()), pa.array(others, pa.int64())], names=["a", "b"]
             )
@@ -280,153 +344,141 @@ class _Join:
         both = pairs.join(sketch.withColumnsRenamed({"node": "a", "sketch": "sa"}), "a").join(
             sketch.withColumnsRenamed({"node": "b", "sketch": "sb"}), "b"
         )
-        return both.select("a", "b", "sa", "sb").mapInArrow(_selector(limit), "a bigint, b bigint, estimate double")
+        return both.select("a", "b", "sa", "sb").mapInArrow(_selector(limit), "a bigint, b bigint")
 
-    def confirmed(self, pairs: DataFrame, classes: DataFrame) -> DataFrame:
-        """The pairs (a, b) that are similar by their full sets."""
-        pairs = stored(pairs.select("a", "b").distinct())
-        if pairs.isEmpty():
-            return pairs
-        nodes = pairs.select("a").union(pairs.select("b")).distinct().withColumnRenamed("a", "node")
+    def texts_of(self, nodes: DataFrame, classes: DataFrame) -> DataFrame:
+        """node, text: one text for each of the nodes. Other texts mostly stay where they are."""
         needed = stored(classes.select("node", "digest").join(nodes, "node", "left_semi"))
         bits = self.texts.sparkSession.sparkContext.broadcast(_bit_table(needed))
         pick = _late(_wanted_texts, self.n, bits)
-        texts = stored(
+        found = stored(
             self.texts.mapInArrow(pick, "digest binary, text string")
             .join(needed, "digest")
             .groupBy("node")
             .agg(F.min("text").alias("text"))
         )
+        discard(needed)
+        return found
+
+    def confirmed(self, pairs: DataFrame, classes: DataFrame) -> DataFrame:
+        """The pairs (a, b) that are similar by their full sets."""
+        nodes = pairs.select("a").union(pairs.select("b")).distinct().withColumnRenamed("a", "node")
+        texts = self.texts_of(nodes, classes)
         both = pairs.join(texts.withColumnsRenamed({"node": "a", "text": "ta"}), "a").join(
             texts.withColumnsRenamed({"node": "b", "text": "tb"}), "b"
         )
-        return stored(
+        found = stored(
             both.select("a", "b", "ta", "tb").mapInArrow(_confirmer(self.n, self.percent), "a bigint, b bigint")
         )
+        discard(texts)
+        return found
 
     def leaders(self, members: DataFrame) -> DataFrame:
-        """path, size, leader of the nodes with two members or more."""
+        """path, leader of the nodes with two members or more."""
         mask = F.element_at(F.array(*[F.lit(m) for m in MASKS]), F.col("tree") + 1)
         return stored(
             members.groupBy("path", "tree")
             .agg(F.count("*").alias("size"), F.min(F.col("node").bitwiseXOR(mask)).alias("low"))
             .filter("size > 1")
-            .select("path", "size", F.col("low").bitwiseXOR(mask).alias("leader"))
+            .select("path", F.col("low").bitwiseXOR(mask).alias("leader"))
         )
 
-    def led(self, members: DataFrame) -> DataFrame:
-        """path, tree, node, size, leader."""
-        return stored(members.join(self.leaders(members), "path"))
-
-    def same(self, links: DataFrame, classes: DataFrame) -> DataFrame:
-        """node, component of every class, by the links so far."""
-        found = connected_components(links)
+    def merged(self, parts: DataFrame, links: DataFrame) -> DataFrame:
+        """node, component of every class: those so far, joined by further links."""
+        named = links.join(parts.withColumnsRenamed({"node": "a", "component": "ca"}), "a").join(
+            parts.withColumnsRenamed({"node": "b", "component": "cb"}), "b"
+        )
+        found = connected_components(named.select(F.col("ca").alias("a"), F.col("cb").alias("b")))
+        found = found.select(F.col("node").alias("component"), F.col("component").alias("to"))
         return stored(
-            classes.select("node")
-            .join(found, "node", "left")
-            .select("node", F.coalesce("component", "node").alias("component"))
+            parts.join(found, "component", "left").select("node", F.coalesce("to", "component").alias("component"))
         )
 
     def mixed_nodes(self, members: DataFrame, parts: DataFrame) -> DataFrame:
-        """The members, with component, of tree nodes that hold more than one component."""
-        marked = stored(members.join(parts, "node"))
+        """path, tree, node, component, size, low: the members of tree nodes that hold more than
+        one component, low being the smallest of these."""
+        marked = stored(members.select("path", "tree", "node").join(parts, "node"))
         several = stored(
             marked.groupBy("path")
-            .agg(F.min("component").alias("low"), F.max("component").alias("high"))
+            .agg(F.count("*").alias("size"), F.min("component").alias("low"), F.max("component").alias("high"))
             .filter("low <> high")
-            .select("path")
-        )
-        return marked.join(several, "path", "left_semi")
-
-    def compared(self, cells: DataFrame) -> DataFrame:
-        """Candidates (a, b) of the cells (cell columns, node, component, side, sketch)."""
-        lists = cells.groupBy(*[c for c in cells.columns if c not in ("node", "component", "side", "sketch")]).agg(
-            F.collect_list(F.struct("node", "component", "side", "sketch")).alias("members")
-        )
-        return lists.select("members").mapInArrow(_exhaustive(self.limit), "a bigint, b bigint")
-
-    def in_blocks(self, members: DataFrame) -> DataFrame:
-        """Cells of at most about twice SMALL_NODE members in which any two members of a node
-        meet (path, size, node, component, sketch): block pairs of the node."""
-        n = F.ceil(F.col("size") / SMALL_NODE).cast("int")
-        placed = members.withColumn("n", n).withColumn("own", F.pmod(F.xxhash64("node"), F.col("n")).cast("int"))
-        cells = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("n") - 1)))
-        own, other = F.col("own"), F.col("other")
-        return cells.select(
-            "path",
-            F.least(own, other).alias("i"),
-            F.greatest(own, other).alias("j"),
-            "node",
-            "component",
-            F.when(own == other, 2).when(own < other, 0).otherwise(1).alias("side"),
-            "sketch",
-        )
-
-    def around(self, near: DataFrame, links: DataFrame, parts: DataFrame, classes: DataFrame) -> DataFrame:
-        """Candidates between ``near`` (a, b): a not linked to leader b but near enough to be
-        similar to something that is, and everything linked to b, in blocks."""
-        part = parts.withColumnsRenamed({"node": "a", "component": "pa"})
-        outer = near.join(part, "a").join(parts.withColumnsRenamed({"node": "b", "component": "pb"}), "b")
-        outer = stored(outer.filter("pa <> pb").select("b", "a", "pa"))
-        if outer.isEmpty():
-            return outer.select("a", "b")
-        inner = links.join(outer.select("b").distinct(), "b", "left_semi").join(classes.select(F.col("node").alias("a"), "sketch"), "a")
-        sizes = stored(inner.groupBy("b").count())
-        blocked = inner.join(sizes, "b").withColumn(
-            "block", F.pmod(F.xxhash64("a"), F.ceil(F.col("count") / SMALL_NODE)).cast("int")
+            .select("path", "size")
         )
-        packed = stored(
-            blocked.join(parts.withColumnRenamed("node", "a"), "a")
-            .groupBy("b", "block")
-            .agg(F.collect_list(F.struct(F.col("a").alias("node"), "component", F.lit(1).alias("side"), "sketch")).alias("inner"))
+        found = stored(marked.join(several, "path"))
+        discard(marked, several)
+        return found
+
+    def linked(self, members: DataFrame, parts: DataFrame, classes: DataFrame) -> DataFrame | None:
+        """Links (a, b) that connect what is similar among the members (path, size, node,
+        component) of each tree node; None if there are none."""
+        sketched = members.join(classes.select("node", "sketch"), "node")
+        cells = _cells(sketched, "path", F.ceil(F.col("size") / BLOCK), "sketch")
+        seen = stored(cells.mapInArrow(_alike(self.limit), "a bigint, b bigint").distinct())
+        if seen.isEmpty():
+            return None
+        # What may be connected, directly or through others, is gathered in one family.
+        named = seen.join(parts.withColumnsRenamed({"node": "a", "component": "ca"}), "a").join(
+            parts.withColumnsRenamed({"node": "b", "component": "cb"}), "b"
         )
-        sketched = outer.join(classes.select(F.col("node").alias("a"), "sketch"), "a")
-        one = F.struct(F.col("a").alias("node"), F.col("pa").alias("component"), F.lit(0).alias("side"), "sketch")
-        return (
-            sketched.join(packed, "b")
-            .select(F.concat(F.array(one), "inner").alias("members"))
-            .mapInArrow(_exhaustive(self.limit), "a bigint, b bigint")
+        families = connected_components(named.select(F.col("ca").alias("a"), F.col("cb").alias("b")))
+        families = families.select(F.col("node").alias("component"), F.col("component").alias("family"))
+        nodes = stored(seen.select("a").union(seen.select("b")).distinct().withColumnRenamed("a", "node"))
+        texts = self.texts_of(nodes, classes)
+        placed = stored(nodes.join(parts, "node").join(families, "component").select("family", "node", "component"))
+        sized = placed.join(texts.select("node", F.octet_length("text").alias("n")), "node")
+        sizes = stored(
+            sized.groupBy("family").agg(
+                F.ceil(F.greatest(F.count("*") / BLOCK, F.sum("n") / BLOCK_TEXT)).alias("blocks")
+            )
         )
-
-    def links(self, classes: DataFrame) -> tuple[DataFrame, DataFrame]:
-        """(a, b): confirmed links that connect all similar classes; node, component."""
-        limit = self.percent / 100
-        start = classes.select("node", "tokens").mapInArrow(_sprout, "path bigint, tree int, node bigint")
-        # The sharing of a node is counted first: a class alone in its nodes goes no further.
-        members = stored(start.join(self.leaders(start), "path"))
-        links = None
+        whole = placed.join(sizes, "family").join(texts, "node")
+        cells = _cells(whole, "family", F.col("blocks"), "text")
+        found = stored(cells.mapInArrow(_similar(self.n, self.percent), "a bigint, b bigint"))
+        discard(seen, nodes, texts, placed, sizes)
+        return found
+
+    def components(self, classes: DataFrame) -> DataFrame:
+        """node, component of every class."""
+        parts = stored(classes.select("node", F.col("node").alias("component")))
+        members = classes.select("node", "tokens").mapInArrow(_sprout, "path bigint, tree int, node bigint")
         for level in range(LEVELS + 1):
-            lead = members if level == 0 else members.filter(F.col("size") > SMALL_NODE)
-            pairs = lead.filter("node <> leader").select(F.col("node").alias("a"), F.col("leader").alias("b")).distinct()
-            # A set within 0.2 of a member that is within 0.2 of the leader is within 0.4 of it.
-            seen = stored(self.sketched(pairs, classes, max(0.0, 2 * limit - 1 - SLACK - 0.03)))
-            found = self.confirmed(seen.filter(F.col("estimate") >= self.limit), classes)
-            links = found if links is None else stored(links.union(found))
-            parts = self.same(links, classes)
-
-            left = stored(self.mixed_nodes(members, parts))
-            rest = left.filter(F.col("size") > SMALL_NODE)
-            near = seen.join(found, ["a", "b"], "left_anti").join(
-                rest.select(F.col("node").alias("a"), F.col("leader").alias("b")).distinct(), ["a", "b"], "left_semi"
-            )
-            sketch = classes.select("node", "sketch")
-            small = left.filter(F.col("size") <= SMALL_NODE).select("path", "node", "component", F.lit(2).alias("side"))
-            more = self.compared(small.join(sketch, "node")).union(self.around(near.select("a", "b"), found, parts, classes))
-            covered = found.select(F.col("a").alias("node"), F.col("b").alias("leader"))
-            rest = rest.filter("node <> leader").join(covered, ["node", "leader"], "left_anti")
-            rest = stored(rest.select("path", "tree", "node"))
-            if level == LEVELS and not rest.isEmpty():
-                last = self.led(rest).join(parts, "node").join(sketch, "node")
-                more = more.union(self.compared(self.in_blocks(last.select("path", "size", "node", "component", "sketch"))))
-            new = self.confirmed(more, classes)
-            if not new.isEmpty():
-                links = stored(links.union(new))
-                parts = self.same(links, classes)
-            if level == LEVELS or rest.isEmpty():
+            # The sharing of a node is counted first: a class alone in its nodes goes no further.
+            leaders = self.leaders(members)
+            members = stored(members.join(leaders, "path"))
+            pairs = members.filter("node <> leader").select(F.col("node").alias("a"), F.col("leader").alias("b"))
+            pairs = stored(self.sketched(pairs.distinct(), classes, self.limit))
+            if not pairs.isEmpty():
+                found = self.confirmed(pairs, classes)
+                parts = self.merged(parts, found)
+                discard(found)
+            mixed_ = self.mixed_nodes(members, parts)
+            discard(leaders, members, pairs)
+
+            now = mixed_ if level == LEVELS else mixed_.filter(F.col("size") <= SMALL_NODE)
+            found = self.linked(now, parts, classes)
+            if found is not None:
+                parts = self.merged(parts, found)
+                discard(found)
+            large = mixed_.filter(F.col("size") > SMALL_NODE)
+            if level == LEVELS or large.isEmpty():
                 break
-            deeper = rest.join(classes.select("node", "tokens"), "node").select("path", "tree", "node", "tokens")
-            members = self.led(deeper.mapInArrow(_branch, "path bigint, tree int, node bigint"))
-        return links, parts
+            deeper = large.join(classes.select("node", "tokens"), "node").select("path", "tree", "node", "tokens")
+            members = deeper.mapInArrow(_branch, "path bigint, tree int, node bigint")
+        return parts
+
+
+def _cells(members: DataFrame, group: str, blocks: Column, value: str) -> DataFrame:
+    """members (arrays of node, component, side and the value): cells of at most about twice
+    BLOCK members in which any two members of a group meet."""
+    placed = members.withColumn("_n", blocks.cast("int")).withColumn("_own", F.pmod(F.xxhash64("node"), F.col("_n")).cast("int"))
+    spread = placed.withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_n") - 1)))
+    own, other = F.col("_own"), F.col("_other")
+    side = F.when(own == other, 2).when(own < other, 0).otherwise(1)
+    return (
+        spread.groupBy(group, F.least(own, other).alias("_i"), F.greatest(own, other).alias("_j"))
+        .agg(F.collect_list(F.struct("node", "component", side.alias("side"), value)).alias("members"))
+        .select("members")
+    )
 
 
 def _late(make, n, sent):
@@ -442,7 +494,7 @@ def _components(docs: DataFrame, n: int, percent: int, text: str, key: str) -> D
     prints = stored(shingle_prints(docs, n, text, key).withColumn("row", F.monotonically_increasing_id()))
     join = _Join(docs, n, percent, text)
     classes = join.classes(prints)
-    _, parts = join.links(classes)
+    parts = join.components(classes)
     # Rows -> class -> component; empty sets stand alone.
     named = stored(classes.select("digest", "node").join(parts, "node").select("digest", "component"))
     rows = prints.select("doc_id", "text_hash", "n_shingles", "row", "digest")

@@ -31,7 +31,15 @@ def stored(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     path = storage.workspace(spark, "llm")
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    table.stored_at = path
+    return table
+
+
+def discard(*tables: DataFrame) -> None:
+    """Deletes tables that nothing reads any more: what was made of them is stored itself."""
+    for table in tables:
+        storage.delete(table.sparkSession, table.stored_at)
 
 
 def single_column(name: str, *taken: str) -> str:
