@@ -29,14 +29,10 @@ def resolve_mapping(mapping: Mapping[str, str]) -> dict[str, str]:
     The rules apply one after the other, so a later rule also sees what an earlier rule
     produced: ``{"a": "b", "b": "c"}`` sends ``a`` to ``c``.
     """
-    rules = [(source.lower(), target) for source, target in mapping.items()]
+    # From the last rule back: what a value becomes from this rule on.
     resolved: dict[str, str] = {}
-    for start, _ in rules:
-        value = None
-        for source, target in rules:
-            if (start if value is None else value.lower()) == source:
-                value = target
-        resolved[start] = value
+    for source, target in reversed(mapping.items()):
+        resolved[source.lower()] = resolved.get(target.lower(), target)
     return resolved
 
 

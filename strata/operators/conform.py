@@ -85,13 +85,17 @@ def map_values(df: DataFrame, name: str, mapping: Mapping[str, str]) -> DataFram
     if len(mapping) <= text.MAX_LITERAL_MAPPING:
         return df.withColumn(name, text.mapped(F.col(name), mapping))
     pairs = text.resolve_mapping(mapping)
+    taken = {c.lower() for c in df.columns}
+    source, target = "_mapped_from", "_mapped_to"
+    while {source, target} & taken:
+        source, target = f"_{source}", f"_{target}"
     lookup = df.sparkSession.createDataFrame(
-        pa.table({"_from": list(pairs.keys()), "_to": list(pairs.values())})
+        pa.table({source: list(pairs.keys()), target: list(pairs.values())})
     )
     if len(pairs) <= text.MAX_BROADCAST_MAPPING:
         lookup = F.broadcast(lookup)
-    joined = df.join(lookup, F.lower(df[name]) == lookup["_from"], "left")
-    return joined.withColumn(name, F.coalesce("_to", name)).drop("_from", "_to")
+    joined = df.join(lookup, F.lower(df[name]) == lookup[source], "left")
+    return joined.withColumn(name, F.coalesce(target, name)).select(*df.columns)
 
 
 def standardize(df: DataFrame, spec: StandardizeSpec) -> DataFrame:
@@ -141,6 +145,18 @@ def stamp(df: DataFrame, layer: str = "silver") -> DataFrame:
     return df.withColumns({"_processing_timestamp": F.current_timestamp(), "_layer": F.lit(layer)})
 
 
+def row_audits(df: DataFrame, spec: DatasetSpec) -> dict[str, Column]:
+    """Counters of a conformed table that can be observed while it is written: null values of
+    each required column and values outside each declared domain."""
+    have = set(df.columns)
+    counters = {f"{n}_null_count": F.count_if(F.col(n).isNull()) for n in spec.required if n in have}
+    for n, values in spec.domains.items():
+        if n in have and values:
+            outside = F.col(n).isNotNull() & ~F.col(n).isin(list(values))
+            counters[f"{n}_invalid_count"] = F.count_if(outside)
+    return counters
+
+
 # A step of the chain: (rows, declaration) -> rows.
 Step = Callable[[DataFrame, DatasetSpec], DataFrame]
 

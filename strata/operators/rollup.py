@@ -1,9 +1,13 @@
 """Aggregation by dimensions.
 
 Every aggregate is computed in two levels: a *base* grouped by the dimensions plus the
-columns that need distinct values, then the aggregate itself over the base. The base is
-small and combines map-side, a hot group is spread over its distinct values, and several
-aggregates can share one base, so the input is read once for all of them.
+column that needs distinct values, then the aggregate itself over the base. The base
+combines map-side, a hot group is spread over its distinct values, and several aggregates can
+share one base, so the input is read once for all of them.
+
+A base over several distinct columns at once may be as large as the input. It is only used
+where these columns are the dimensions of another aggregate of the same input; otherwise each
+distinct column has a pass of its own and the results are joined by the dimensions.
 """
 
 from __future__ import annotations
@@ -86,6 +90,11 @@ def _grain(spec: RollupSpec) -> list[str]:
     return list(dict.fromkeys([*spec.dimensions, *distinct]))
 
 
+def _apart(spec: RollupSpec) -> list[str]:
+    """Columns beyond the dimensions that need distinct values."""
+    return [c for c in _grain(spec) if c not in spec.dimensions]
+
+
 def base_for(df: DataFrame, specs: Iterable[RollupSpec], grain: Sequence[str]) -> DataFrame:
     """Group ``df`` once by ``grain`` with every partial the rollups need."""
     partials: dict[str, Column] = {ROWS: F.count("*")}
@@ -121,7 +130,7 @@ def rollup(base: DataFrame, spec: RollupSpec) -> DataFrame:
     measures = {alias: _final(m).alias(alias) for alias, m in _measures(spec).items()}
     result = base.groupBy(*spec.dimensions).agg(*measures.values())
     if spec.percentage and spec.record_count:
-        share = F.round(F.col("record_count") / total_rows(base) * 100, 2)
+        share = F.round(F.try_divide("record_count", total_rows(base)) * 100, 2)
         result = result.withColumn("percentage_of_total", share)
     ordering = _ordering(spec)
     return (result.orderBy(*ordering) if ordering else result).withColumn(
@@ -147,9 +156,43 @@ def aggregate(df: DataFrame, spec: RollupSpec) -> DataFrame:
     """One aggregate table straight from detail rows."""
     require_dimensions(df, spec.dimensions)
     spec = available(df, spec)
+    if len(_apart(spec)) > 1:
+        return _joined(df, spec)
     return rollup(base_for(df, [spec], _grain(spec)), spec)
 
 
+def _joined(df: DataFrame, spec: RollupSpec) -> DataFrame:
+    """An aggregate with several distinct columns: one pass for each, joined by dimension."""
+    measures = _measures(spec)
+    apart = {
+        c: {a: m for a, m in measures.items() if m != "count" and m[1] in SET_FUNCTIONS and m[0] == c}
+        for c in _apart(spec)
+    }
+    rest = {a: m for a, m in measures.items() if not any(a in group for group in apart.values())}
+    plain = RollupSpec("plain", spec.dimensions, {**rest, ROWS: "count"}, record_count=False)
+    base = base_for(df, [plain], _grain(plain))
+    result = rollup(base, plain).drop("_created_at")
+    for column, group in apart.items():
+        one = RollupSpec(column, spec.dimensions, group, record_count=False)
+        found = rollup(base_for(df, [one], _grain(one)), one).drop("_created_at")
+        if spec.dimensions:
+            found = found.withColumnsRenamed({d: f"{PART}{d}" for d in spec.dimensions})
+            same = [F.col(d).eqNullSafe(F.col(f"{PART}{d}")) for d in spec.dimensions]
+            result = result.join(found, same).drop(*[f"{PART}{d}" for d in spec.dimensions])
+        else:
+            values = found.select(F.struct(*group).alias("v")).scalar()
+            result = result.withColumns({alias: values.getField(alias) for alias in group})
+    columns = [*spec.dimensions, *measures]
+    if spec.percentage and spec.record_count:
+        share = F.round(F.try_divide(ROWS, total_rows(base)) * 100, 2)
+        result = result.withColumn("percentage_of_total", share)
+        columns.append("percentage_of_total")
+    result, ordering = result.select(*columns), _ordering(spec)
+    return (result.orderBy(*ordering) if ordering else result).withColumn(
+        "_created_at", F.current_timestamp()
+    )
+
+
 def aggregate_by_dimensions(
     df: DataFrame,
     dimensions: Sequence[str],
@@ -167,13 +210,19 @@ def aggregate_by_dimensions(
     return aggregate(df, spec)
 
 
-def plan_bases(specs: Sequence[RollupSpec]) -> list[tuple[list[str], list[RollupSpec]]]:
-    """Group rollups by shared base: the widest grain serves every rollup it covers."""
+def plan_bases(specs: Sequence[RollupSpec]) -> list[tuple[list[str] | None, list[RollupSpec]]]:
+    """Group rollups by shared base: the widest grain serves every rollup it covers.
+
+    A grain with several distinct columns is only made if the dimensions of some rollup make it
+    anyway; a rollup that would need it alone comes with None and is aggregated by itself.
+    """
+    narrow = [s for s in specs if len(_apart(s)) <= 1]
     waiting = sorted(specs, key=lambda s: len(_grain(s)), reverse=True)
-    plans = []
-    while waiting:
-        grain = _grain(waiting[0])
-        covered = [s for s in waiting if set(_grain(s)) <= set(grain)]
-        waiting = [s for s in waiting if s not in covered]
-        plans.append((grain, covered))
-    return plans
+    plans: list[tuple[list[str] | None, list[RollupSpec]]] = []
+    for first in sorted(narrow, key=lambda s: len(_grain(s)), reverse=True):
+        if first in waiting:
+            grain = _grain(first)
+            covered = [s for s in waiting if set(_grain(s)) <= set(grain)]
+            waiting = [s for s in waiting if s not in covered]
+            plans.append((grain, covered))
+    return plans + [(None, [s]) for s in waiting]

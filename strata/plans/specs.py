@@ -146,7 +146,8 @@ def place_rollups(prefix: str, kind: str) -> list[RollupSpec]:
 
 
 def quality_rollup(name: str, kind: str) -> RollupSpec:
-    """One-row health summary of a conformed dataset of places."""
+    """One-row health summary of a conformed dataset of places. Its column names are fixed
+    values: readers of the table expect them."""
     return RollupSpec(
         name,
         measures={
@@ -190,6 +191,7 @@ def place_dataset(
             trailing_dash=("postal_code",),
         ),
         defaults=LOCATION_DEFAULTS,
+        score=ScoreSpec(present=(key, "name")),
         quality=QualitySpec(
             min_landed=min_landed,
             landed_fields=(key, "name", kind),
@@ -220,10 +222,12 @@ def dataset_from_config(
         for key, values in schema.items()
         if key.startswith("valid_") and key.endswith("s")
     }
+    key = silver.get("deduplication", {}).get("key", "id")
     return DatasetSpec(
         name=name,
         fields=tuple(FieldSpec.of(f) for f in schema.get("fields", [])),
-        key=silver.get("deduplication", {}).get("key", "id"),
+        key=key,
+        score=ScoreSpec(present=(key, "name")),
         required=tuple(schema.get("required_fields", [])),
         domains=domains,
         standardize=StandardizeSpec(
@@ -245,7 +249,7 @@ def dataset_from_config(
         quality=QualitySpec(
             min_landed=limits.get("bronze_min_records", 100),
             landed_fields=tuple(landed[0]["required_fields"]) if landed else (),
-            unique_key=silver_rules.get("unique_key", "id"),
+            unique_key=silver_rules.get("unique_key", key),
             required=tuple(silver_rules.get("required_fields", [])),
             ranges={k: tuple(v) for k, v in silver_rules.get("value_ranges", {}).items() if len(v) == 2},
             allowed={k: tuple(v) for k, v in silver_rules.get("allowed_values", {}).items() if v},
@@ -258,26 +262,62 @@ def dataset_from_config(
     )
 
 
+# Metric names of settings that stand for a measure of their own.
+KNOWN_METRICS: Mapping[str, Measure] = {
+    "total_records": "count",
+    "avg_quality_score": ("data_quality_score", "avg_2dp"),
+    "min_quality_score": ("data_quality_score", "min"),
+    "max_quality_score": ("data_quality_score", "max"),
+    "valid_location_count": ("is_valid_location", "count_true"),
+    "complete_address_count": ("has_complete_address", "count_true"),
+    "records_with_phone": ("phone", "count_present"),
+    "records_with_website": ("website_url", "count_present"),
+}
+
+
+def _measure_of(metric: str, columns: set[str]) -> Measure | None:
+    """What a metric name means: a known one, ``<column>_count`` (distinct values) or
+    ``<column>s`` (the set of values) of a declared column."""
+    if metric in KNOWN_METRICS:
+        return KNOWN_METRICS[metric]
+    for suffix, function in (("_count", "count_distinct"), ("s", "collect_set")):
+        if metric.endswith(suffix) and metric.removesuffix(suffix) in columns:
+            return metric.removesuffix(suffix), function
+    return None
+
+
 def _declared_rollups(config: Mapping[str, Any]) -> list[RollupSpec]:
-    """Aggregations listed in the settings. Metrics other than counts and shares need a
-    ``measures`` entry (``alias: [column, function]``) beside them."""
+    """Aggregations listed in the settings. A metric is a count, a share, one that its name
+    explains, or one with a ``measures`` entry (``alias: [column, function]``) beside it.
+
+    Tables with shares are ordered by size if they have one dimension or measures of their own,
+    all others by their dimensions; ``order_by`` says otherwise.
+    """
+    fields = config.get("schemas", {}).get("silver", {}).get("fields", [])
+    columns = {FieldSpec.of(f).name for f in fields}
     specs = []
     for entry in config.get("transformations", {}).get("gold", {}).get("aggregations", []):
-        metrics = entry.get("metrics", [])
+        metrics, dimensions = entry.get("metrics", []), tuple(entry.get("group_by", ()))
         measures = {
             alias: m if isinstance(m, str) else tuple(m)
             for alias, m in entry.get("measures", {}).items()
         }
-        unknown = set(metrics) - {"record_count", "percentage_of_total"} - set(measures)
-        if unknown:
-            raise ValueError(f"{entry['name']}: no definition for metrics {sorted(unknown)}")
+        for metric in metrics:
+            if metric not in ("record_count", "percentage_of_total") and metric not in measures:
+                measure = _measure_of(metric, columns | set(dimensions))
+                if measure is None:
+                    raise ValueError(f"{entry['name']}: no definition for metric '{metric}'")
+                measures[metric] = measure
+        by_size = "record_count" in metrics and (len(dimensions) == 1 or bool(measures))
+        order = ("-record_count",) if by_size and dimensions else dimensions
         specs.append(
             RollupSpec(
                 entry["name"],
-                tuple(entry.get("group_by", ())),
+                dimensions,
                 measures,
                 record_count="record_count" in metrics,
                 percentage="percentage_of_total" in metrics,
+                order_by=tuple(entry.get("order_by", order)),
             )
         )
     return specs

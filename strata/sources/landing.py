@@ -92,14 +92,24 @@ def append_records(
 
 
 def runs(
-    spark: SparkSession, landing: str, date: str | None = None, source: str | None = None
+    spark: SparkSession,
+    landing: str,
+    date: str | None = None,
+    source: str | None = None,
+    dataset: str | None = None,
 ) -> list[Run]:
-    """The runs of one date (or of all dates)."""
+    """The runs of one date, source and dataset (None: of all). Only names that can match are
+    listed, so a scan of one date does not fetch the names of all dates."""
     if not storage.exists(spark, landing):
         raise FileNotFoundError(f"Landing folder does not exist: {landing}")
-    names = storage.names(spark, f"{landing.rstrip('/')}/*_bronze_*.json*")
+    known = [x if x and re.fullmatch(r"[\w.-]+", x) else "*" for x in (dataset, source, date)]
+    names = storage.names(spark, "{}/{}_bronze_{}_{}_*.json*".format(landing.rstrip("/"), *known))
     every = [run for run in map(Run.named, names) if run]
-    found = [r for r in every if date in (None, r.date) and source in (None, r.source)]
+    found = [
+        r
+        for r in every
+        if date in (None, r.date) and source in (None, r.source) and dataset in (None, r.dataset)
+    ]
     if not found:
         raise FileNotFoundError(f"No landed data for {date or 'any date'} in {landing}")
     return found
@@ -172,23 +182,34 @@ def _elements(text: DataFrame, strict: bool) -> DataFrame:
     return parsed.select("_path", checked.alias("_elements"))
 
 
+def _lines(text: DataFrame, strict: bool) -> DataFrame:
+    """The lines that hold something; broken ones raise an error or are left out."""
+    lines = text.filter(F.trim("value") != "")
+    broken = F.try_parse_json(F.col("value")).isNull()
+    if not strict:
+        return lines.filter(~broken)
+    reason = F.concat(F.lit("Invalid JSON line in "), F.col("_path"))
+    return lines.withColumn("value", F.when(broken, F.raise_error(reason)).otherwise(F.col("value")))
+
+
 def scan(
     spark: SparkSession,
     landing: str,
     date: str | None = None,
     source: str | None = None,
     on_invalid: str = "raise",
+    dataset: str | None = None,
 ) -> DataFrame:
     """Records of every run of a date as ``payload`` plus run columns.
 
     All reruns of the date are read together. Array files that are valid JSON but not an
-    array are skipped (``inventory`` reports them); an unreadable file is an error unless
-    ``on_invalid='skip'``. Text after the end of an array is only reported by ``inventory``,
-    which parses more thoroughly.
+    array are skipped (``inventory`` reports them). A file or line that is no JSON is an error;
+    with ``on_invalid='skip'`` it is left out. Text after the end of an array is only reported
+    by ``inventory``, which parses more thoroughly.
     """
     if on_invalid not in ("raise", "skip"):
         raise ValueError(f"on_invalid must be 'raise' or 'skip', not {on_invalid!r}")
-    found, parts = runs(spark, landing, date, source), []
+    found, parts = runs(spark, landing, date, source, dataset), []
     for extension, text in _text_of(spark, landing, found).items():
         if extension == ".json":
             # The outer form, with its empty rows dropped after: for the plain form Spark
@@ -199,7 +220,7 @@ def scan(
                 .filter(F.col("_position").isNotNull())
             )
         else:
-            records = text.filter(F.trim("value") != "").select(
+            records = _lines(text, on_invalid == "raise").select(
                 "_path", F.lit(None).cast("int").alias("_position"), F.col("value").alias("payload")
             )
         parts.append(records)
@@ -221,12 +242,22 @@ def load_latest(
     parser: Callable[[DataFrame], DataFrame],
     source: str | None = None,
     normalize_key: bool = False,
+    dataset: str | None = None,
+    counts: Observation | None = None,
 ) -> DataFrame:
     """Landed records of a date through ``parser``, newest record per ``key``.
 
-    ``parser`` turns ``payload`` into columns and keeps ``RUN_COLUMNS``.
+    ``parser`` turns ``payload`` into columns and keeps ``RUN_COLUMNS``. Records without a key
+    count as one key; ``counts`` observes how many records were read and how many lack the key
+    (``records_read``, ``null_keys``).
     """
-    parsed = scan(spark, landing, date, source).transform(parser)
+    parsed = scan(spark, landing, date, source, dataset=dataset).transform(parser)
+    if counts is not None:
+        parsed = parsed.observe(
+            counts,
+            F.count(F.lit(1)).alias("records_read"),
+            F.count_if(F.col(key).isNull()).alias("null_keys"),
+        )
     latest = keep_latest(parsed, key, latest_first(), normalize_key)
     return latest.drop("_position", "_record_hash")
 
@@ -236,10 +267,14 @@ def _is_empty(record: Column) -> Column:
 
 
 def inventory(
-    spark: SparkSession, landing: str, date: str | None = None, source: str | None = None
+    spark: SparkSession,
+    landing: str,
+    date: str | None = None,
+    source: str | None = None,
+    dataset: str | None = None,
 ) -> DataFrame:
     """``(path, valid, is_array, records, empty_records)`` per array file or per record line."""
-    found, parts = runs(spark, landing, date, source), []
+    found, parts = runs(spark, landing, date, source, dataset), []
     for extension, text in _text_of(spark, landing, found).items():
         path = F.col("_path").alias("path")
         if extension == ".json":
@@ -277,7 +312,12 @@ def found_runs(spark: SparkSession, landing: str) -> DataFrame:
     return spark.createDataFrame(pairs, "dataset string, date string")
 
 
-def landed_dates(files: DataFrame) -> DataFrame:
-    """Distinct dates of the runs that files with a ``path`` belong to."""
-    date = F.regexp_extract("path", f"/[^/]+?{RUN_PATTERN[len('(.+?)'):]}(?:/|$)", 2)
-    return files.select(date.alias("date")).distinct()
+def landed_dates(files: DataFrame, dataset: str | None = None, source: str | None = None) -> DataFrame:
+    """Distinct dates of the runs (of a dataset and source) that files with a ``path`` are of."""
+    pattern = f"/([^/]+?){RUN_PATTERN[len('(.+?)'):]}(?:/|$)"
+    part = {n: F.regexp_extract("path", pattern, i) for i, n in ((1, "dataset"), (2, "source"), (3, "date"))}
+    found = files.select(*[c.alias(n) for n, c in part.items()]).filter("date <> ''")
+    for name, wanted in (("dataset", dataset), ("source", source)):
+        if wanted is not None:
+            found = found.filter(F.col(name) == wanted)
+    return found.select("date").distinct()

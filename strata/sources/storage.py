@@ -48,6 +48,31 @@ def move(spark: SparkSession, source: str, target: str) -> None:
         raise OSError(f"Could not move {source} to {target}")
 
 
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small text file; the one before it is replaced by a rename once this one is complete."""
+    fs, target = _file_system(spark, path)
+    _, aside = _file_system(spark, f"{path}.{uuid.uuid4().hex}")
+    stream = fs.create(aside, True)
+    try:
+        stream.write(bytearray(text, "utf-8"))
+    finally:
+        stream.close()
+    fs.delete(target, False)
+    fs.rename(aside, target)
+
+
+def read_text(spark: SparkSession, path: str) -> str | None:
+    """The content of a small text file, or None where there is none."""
+    fs, p = _file_system(spark, path)
+    if not fs.exists(p):
+        return None
+    stream = fs.open(p)
+    try:
+        return bytes(spark._jvm.org.apache.commons.io.IOUtils.toByteArray(stream)).decode("utf-8")
+    finally:
+        stream.close()
+
+
 def staging(root: str) -> str:
     """Fresh folder beside the final one. Spark's readers skip names starting with ``_``."""
     return f"{root.rstrip('/')}/_staging_{uuid.uuid4().hex}"

@@ -1,6 +1,6 @@
 """Rebuild the dates that received new runs since the last call.
 
-The same work as the daily batch, started by arrivals instead of a calendar: a file stream
+The same gated day as the daily batch, started by arrivals instead of a calendar: a file stream
 remembers in its checkpoint which landed files it has seen, and each date with something
 new is rebuilt as a whole. That keeps the keep-latest rule exact without holding keys in
 state, and repeating a batch after a failure gives the same table.
@@ -21,7 +21,11 @@ FILES = "path string, modificationTime timestamp, length bigint, content binary"
 def follow_landed(
     spark: SparkSession, spec: DatasetSpec, layout: daily.Layout, checkpoint: str
 ) -> StreamingQuery:
-    """Start a query that handles everything landed so far and then stops."""
+    """Start a query that handles everything landed so far and then stops.
+
+    Runs of other datasets or sources in the folder are passed over. A date that fails its
+    checks ends the query; it is tried again at the next start.
+    """
     files = (
         spark.readStream.format("binaryFile")
         .schema(FILES)
@@ -30,8 +34,9 @@ def follow_landed(
     )
 
     def rebuild(batch: DataFrame, _: int) -> None:
-        for row in landing.landed_dates(batch).sort("date").collect():
-            daily.build_silver(spark, spec, layout, row.date)
+        dates = landing.landed_dates(batch, spec.name, spec.source)
+        for row in dates.sort("date").collect():  # as many rows as dates with new runs
+            daily.run_day(spark, spec, layout, row.date)
 
     return (
         files.writeStream.foreachBatch(rebuild)

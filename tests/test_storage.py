@@ -153,8 +153,10 @@ def test_rerun_replaces_the_date_only(spark, folder):
     assert tables.read_dated(spark, path, NEXT).count() == 2
     tables.write_dated(df.filter("country = 'US'"), path, NEXT, cells, replace="cells")
     assert tables.read_dated(spark, path, NEXT).count() == 2  # the other cell stays
+    tables.write_dated(df.limit(0), path, NEXT, cells, replace="cells")
+    assert tables.read_dated(spark, path, NEXT).count() == 2  # no cells, nothing to replace
     tables.write_dated(df.limit(0), path, NEXT, cells)
-    assert tables.read_dated(spark, path, NEXT).count() == 2  # nothing replaces nothing
+    assert tables.read_dated(spark, path, NEXT).count() == 0  # the date itself is replaced
     with pytest.raises(ValueError):
         tables.write_dated(df, path, DAY, replace="everything")
 
@@ -361,22 +363,23 @@ def test_checks_of_missing_layers(spark, layout):
 def test_unreadable_snapshot(spark, layout):
     os.makedirs(f"{layout.gold}/t_gold_{DAY}_20260126_000000")
     (row,) = daily.check_gold(spark, SPEC, layout, DAY, expected=["t"]).collect()
-    assert not row.passed and row.message.startswith("Error reading aggregation 't'")
+    assert not row.passed and row.message.startswith("Cannot read table t")
 
 
 def test_kpis_of_a_day(spark, layout):
     land_day(layout, DAY_RECORDS)
     spec = replace(SPEC, quality=replace(SPEC.quality, min_landed=1))
     daily.run_day(spark, spec, layout, DAY)
-    metrics = daily.kpi_metrics(spark, daily.check_all(spark, spec, layout, DAY))
+    silver = daily.read_silver(spark, layout, DAY)
+    metrics = daily.kpi_metrics(spark, daily.check_all(spark, spec, layout, DAY), spec, silver)
     values = {r.metric: r.value for r in metrics.collect()}
     assert values["bronze_record_count"] == 4 and values["silver_bronze_delta_pct"] == 25.0
-    assert values["gold_row_count"] == 1 and values["duplicate_count"] == 0
+    assert values["gold_row_count"] == 2 and values["duplicate_count"] == 0
 
 
 def test_following_arrivals_rebuilds_only_dates_with_news(spark, layout, folder):
     def follow():
-        follow_landed(spark, SPEC, layout, f"{folder}/seen").awaitTermination()
+        follow_landed(spark, replace(SPEC, quality=replace(SPEC.quality, min_landed=1)), layout, f"{folder}/seen").awaitTermination()
 
     def built(day):
         return daily.read_silver(spark, layout, day).first()._processing_timestamp
@@ -390,3 +393,135 @@ def test_following_arrivals_rebuilds_only_dates_with_news(spark, layout, folder)
     follow()
     assert daily.read_silver(spark, layout, NEXT).count() == 2
     assert built(DAY) == before[0] and built(NEXT) > before[1]
+
+
+def test_a_broken_off_replacement_still_reads_the_old_date(spark, folder, monkeypatch):
+    path, rows_of = f"{folder}/t", lambda v: spark.createDataFrame([(v, "x")], "v int, country string")
+    tables.write_dated(rows_of(1), path, DAY, ["country"])
+    real = storage.move
+
+    def dies(spark_, source, target):
+        if "_retired_" not in target and target.endswith(DAY):
+            raise KeyboardInterrupt
+        real(spark_, source, target)
+
+    # The process ends between the two moves: nothing cleans up.
+    monkeypatch.setattr(storage, "move", dies)
+    monkeypatch.setattr(tables, "restore_dates", lambda *a: None)
+    monkeypatch.setattr(storage, "delete", lambda *a: None)
+    with pytest.raises(KeyboardInterrupt):
+        tables.write_dated(rows_of(2), path, DAY, ["country"])
+    monkeypatch.undo()
+    assert [r.v for r in tables.read_dated(spark, path, DAY).collect()] == [1]
+    tables.write_dated(rows_of(3), path, DAY, ["country"])
+    assert [r.v for r in tables.read_dated(spark, path).collect()] == [3]
+
+
+def test_a_failed_replacement_leaves_the_old_date_and_no_staging(spark, folder, monkeypatch):
+    path = f"{folder}/t"
+    tables.write_dated(spark.range(1), path, DAY)
+    real = storage.move
+
+    def fails(spark_, source, target):
+        if "_retired_" not in target and "_staging_" in source and "_retired_" not in source:
+            raise OSError("no")
+        real(spark_, source, target)
+
+    monkeypatch.setattr(storage, "move", fails)
+    with pytest.raises(OSError):
+        tables.write_dated(spark.range(5), path, DAY)
+    monkeypatch.undo()
+    assert tables.read_dated(spark, path, DAY).count() == 1
+    assert storage.names(spark, f"{path}/_staging_*") == []
+
+
+def test_an_empty_first_day_can_be_read(spark, folder):
+    path = f"{folder}/t"
+    tables.write_dated(spark.createDataFrame([], "v int, country string"), path, DAY, ["country"])
+    for df in (tables.read_dated(spark, path), tables.read_dated(spark, path, DAY)):
+        assert df.collect() == [] and df.columns == ["v", "_processing_date", "country"]
+
+
+def test_only_given_or_defaulted_dates_are_emptied(spark, folder):
+    path = f"{folder}/t"
+    both = spark.createDataFrame([(1, DAY), (2, NEXT)], f"v int, {tables.DATE_COLUMN} string")
+    tables.write_dated(both, path)
+    tables.write_dated(both.filter("v = 2"), path)
+    assert sorted(r.v for r in tables.read_dated(spark, path).collect()) == [1, 2]
+    tables.write_dated(both.filter("v = 3"), path, DAY)
+    assert [r.v for r in tables.read_dated(spark, path).collect()] == [2]
+
+
+def test_columns_of_earlier_writes_stay_readable(spark, folder):
+    path = f"{folder}/t"
+    tables.write_dated(spark.createDataFrame([(1, "a")], "v int, old string"), path, DAY)
+    tables.write_dated(spark.createDataFrame([(2, "b")], "v int, new string"), path, NEXT)
+    found = tables.read_dated(spark, path)
+    assert sorted((r.v, r.old, r.new) for r in found.collect()) == [(1, "a", None), (2, None, "b")]
+
+
+def damage(folder, page):
+    """Breaks the footer of every parquet file below a folder, or the data before it."""
+    for base, _, files in os.walk(folder):
+        for name in files:
+            if name.endswith(".parquet"):
+                with open(f"{base}/{name}", "r+b") as f:
+                    size = f.seek(0, 2)
+                    f.seek(size - 8)
+                    footer = int.from_bytes(f.read(4), "little")
+                    start, stop = (4, size - 8 - footer) if page else (size - 12, size)
+                    f.seek(start)
+                    f.write(b"\xff" * (stop - start))
+            elif name.endswith(".crc"):
+                os.remove(f"{base}/{name}")
+
+
+@pytest.mark.parametrize("page", [False, True])
+def test_damaged_tables_become_error_rows(spark, layout, page):
+    spec = replace(SPEC, quality=replace(SPEC.quality, min_landed=1))
+    land_day(layout, DAY_RECORDS)
+    daily.run_day(spark, spec, layout, DAY)
+    bad = tables.find_snapshot(spark, layout.gold, "places_by_type", DAY)
+    damage(bad, page)
+    found = daily.check_gold(spark, spec, layout, DAY).collect()
+    assert [r.dataset for r in found if r.metric == "readable" and not r.passed] == ["places_by_type"]
+    assert {r.dataset for r in found} == {r.name for r in spec.rollups}
+    damage(layout.silver, page)
+    (row,) = daily.check_silver(spark, spec, layout, DAY).collect()
+    assert (row.metric, row.passed) == ("readable", False)
+
+
+def test_broken_lines_are_an_error(spark, folder):
+    name = f"{folder}/places_bronze_api_{DAY}_20260125_010000.jsonl"
+    spark.createDataFrame([('{"id": "1"}',), ("{broken",), ("",)], "value string").write.text(name)
+    with pytest.raises(Exception, match="Invalid JSON line"):
+        landing.scan(spark, folder, DAY).collect()
+    assert landing.scan(spark, folder, DAY, on_invalid="skip").count() == 1
+
+
+def test_the_result_of_silver_counts_what_was_left_out(spark, layout):
+    records = [*DAY_RECORDS, DAY_RECORDS[0], {**DAY_RECORDS[1], "id": None}]
+    land_day(layout, records)
+    written = daily.build_silver(spark, replace(SPEC, required=()), layout, DAY)
+    assert written["records_read"] == len(records) and written["null_keys"] == 1
+    assert written["duplicates_removed"] == len(records) - written["records_written"]
+
+
+def test_a_failed_day_leaves_a_line_in_the_log(spark, layout):
+    layout = replace(layout, metrics=f"{layout.gold}_log")
+    land_day(layout, DAY_RECORDS)
+    with pytest.raises(checks.QualityGateError):
+        daily.run_day(spark, replace(SPEC, quality=replace(SPEC.quality, min_landed=10**6)), layout, DAY)
+    (line,) = tables.read_metrics(spark, layout.metrics, "run_date string, failure string, alerts array<struct<layer:string>>").collect()
+    assert line.run_date == DAY and "Validation failed" in line.failure and line.alerts[0].layer == "bronze"
+
+
+def test_following_passes_over_runs_of_others(spark, layout, folder):
+    land_day(layout, DAY_RECORDS)
+    frame = spark.createDataFrame([("x",)], "id string")
+    landing.append_records(frame, layout.landing, "places", NEXT, "feed")
+    landing.append_records(frame, layout.landing, "others", NEXT, "api")
+    follow_landed(spark, SPEC, layout, f"{folder}/seen").awaitTermination()
+    assert daily.read_silver(spark, layout, DAY).count() == 3
+    assert daily.read_silver(spark, layout, NEXT).count() == 0
+    assert tables.find_snapshot(spark, layout.gold, SPEC.rollups[0].name, DAY)

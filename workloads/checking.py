@@ -358,14 +358,15 @@ def quarantine_split(spark, sf_dir):
           UNION ALL SELECT 'avg_quality_score', (SELECT avg(data_quality_score) FROM silver), 70.0, NULL
           UNION ALL SELECT 'duplicate_count', 0, NULL, 0.0
           UNION ALL SELECT 'null_required_field_count', (SELECT count(*) FILTER (name IS NULL) FROM silver), NULL, 0.0
-          UNION ALL SELECT 'invalid_coordinate_pct', (SELECT (count(*) FILTER (latitude < -90 OR latitude > 90)
-            + count(*) FILTER (longitude < -180 OR longitude > 180)) / CAST(count(*) AS DOUBLE) * 100 FROM silver), NULL, 5.0)
+          UNION ALL SELECT 'invalid_coordinate_pct', (SELECT avg(CASE WHEN latitude NOT BETWEEN -90 AND 90
+            OR longitude NOT BETWEEN -180 AND 180 THEN 100.0 ELSE 0.0 END) FROM silver), NULL, 5.0)
         SELECT metric, round(CAST(value AS DOUBLE), 6) AS value, CAST(low AS DOUBLE) AS low, CAST(high AS DOUBLE) AS high,
           coalesce(value < low, false) OR coalesce(value > high, false) AS alert FROM m""",
 )
 def kpi_alerts(spark, sf_dir):
     results = all_checks(spark, sf_dir)
-    metrics = daily.kpi_metrics(spark, results)
+    silver = tables.read_dated(spark, fx.dated(spark, sf_dir).silver, fx.DATE)
+    metrics = daily.kpi_metrics(spark, results, fx.PLACES, silver)
     return alerts.kpi_alerts(metrics).withColumn("value", F.round("value", 6))
 
 
@@ -385,3 +386,31 @@ def alert_rows(spark, sf_dir):
         F.array_join("channels", ",").alias("channels"),
         F.array_join("failed_checks", ",").alias("failed_checks"),
     )
+
+
+@query(
+    "daily_checks_declared",
+    f"""WITH {fx.RAW_CTE}, latest AS (SELECT * FROM raw
+          QUALIFY row_number() OVER (PARTITION BY id ORDER BY seq % 2 DESC, seq DESC) = 1), {fx.conform_ctes()},
+        places AS (SELECT 'places_by_type' AS dataset UNION ALL SELECT 'places_by_location'
+                   UNION ALL SELECT 'places_by_type_location')
+        SELECT 'bronze' AS layer, 'places' AS dataset, 'id_null_count' AS metric,
+               CAST(count(*) FILTER (id IS NULL) AS DOUBLE) AS observed, count(*) FILTER (id IS NULL) = 0 AS passed FROM raw
+        UNION ALL SELECT 'bronze', 'places', 'name_null_count', count(*) FILTER (name IS NULL), count(*) FILTER (name IS NULL) = 0 FROM raw
+        UNION ALL SELECT 'bronze', 'places', 'kind_null_count', count(*) FILTER (kind IS NULL), count(*) FILTER (kind IS NULL) = 0 FROM raw
+        UNION ALL SELECT 'silver', 'places', 'id_completeness', round(count(id) / CAST(count(*) AS DOUBLE), 6), count(id) >= 0.95 * count(*) FROM silver
+        UNION ALL SELECT 'silver', 'places', 'name_completeness', round(count(name) / CAST(count(*) AS DOUBLE), 6), count(name) >= 0.95 * count(*) FROM silver
+        UNION ALL SELECT 'gold', dataset, 'record_count_difference', 0.0, true FROM places
+        UNION ALL SELECT 'gold', dataset, 'missing_dimensions', 0.0, true FROM places""",
+)
+def daily_checks_declared(spark, sf_dir):
+    """The declared checks of a day that was landed, built and aggregated."""
+    layout = daily.Layout.under(storage.workspace(spark, "declared"), "places")
+    places = fx.messy_places(spark, sf_dir)
+    for parity, run in ((0, fx.FIRST_RUN), (1, fx.SECOND_RUN)):
+        part = places.filter(F.col("seq") % 2 == parity)
+        landing.append_records(part, layout.landing, "places", fx.DATE, "api", run)
+    daily.build_silver(spark, fx.LENIENT, layout, fx.DATE)
+    daily.build_gold(spark, fx.LENIENT, layout, fx.DATE)
+    found = daily.check_declared(spark, fx.LENIENT, layout, fx.DATE)
+    return found.select("layer", "dataset", "metric", F.round("observed", 6).alias("observed"), "passed")

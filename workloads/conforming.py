@@ -123,16 +123,20 @@ def std_value_map(spark, sf_dir):
        LEFT JOIN nation ON c = concat('code-', CAST(n_nationkey AS VARCHAR))""",
 )
 def std_value_map_join(spark, sf_dir):
-    """A mapping too long for a literal map goes through a join."""
-    rules = {f"CODE-{i}": f"nation {i}" for i in range(25)}
+    """A mapping too long for a literal map goes through a join. Its rules chain, and the frame
+    has columns named like those of a lookup."""
+    rules = {f"CODE-{i}": f"step-{i}" for i in range(25)}
+    rules.update({f"Step-{i}": f"nation {i}" for i in range(25)})
     rules.update({f"unused-{i}": f"value {i}" for i in range(text.MAX_LITERAL_MAPPING)})
     orders = fx.table(spark, sf_dir, "orders")
     coded = orders.select(
         "o_orderkey",
         "o_orderstatus",
         F.concat(F.lit("code-"), (F.col("o_custkey") % 40).cast("string")).alias("code"),
+        F.lit("own").alias("_from"),
+        F.lit("own").alias("_mapped_to"),
     )
-    known = F.col("code").startswith("nation ")
+    known = F.col("code").startswith("nation ") & (F.col("_from") == F.col("_mapped_to"))
     return conform.map_values(coded, "code", rules).select(
         "o_orderkey", F.when(known, F.col("code")).otherwise(F.col("o_orderstatus")).alias("code")
     )

@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strata.operators import rollup
+from strata.plans.specs import dataset_from_config
 from workloads import fixtures as fx
 from workloads.registry import query
 
@@ -205,3 +209,77 @@ def gold_by_kind_location(spark, sf_dir):
 @query("gold_quality_metrics", f"WITH {fx.SILVER_CTE} {GOLD_SQL['quality_metrics']}")
 def gold_quality_metrics(spark, sf_dir):
     return gold(spark, sf_dir, QUALITY)
+
+
+@query(
+    "agg_three_distinct",
+    """SELECT l_returnflag, count(*) AS record_count, count(DISTINCT l_partkey) AS parts,
+              count(DISTINCT l_suppkey) AS suppliers, count(DISTINCT l_orderkey) AS orders
+       FROM lineitem GROUP BY l_returnflag""",
+)
+def agg_three_distinct(spark, sf_dir):
+    """Distinct counts of wide columns, each in a pass of its own."""
+    wanted = {"parts": "l_partkey", "suppliers": "l_suppkey", "orders": "l_orderkey"}
+    measures = {alias: (column, "count_distinct") for alias, column in wanted.items()}
+    return rollup.aggregate_by_dimensions(
+        _lines(spark, sf_dir), ["l_returnflag"], additional_aggs=measures
+    ).drop("_created_at")
+
+
+SETTINGS = {
+    "schemas": {"silver": {"fields": [{"name": n, "type": "string"} for n in fx.NAMES]}},
+    "transformations": {
+        "gold": {
+            "aggregations": [
+                {"name": "by_kind", "group_by": ["kind"], "metrics": ["record_count", "percentage_of_total"]},
+                {
+                    "name": "by_location",
+                    "group_by": ["country", "state"],
+                    "metrics": ["record_count", "percentage_of_total", "city_count", "kinds"],
+                },
+                {
+                    "name": "by_kind_location",
+                    "group_by": ["country", "state", "city", "kind"],
+                    "metrics": ["record_count", "percentage_of_total"],
+                },
+                {
+                    "name": "health",
+                    "metrics": ["total_records", "avg_quality_score", "valid_location_count", "complete_address_count"],
+                },
+            ]
+        }
+    },
+}
+
+
+@query(
+    "gold_from_settings",
+    f"""WITH {fx.SILVER_CTE}
+        SELECT 'by_kind' AS name, count(*) AS n, CAST(sum(c) AS BIGINT) AS records, CAST(NULL AS DOUBLE) AS extra
+          FROM (SELECT count(*) AS c FROM silver GROUP BY kind)
+        UNION ALL SELECT 'by_location', count(*), CAST(sum(c) AS BIGINT), CAST(sum(k + t) AS DOUBLE)
+          FROM (SELECT count(*) AS c, count(DISTINCT kind) AS k, count(DISTINCT city) AS t FROM silver GROUP BY country, state)
+        UNION ALL SELECT 'by_kind_location', count(*), CAST(sum(c) AS BIGINT), NULL
+          FROM (SELECT count(*) AS c FROM silver GROUP BY country, state, city, kind)
+        UNION ALL SELECT 'health', 1, count(*), round(avg(data_quality_score), 2)
+          + count(*) FILTER (is_valid_location) + count(*) FILTER (has_complete_address) FROM silver""",
+)
+def gold_from_settings(spark, sf_dir):
+    """The four tables that settings declare by metric names alone, summed up."""
+    silver = fx.conformed_places(spark, sf_dir)
+    parts = []
+    for spec in dataset_from_config("places", SETTINGS).rollups:
+        table = rollup.aggregate(silver, spec)
+        if spec.name == "by_location":
+            extra = F.sum(F.size("kinds") + F.col("city_count")).cast("double")
+        elif spec.name == "health":
+            extra = F.sum(F.col("avg_quality_score") + F.col("valid_location_count") + F.col("complete_address_count"))
+        else:
+            extra = F.lit(None).cast("double")
+        records = "total_records" if spec.name == "health" else "record_count"
+        parts.append(
+            table.agg(F.count("*").alias("n"), F.sum(records).alias("records"), extra.alias("extra")).withColumn(
+                "name", F.lit(spec.name)
+            )
+        )
+    return reduce(DataFrame.unionByName, parts)

@@ -223,17 +223,16 @@ def _stored_counts(spark, snapshots, label):
 
 @query(
     "metrics_append",
-    """SELECT o_orderstatus AS stage, count(*) AS record_count FROM orders
-       WHERE o_orderstatus IN ('F', 'O', 'P') GROUP BY ALL""",
+    "SELECT o_orderstatus AS stage, count(*) AS record_count FROM orders GROUP BY ALL",
 )
 def metrics_append(spark, sf_dir):
-    """Row counts of three writes, logged one event at a time."""
+    """Row counts of one stored table per group, logged one event at a time."""
     root = storage.workspace(spark, "metrics")
     orders = fx.table(spark, sf_dir, "orders")
-    for status in ("F", "O", "P"):
-        part = orders.filter(F.col("o_orderstatus") == status)
-        written = tables.write_snapshot(part, f"{root}/tables", f"orders_{status}", fx.DATE)
-        event = {"stage": status, "record_count": written["record_count"]}
+    tables.write_dated(orders, f"{root}/orders", fx.DATE, ["o_orderstatus"])
+    stored = tables.read_dated(spark, f"{root}/orders", fx.DATE)
+    for row in stored.groupBy("o_orderstatus").count().collect():  # a row per status
+        event = {"stage": row.o_orderstatus, "record_count": row["count"]}
         tables.append_metrics(spark, f"{root}/log", event)
     return tables.read_metrics(spark, f"{root}/log", "stage string, record_count bigint")
 
@@ -291,3 +290,67 @@ def daily_run(spark, sf_dir):
     arrived = spark.read.text(day["landed"]["path"]).agg(count).withColumn("stage", F.lit("landed"))
     silver = daily.read_silver(spark, layout, fx.DATE).agg(count).withColumn("stage", F.lit("silver"))
     return arrived.unionByName(silver).unionByName(_stored_counts(spark, day["gold"], "stage"))
+
+
+def _day_of(spark, label, records, spec=fx.LENIENT, quarantine=False):
+    """A layout with one landed run per frame, silver built after each."""
+    layout = Layout.under(storage.workspace(spark, label), "places")
+    aside = f"{layout.silver}_rejected" if quarantine else None
+    for run, rows in zip((fx.FIRST_RUN, fx.SECOND_RUN), records):
+        landing.append_records(rows, layout.landing, "places", fx.DATE, "api", run)
+        written = daily.build_silver(spark, spec, layout, fx.DATE, quarantine=aside)
+    return layout, aside, written
+
+
+@query(
+    "quarantine_rerun_clears",
+    f"""WITH {fx.LATEST_CTE}, {fx.conform_ctes()}
+        SELECT 'silver' AS part, count(*) AS n FROM silver UNION ALL SELECT 'rejected', 0""",
+)
+def quarantine_rerun_clears(spark, sf_dir):
+    """The first run has records to reject, the second corrects all of them."""
+    places = fx.messy_places(spark, sf_dir)
+    good = places.withColumns({"name": F.lit("named"), "kind": F.lit(fx.KINDS[0]), "latitude": F.lit("1"), "longitude": F.lit("2")})
+    layout, aside, _ = _day_of(spark, "corrected", [places, good], fx.PLACES, quarantine=True)
+    count = F.count("*").alias("n")
+    silver = tables.read_dated(spark, layout.silver, fx.DATE).agg(count).withColumn("part", F.lit("silver"))
+    rejected = tables.read_dated(spark, aside, fx.DATE).agg(count).withColumn("part", F.lit("rejected"))
+    return silver.unionByName(rejected)
+
+
+@query(
+    "silver_rerun_empty",
+    f"WITH {fx.SILVER_CTE} SELECT '{fx.NEXT_DATE}' AS _processing_date, count(*) AS n FROM silver",
+)
+def silver_rerun_empty(spark, sf_dir):
+    """A rerun without rows empties its own date and leaves the other one."""
+    path = storage.workspace(spark, "emptied")
+    rows = fx.conformed_places(spark, sf_dir)
+    for date in (fx.DATE, fx.NEXT_DATE):
+        tables.write_dated(rows, path, date, fx.PLACES.partition_by)
+    tables.write_dated(rows.filter("false"), path, fx.DATE, fx.PLACES.partition_by)
+    left = tables.read_dated(spark, path).groupBy("_processing_date").agg(F.count("*").alias("n"))
+    return left.unionByName(
+        tables.read_dated(spark, path, fx.DATE).groupBy("_processing_date").agg(F.count("*").alias("n"))
+    )
+
+
+@query("bronze_lines_invalid", f"WITH {fx.RAW_CTE} SELECT id, name FROM raw")
+def bronze_lines_invalid(spark, sf_dir):
+    """Broken lines between good ones are left out on request; without it they are an error."""
+    root = storage.workspace(spark, "broken-lines")
+    places = fx.messy_places(spark, sf_dir)
+    lines = places.select(F.explode(F.array(landing.as_json(places), F.lit("{broken"))).alias("value"))
+    lines.write.text(f"{root}/places_bronze_api_{fx.DATE}_20260125_010000.jsonl")
+    records = landing.scan(spark, root, fx.DATE, on_invalid="skip")
+    return parse_payload(records, fx.FIELDS[:2], keep=())
+
+
+@query("bronze_two_datasets", f"WITH {fx.RAW_CTE} SELECT id FROM raw WHERE seq % 2 = 0")
+def bronze_two_datasets(spark, sf_dir):
+    """Two datasets share a landing folder; only the runs of one are read."""
+    root = storage.workspace(spark, "shared")
+    places = fx.messy_places(spark, sf_dir)
+    for dataset, parity in (("places", 0), ("places_old", 1), ("old_places", 1)):
+        landing.append_records(places.filter(F.col("seq") % 2 == parity), root, dataset, fx.DATE)
+    return parse_payload(landing.scan(spark, root, fx.DATE, dataset="places"), fx.FIELDS[:1], keep=())
