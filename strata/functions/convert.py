@@ -10,12 +10,12 @@ ON_ERROR = ("null", "skip", "raise")
 
 def check_on_error(on_error: str) -> None:
     if on_error not in ON_ERROR:
-        raise ValueError(f"Invalid on_error value: {on_error}. Must be one of {ON_ERROR}")
+        raise ValueError(f"on_error is one of {ON_ERROR}, not {on_error!r}")
 
 
 def _guarded(original: Column, converted: Column, name: str, kind: str) -> Column:
     failed = original.isNotNull() & converted.isNull()
-    reason = F.concat(F.lit(f"Failed to convert {name}="), original.cast("string"), F.lit(f" to {kind}"))
+    reason = F.concat(F.lit(f"{name} is no {kind}: "), original.cast("string"))
     return F.when(failed, F.raise_error(reason)).otherwise(converted)
 
 

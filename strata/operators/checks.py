@@ -28,11 +28,11 @@ RESULT_SCHEMA = (
 
 @dataclass(frozen=True)
 class Check:
-    """An aggregate, the test of its value and the message of a failure.
+    """An aggregate and the test of its value.
 
-    ``fails`` is a SQL condition on ``{v}``, the aggregated value as double; ``message`` is
-    a ``format_string`` pattern that may use that value, shown on failure (always for an
-    ``info`` row). ``alone`` marks an aggregate over distinct values: it gets its own narrow
+    ``fails`` is a SQL condition on ``{v}``, the aggregated value as double. All failures are
+    worded alike: metric, value, limit, field. An ``info`` row may carry a ``note`` instead.
+    ``alone`` marks an aggregate over distinct values: it gets its own narrow
     pass, because carrying every other counter along with each distinct key would widen the
     largest shuffle.
     """
@@ -41,10 +41,18 @@ class Check:
     severity: str
     observed: Column
     fails: str = "false"
-    message: str = ""
     field: str | None = None
     bound: float | None = None
     alone: bool = False
+    note: str = ""
+
+    def wording(self) -> str:
+        """A ``format_string`` pattern for the value."""
+        if self.severity == INFO:
+            return _plain(self.note)
+        limit = "" if self.bound is None else f", limit {self.bound:.2f}"
+        where = "" if self.field is None else f" ({self.field})"
+        return f"{_plain(self.metric)} is %.2f{limit}{_plain(where)}"
 
 
 def _literal(value: str | float | None) -> str:
@@ -60,10 +68,9 @@ def _plain(name: str) -> str:
     return name.replace("%", "%%")
 
 
-def _violations(metric: str, severity: str, broken: Column, field: str, what: str) -> Check:
+def _violations(metric: str, severity: str, broken: Column, field: str) -> Check:
     """Check that no row satisfies ``broken``."""
-    message = f"Found %.0f {_plain(what)}"
-    return Check(metric, severity, F.count_if(broken), "{v} > 0", message, field, 0)
+    return Check(metric, severity, F.count_if(broken), "{v} > 0", field, 0)
 
 
 def evaluate(df: DataFrame, checks: Sequence[Check], layer: str, dataset: str) -> DataFrame:
@@ -81,13 +88,13 @@ def _result_rows(df: DataFrame, checks: Sequence[Check], layer: str, dataset: st
 
 def _result_row(check: Check, value: str, layer: str, dataset: str) -> str:
     failed = f"coalesce({check.fails.format(v=value)}, false)"
-    shown = "true" if check.severity == INFO and check.message else failed
+    shown = "true" if check.severity == INFO and check.note else failed
     return f"""named_struct(
         'layer', {_literal(layer)}, 'dataset', {_literal(dataset)},
         'metric', {_literal(check.metric)}, 'field', CAST({_literal(check.field)} AS STRING),
         'severity', {_literal(check.severity)}, 'observed', {value},
         'bound', CAST({_literal(check.bound)} AS DOUBLE), 'passed', NOT {failed},
-        'message', if({shown}, format_string({_literal(check.message)}, {value}), NULL))"""
+        'message', if({shown}, format_string({_literal(check.wording())}, {value}), NULL))"""
 
 
 def failed_row(
@@ -113,7 +120,6 @@ def unique(key: str) -> Check:
         ERROR,
         F.count("*") - F.count_distinct(key) - null_key,
         "{v} > 0",
-        f"Found %.0f duplicate values in '{_plain(key)}'",
         key,
         0,
         alone=True,
@@ -126,7 +132,6 @@ def required(name: str, severity: str = ERROR) -> Check:
         severity,
         F.count_if(F.col(name).isNull()),
         "{v} > 0",
-        f"Field '{_plain(name)}' has %.0f null values",
         name,
         0,
     )
@@ -140,7 +145,6 @@ def in_range(name: str, low: float, high: float) -> Check:
         WARNING,
         (value < low) | (value > high),
         name,
-        f"records with '{name}' outside range [{low}, {high}]",
     )
 
 
@@ -150,19 +154,16 @@ def allowed(name: str, values: Sequence[str]) -> Check:
         WARNING,
         F.col(name).isNotNull() & ~F.col(name).isin(list(values)),
         name,
-        f"records with '{name}' having values outside allowed set",
     )
 
 
 def mean_at_least(name: str, bound: float, metric: str) -> Check:
     """No rows, no mean, nothing to warn about."""
-    message = f"Average %.2f of '{_plain(name)}' below threshold {bound}"
-    return Check(metric, WARNING, F.avg(name), f"{{v}} < {bound}", message, name, bound)
+    return Check(metric, WARNING, F.avg(name), f"{{v}} < {bound}", name, bound)
 
 
 def not_empty(dataset: str) -> Check:
-    message = f"Aggregation '{_plain(dataset)}' has no records"
-    return Check(f"{dataset}_count", WARNING, F.count("*"), "{v} = 0", message)
+    return Check(f"{dataset}_count", WARNING, F.count("*"), "{v} = 0")
 
 
 def non_negative(name: str, dataset: str) -> Check:
@@ -171,7 +172,6 @@ def non_negative(name: str, dataset: str) -> Check:
         ERROR,
         F.col(name) < 0,
         name,
-        f"negative values in {dataset}.{name}",
     )
 
 
@@ -181,7 +181,6 @@ def percentage(name: str, dataset: str) -> Check:
         WARNING,
         (F.col(name) < 0) | (F.col(name) > 100),
         name,
-        f"invalid percentages in {dataset}.{name}",
     )
 
 
@@ -192,7 +191,6 @@ def complete(name: str, ratio: float) -> Check:
         WARNING,
         F.avg(F.col(name).isNotNull().cast("double")),
         f"{{v}} < {ratio}",
-        f"'{_plain(name)}' is only %.4f complete",
         name,
         ratio,
     )
@@ -242,9 +240,9 @@ def check_gold(
     """Checks of one aggregate table; a ``path`` is reported by its last component."""
     found = gold_checks(df, dataset, spec)
     if path:
-        folder = _plain(path.rstrip("/").rsplit("/", 1)[-1])
+        folder = path.rstrip("/").rsplit("/", 1)[-1]
         nothing = F.max(F.lit(None).cast("double"))
-        found.append(Check(f"{dataset}_path", INFO, nothing, message=folder))
+        found.append(Check(f"{dataset}_path", INFO, nothing, note=folder))
     return evaluate(df, found, "gold", dataset)
 
 
@@ -262,25 +260,23 @@ def check_landed(files: DataFrame, spec: QualitySpec, dataset: str) -> DataFrame
     limit = spec.min_landed
     checks = [
         Check("file_count", INFO, F.count("*")),
-        _violations("invalid_json_count", ERROR, ~F.col("valid"), "path", "files with invalid JSON"),
+        _violations("invalid_json_count", ERROR, ~F.col("valid"), "path"),
         _violations(
             "non_array_count",
             WARNING,
             F.col("valid") & ~F.col("is_array"),
             "path",
-            "files that are not a JSON array",
         ),
         Check(
             "record_count",
             ERROR,
             records,
             f"{{v}} < {limit}",
-            f"Record count %.0f below threshold {limit}",
             bound=limit,
         ),
-        Check("empty_record_count", WARNING, empty, "{v} > 0", "Found %.0f empty records", bound=0),
+        Check("empty_record_count", WARNING, empty, "{v} > 0", bound=0),
         Check(
-            "filled_record_count", ERROR, records - empty, "{v} = 0", "All records are empty", bound=1
+            "filled_record_count", ERROR, records - empty, "{v} = 0", bound=1
         ),
     ]
     return evaluate(per_file, checks, "bronze", dataset)
@@ -306,7 +302,6 @@ def check_sum_matches_source(
         ERROR,
         F.max("difference"),
         "{v} <> 0",
-        f"Sum of {_plain(dataset)}.{_plain(measure)} differs from source by %.0f",
         measure,
         0,
     )
@@ -331,7 +326,6 @@ def check_dimensions_present(
         ERROR,
         F.count("*"),
         "{v} > 0",
-        f"%.0f dimension values missing from {_plain(dataset)}",
         ",".join(dimensions),
         0,
     )
@@ -352,7 +346,7 @@ def check_presence(found: DataFrame, expected: DataFrame, layer: str) -> DataFra
         F.coalesce("_found", F.lit(0.0)).alias("observed"),
         F.lit(1.0).alias("bound"),
         (~missing).alias("passed"),
-        F.when(missing, F.format_string("Missing %s for %s", "dataset", "date")).alias("message"),
+        F.when(missing, F.format_string("present is 0.00, limit 1.00 (%s)", "date")).alias("message"),
     )
 
 

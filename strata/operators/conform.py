@@ -20,7 +20,7 @@ ALL_TYPES = tuple(t for t in TYPES if t != "string")
 def require_columns(df: DataFrame, names: Sequence[str]) -> DataFrame:
     missing = [n for n in names if n not in df.columns]
     if missing:
-        raise ValueError(f"Missing required fields in DataFrame: {missing}")
+        raise ValueError(f"columns {missing} are required and absent")
     return df
 
 

@@ -141,7 +141,7 @@ def rollup(base: DataFrame, spec: RollupSpec) -> DataFrame:
 def require_dimensions(df: DataFrame, dimensions: Sequence[str]) -> None:
     missing = [d for d in dimensions if d not in df.columns]
     if missing:
-        raise ValueError(f"Missing dimensions in DataFrame: {missing}")
+        raise ValueError(f"no such columns to group by: {missing}")
 
 
 def available(df: DataFrame, spec: RollupSpec) -> RollupSpec:

@@ -32,7 +32,7 @@ def test_clean_table_passes(spark):
 def test_duplicate_and_null_keys(spark):
     out = verdict(silver(spark, ("1", "a", None, 0.0, 0.0, 100), ("1", "b", None, 0.0, 0.0, 100)))
     assert not out["passed"]
-    assert out["errors"] == ["Found 1 duplicate values in 'id'"]
+    assert out["errors"] == ["duplicate_count is 1.00, limit 0.00 (id)"]
     out = verdict(silver(spark, *[(k, "a", None, 0.0, 0.0, 100) for k in (None, None, "1")]))
     assert out["metrics"]["duplicate_count"] == 1  # null is one value
     assert out["metrics"]["id_null_count"] == 2
@@ -40,7 +40,7 @@ def test_duplicate_and_null_keys(spark):
 
 def test_null_required_field(spark):
     out = verdict(silver(spark, ("1", None, None, 0.0, 0.0, 100)))
-    assert not out["passed"] and out["errors"] == ["Field 'name' has 1 null values"]
+    assert not out["passed"] and out["errors"] == ["name_null_count is 1.00, limit 0.00 (name)"]
 
 
 def test_ranges_and_values_only_warn(spark):
@@ -53,7 +53,7 @@ def test_ranges_and_values_only_warn(spark):
 
 def test_low_mean_score_warns_and_no_rows_do_not(spark):
     out = verdict(silver(spark, ("1", "a", None, 0.0, 0.0, 50)))
-    assert out["warnings"] == ["Average 50.00 of 'data_quality_score' below threshold 80.0"]
+    assert out["warnings"] == ["avg_quality_score is 50.00, limit 80.00 (data_quality_score)"]
     empty = verdict(checks.check_silver(spark.createDataFrame([], PLACE), SPEC, "places"))
     assert empty["passed"] and empty["warnings"] == []
     assert empty["metrics"]["avg_quality_score"] is None
@@ -78,16 +78,16 @@ def test_gold_checks(spark):
     bad = spark.createDataFrame([("US", -3, 160.0)], good.schema)
     out = verdict(checks.check_gold(bad, QualitySpec(), "t"))
     assert not out["passed"]
-    assert out["errors"] == ["Found 1 negative values in t.record_count"]
-    assert out["warnings"] == ["Found 1 invalid percentages in t.percentage_of_total"]
+    assert out["errors"] == ["t.record_count_negative is 1.00, limit 0.00 (record_count)"]
+    assert out["warnings"] == ["t.percentage_of_total_invalid is 1.00, limit 0.00 (percentage_of_total)"]
     out = verdict(checks.check_gold(good.limit(0), QualitySpec(), "t"))
-    assert out["passed"] and out["warnings"] == ["Aggregation 't' has no records"]
+    assert out["passed"] and out["warnings"] == ["t_count is 0.00"]
 
 
 def test_declared_count_columns(spark):
     df = spark.createDataFrame([(-1, -1)], "a_count int, b_count int")
     out = verdict(checks.check_gold(df, QualitySpec(count_columns=["b_count", "absent"]), "t"))
-    assert out["errors"] == ["Found 1 negative values in t.b_count"]
+    assert out["errors"] == ["t.b_count_negative is 1.00, limit 0.00 (b_count)"]
 
 
 INVENTORY = "path string, valid boolean, is_array boolean, records int, empty_records int"
@@ -122,10 +122,10 @@ def test_cross_table(spark):
     source = spark.createDataFrame([("a", None), ("a", "x"), ("b", None)], "g string, h string")
     gold = spark.createDataFrame([("a", None, 1), ("a", "x", 1)], "g string, h string, record_count long")
     out = verdict(checks.check_sum_matches_source(gold, source, "t"))
-    assert out["errors"] == ["Sum of t.record_count differs from source by -1"]
+    assert out["errors"] == ["record_count_difference is -1.00, limit 0.00 (record_count)"]
     assert rows(checks.missing_dimensions(gold, source, ["g", "h"])) == [("b", None)]
     out = verdict(checks.check_dimensions_present(gold, source, ["g", "h"], "t"))
-    assert out["errors"] == ["1 dimension values missing from t"]
+    assert out["errors"] == ["missing_dimensions is 1.00, limit 0.00 (g,h)"]
     assert verdict(checks.check_sum_matches_source(gold, source.filter("g = 'a'"), "t"))["passed"]
 
 
@@ -133,7 +133,7 @@ def test_presence(spark):
     found = spark.createDataFrame([("t", "2026-01-25")], "dataset string, date string")
     expected = spark.createDataFrame([("t", "2026-01-25"), ("t", "2026-01-26")], found.schema)
     out = verdict(checks.check_presence(found, expected, "gold"))
-    assert out["errors"] == ["Missing t for 2026-01-26"]
+    assert out["errors"] == ["present is 0.00, limit 1.00 (2026-01-26)"]
 
 
 def test_quarantine(spark):

@@ -86,7 +86,7 @@ def test_only_floats_are_cast_by_default(spark):
 
 def test_missing_required_column(spark):
     df = spark.createDataFrame([("1",)], "id string")
-    with pytest.raises(ValueError, match="Missing required fields.*name"):
+    with pytest.raises(ValueError, match="name.*are required and absent"):
         conform.require_columns(df, ["id", "name"])
 
 

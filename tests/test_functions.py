@@ -106,7 +106,7 @@ def test_float_skip_keeps_the_original(spark):
 
 def test_raise_names_field_and_value(spark):
     out = records.convert_fields_to_float(column(spark, ["1", None, "oops"]), ["c"], "raise")
-    with pytest.raises(Exception, match="Failed to convert c=oops to float"):
+    with pytest.raises(Exception, match="c is no float: oops"):
         out.collect()
     fine = records.convert_fields_to_int(column(spark, ["1", None]), ["c"], "raise")
     assert [r.c for r in fine.collect()] == [1, None]
@@ -121,7 +121,7 @@ def test_int_truncates_toward_zero(spark):
 
 def test_unknown_on_error_is_rejected(spark):
     for convert in (records.convert_fields_to_float, records.convert_fields_to_int):
-        with pytest.raises(ValueError, match="Invalid on_error"):
+        with pytest.raises(ValueError, match="on_error is one of"):
             convert(column(spark, ["1"]), ["c"], "ignore")
 
 

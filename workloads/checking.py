@@ -15,8 +15,10 @@ RULES = fx.PLACES.quality
 KIND_LIST = ", ".join(f"'{k}'" for k in fx.KINDS)
 
 
-def _row(layer, dataset, metric, field, severity, observed, bound, passed, message) -> str:
+def _row(layer, dataset, metric, field, severity, observed, bound, passed) -> str:
     """One check row in SQL; ``v`` is the observed value."""
+    tail = ("" if bound is None else f", limit {bound:.2f}") + ("" if field is None else f" ({field})")
+    message = f"printf('%s is %.2f%s', '{metric}', CAST(v AS DOUBLE), '{tail}')"
     text = lambda s: "NULL" if s is None else f"'{s}'"
     limit = "NULL" if bound is None else str(bound)
     return f"""SELECT {text(layer)} AS layer, {text(dataset)} AS dataset, {text(metric)} AS metric,
@@ -25,9 +27,8 @@ def _row(layer, dataset, metric, field, severity, observed, bound, passed, messa
       CASE WHEN NOT ({passed}) THEN {message} END AS message FROM (SELECT {observed} AS v)"""
 
 
-def _none(layer, dataset, metric, field, severity, observed, what) -> str:
-    message = "concat('Found ', CAST(CAST(v AS BIGINT) AS VARCHAR), '" + what.replace("'", "''") + "')"
-    return _row(layer, dataset, metric, field, severity, observed, 0, "v = 0", message)
+def _none(layer, dataset, metric, field, severity, observed) -> str:
+    return _row(layer, dataset, metric, field, severity, observed, 0, "v = 0")
 
 
 def _scalar(expression: str, source: str) -> str:
@@ -37,36 +38,32 @@ def _scalar(expression: str, source: str) -> str:
 def unique_sql(source, dataset="places"):
     keys = "(count(DISTINCT id) + coalesce(max(CASE WHEN id IS NULL THEN 1 END), 0))"
     return _none("silver", dataset, "duplicate_count", "id", "error",
-                 _scalar(f"count(*) - {keys}", source), " duplicate values in 'id'")
+                 _scalar(f"count(*) - {keys}", source))
 
 
 def required_sql(name, source, layer="silver", severity="error"):
-    message = f"concat('Field ''{name}'' has ', CAST(CAST(v AS BIGINT) AS VARCHAR), ' null values')"
     return _row(layer, "places", f"{name}_null_count", name, severity,
-                _scalar(f"count(*) FILTER ({name} IS NULL)", source), 0, "v = 0", message)
+                _scalar(f"count(*) FILTER ({name} IS NULL)", source), 0, "v = 0")
 
 
 def range_sql(name, limit, source):
     value = f"try_cast({name} AS DOUBLE)"
     return _none("silver", "places", f"{name}_out_of_range", name, "warning",
-                 _scalar(f"count(*) FILTER ({value} < -{limit} OR {value} > {limit})", source),
-                 f" records with '{name}' outside range [-{limit}, {limit}]")
+                 _scalar(f"count(*) FILTER ({value} < -{limit} OR {value} > {limit})", source))
 
 
 def allowed_sql(source):
     return _none("silver", "places", "kind_invalid_values", "kind", "warning",
-                 _scalar(f"count(*) FILTER (kind NOT IN ({KIND_LIST}))", source),
-                 " records with 'kind' having values outside allowed set")
+                 _scalar(f"count(*) FILTER (kind NOT IN ({KIND_LIST}))", source))
 
 
 def mean_sql(source):
-    message = "concat('Average ', printf('%.2f', v), ' of ''data_quality_score'' below threshold 80.0')"
     return _row("silver", "places", "avg_quality_score", "data_quality_score", "warning",
-                _scalar("avg(data_quality_score)", source), 80.0, "coalesce(v >= 80.0, true)", message)
+                _scalar("avg(data_quality_score)", source), 80.0, "coalesce(v >= 80.0, true)")
 
 
 def total_sql(source):
-    return _row("silver", "places", "total_records", None, "info", _scalar("count(*)", source), None, "true", "NULL")
+    return _row("silver", "places", "total_records", None, "info", _scalar("count(*)", source), None, "true")
 
 
 def silver_rows_sql(source, required=("id", "name")):
@@ -131,14 +128,14 @@ PAGES = f"(count(DISTINCT seq // {fx.PAGE}) + 2)"
     f"""WITH {fx.RAW_CTE} """
     + " UNION ALL ".join(
         [
-            _row("bronze", "places", "file_count", None, "info", _scalar(PAGES, "raw"), None, "true", "NULL"),
-            _none("bronze", "places", "invalid_json_count", "path", "error", "1", " files with invalid JSON"),
-            _none("bronze", "places", "non_array_count", "path", "warning", "1", " files that are not a JSON array"),
-            _row("bronze", "places", "record_count", None, "error", _scalar("count(*)", "raw"), 100, "v >= 100", "NULL"),
+            _row("bronze", "places", "file_count", None, "info", _scalar(PAGES, "raw"), None, "true"),
+            _none("bronze", "places", "invalid_json_count", "path", "error", "1"),
+            _none("bronze", "places", "non_array_count", "path", "warning", "1"),
+            _row("bronze", "places", "record_count", None, "error", _scalar("count(*)", "raw"), 100, "v >= 100"),
             _none("bronze", "places", "empty_record_count", None, "warning",
-                  _scalar("count(*) FILTER (seq % 40 = 0)", "raw"), " empty records"),
+                  _scalar("count(*) FILTER (seq % 40 = 0)", "raw")),
             _row("bronze", "places", "filled_record_count", None, "error",
-                 _scalar("count(*) FILTER (seq % 40 <> 0)", "raw"), 1, "v > 0", "NULL"),
+                 _scalar("count(*) FILTER (seq % 40 <> 0)", "raw"), 1, "v > 0"),
         ]
     ),
 )
@@ -173,20 +170,17 @@ def _bad_gold(spark, sf_dir):
 
 def negative_sql(column, dataset, source):
     return _none("gold", dataset, f"{dataset}.{column}_negative", column, "error",
-                 _scalar(f"count(*) FILTER ({column} < 0)", source),
-                 f" negative values in {dataset}.{column}")
+                 _scalar(f"count(*) FILTER ({column} < 0)", source))
 
 
 def share_sql(dataset, source):
     share = "percentage_of_total"
     return _none("gold", dataset, f"{dataset}.{share}_invalid", share, "warning",
-                 _scalar(f"count(*) FILTER ({share} < 0 OR {share} > 100)", source),
-                 f" invalid percentages in {dataset}.{share}")
+                 _scalar(f"count(*) FILTER ({share} < 0 OR {share} > 100)", source))
 
 
 def rows_sql(dataset, source):
-    message = f"'Aggregation ''{dataset}'' has no records'"
-    return _row("gold", dataset, f"{dataset}_count", None, "warning", _scalar("count(*)", source), None, "v <> 0", message)
+    return _row("gold", dataset, f"{dataset}_count", None, "warning", _scalar("count(*)", source), None, "v <> 0")
 
 
 @query("check_non_negative", f"WITH {BAD_GOLD_CTE} {negative_sql('record_count', 'bad', 'bad')}")
@@ -213,8 +207,7 @@ def gold_checks(spark, sf_dir):
 
 
 def difference_sql(dataset, observed):
-    message = f"concat('Sum of {dataset}.record_count differs from source by ', CAST(CAST(v AS BIGINT) AS VARCHAR))"
-    return _row("gold", dataset, "record_count_difference", "record_count", "error", observed, 0, "v = 0", message)
+    return _row("gold", dataset, "record_count_difference", "record_count", "error", observed, 0, "v = 0")
 
 
 @query(
@@ -237,7 +230,6 @@ def check_sum_matches_source(spark, sf_dir):
     + _row(
         "gold", "partial", "missing_dimensions", "country,state", "error",
         _scalar("count(DISTINCT state) FILTER (country = 'Canada')", "silver"), 0, "v = 0",
-        "concat(CAST(CAST(v AS BIGINT) AS VARCHAR), ' dimension values missing from partial')",
     ),
 )
 def check_dimensions_present(spark, sf_dir):
@@ -247,10 +239,9 @@ def check_dimensions_present(spark, sf_dir):
 
 
 def complete_sql(name, source):
-    message = f"concat('''{name}'' is only ', printf('%.4f', v), ' complete')"
     return _row("silver", "places", f"{name}_completeness", name, "warning",
                 _scalar(f"avg(CASE WHEN {name} IS NULL THEN 0.0 ELSE 1.0 END)", source),
-                0.95, "v >= 0.95", message)
+                0.95, "v >= 0.95")
 
 
 @query(
@@ -266,13 +257,12 @@ def check_completeness(spark, sf_dir):
 @query(
     "presence_audit",
     " UNION ALL ".join(
-        _row("bronze", "places", "present", date, "error", found, 1, "v = 1",
-             f"'Missing places for {date}'")
+        _row("bronze", "places", "present", date, "error", found, 1, "v = 1")
         for date, found in ((fx.DATE, "1"), (fx.NEXT_DATE, "1"), (fx.MISSING_DATE, "0"))
     )
     + " UNION ALL "
     + " UNION ALL ".join(
-        _row("gold", "by_kind", "present", date, "error", found, 1, "v = 1", f"'Missing by_kind for {date}'")
+        _row("gold", "by_kind", "present", date, "error", found, 1, "v = 1")
         for date, found in ((fx.DATE, "1"), (fx.MISSING_DATE, "0"))
     ),
 )
@@ -298,14 +288,14 @@ def presence_audit(spark, sf_dir):
           50.0 AS percentage_of_total FROM silver GROUP BY kind) """
     + " UNION ALL ".join(
         [
-            _row("bronze", "places", "file_count", None, "info", _scalar(PAGES, "raw"), None, "true", "NULL"),
-            _none("bronze", "places", "invalid_json_count", "path", "error", "1", " files with invalid JSON"),
-            _none("bronze", "places", "non_array_count", "path", "warning", "1", " files that are not a JSON array"),
-            _row("bronze", "places", "record_count", None, "error", _scalar("count(*)", "raw"), 100, "v >= 100", "NULL"),
+            _row("bronze", "places", "file_count", None, "info", _scalar(PAGES, "raw"), None, "true"),
+            _none("bronze", "places", "invalid_json_count", "path", "error", "1"),
+            _none("bronze", "places", "non_array_count", "path", "warning", "1"),
+            _row("bronze", "places", "record_count", None, "error", _scalar("count(*)", "raw"), 100, "v >= 100"),
             _none("bronze", "places", "empty_record_count", None, "warning",
-                  _scalar("count(*) FILTER (seq % 40 = 0)", "raw"), " empty records"),
+                  _scalar("count(*) FILTER (seq % 40 = 0)", "raw")),
             _row("bronze", "places", "filled_record_count", None, "error",
-                 _scalar("count(*) FILTER (seq % 40 <> 0)", "raw"), 1, "v > 0", "NULL"),
+                 _scalar("count(*) FILTER (seq % 40 <> 0)", "raw"), 1, "v > 0"),
             silver_rows_sql("silver"),
             rows_sql("places_by_type", "by_kind"),
             negative_sql("record_count", "places_by_type", "by_kind"),
