@@ -15,6 +15,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strata.llm.shared import stored
+
 #: Notices, fixed values: the wording is that of the licences' own recommended notices.
 NOTICES = (
     ("AGPL-3.0", "licensed under the GNU Affero General Public License, version 3"),
@@ -36,6 +38,8 @@ NOTICES = (
 )
 BANDS = 40
 CONTAINMENT = 0.8
+#: Up to so many notices (about 20 MB with their bands) are broadcast.
+MAX_BROADCAST_NOTICES = 5_000
 #: Bits of the table of pairs that can be the smallest of a template.
 TABLE_BITS = 1 << 16
 
@@ -142,16 +146,20 @@ def scan_licenses(
     )
     candidates = (
         window.join(
-            F.broadcast(banded),
+            F.broadcast(banded) if len(rows) <= MAX_BROADCAST_NOTICES else banded,
             (F.col("length") == F.col("t_length")) & (F.col("b.band") == F.col("t_band")) & (F.col("b.value") == F.col("t_value")),
         )
         .groupBy("row", "length", "first", "license")
         .agg(F.first("doc_id").alias("doc_id"), F.first("pairs").alias("pairs"), F.first("t_pairs").alias("t_pairs"))
     )
     shared = F.array_intersect("t_pairs", "pairs")
-    verified = candidates.select(
-        "doc_id", "row", "length", "first", "license", shared.alias("shared"), (F.size(shared) / F.size("t_pairs")).alias("share")
-    ).filter(F.col("share") >= containment)
+    share = F.size(shared) / F.size("t_pairs")
+    # Stored, for it is read twice below.
+    verified = stored(
+        candidates.select(
+            "doc_id", "row", "length", "first", "license", shared.alias("shared"), share.alias("share")
+        ).filter(F.col("share") >= containment)
+    )
     # A notice that lies wholly in one window may reach into its neighbours, where the rest of it
     # can look like another notice.
     near = F.array(F.col("first") - F.col("length"), F.col("first"), F.col("first") + F.col("length"))
