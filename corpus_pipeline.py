@@ -9,18 +9,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.llm import decontaminate, exact_dedup, language_id, mixing, near_dedup
-from strata.llm.shared import single_column, stored
-
-#: Documents go whose language cannot be told: no letters, or two languages equally near.
-MIN_SCORE = 0.505
+from strata.llm.shared import stored
 
 
 def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language is clear; the columns stay as they are."""
+    """Documents with a language: those without a letter are rejected. A language other than the
+    labelled one is no reason to drop a document; the columns stay as they are."""
     model = language_id.train(docs)
-    lang, score = (single_column(n, *docs.columns) for n in ("lang_pred", "score"))
-    found = language_id.predict_language(docs, model)
-    return found.filter((F.col(lang) != language_id.UNDETERMINED) & (F.col(score) >= MIN_SCORE)).select(*docs.columns)
+    own = [f"_doc_{i}" for i in range(len(docs.columns))]
+    renamed = docs.select(*[docs[c].alias(n) for c, n in zip(docs.columns, own)])
+    text = own[docs.columns.index("text")]
+    found = language_id.predict_language(renamed, model, text)
+    kept = found.filter(F.col("lang_pred") != language_id.UNDETERMINED)
+    return kept.select(*[F.col(n).alias(c) for c, n in zip(docs.columns, own)])
 
 
 def drop_exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

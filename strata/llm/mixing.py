@@ -178,14 +178,15 @@ def _floored(copies: str, through: Column, n: str) -> Column:
 
 def apply_mix(docs: DataFrame, text: str = "text", key: str = "doc_id", source: str = "source") -> DataFrame:
     """The documents of the mix, each as often as it is taken, with ``copy`` (1, 2, ...)."""
-    taken = _mixed(docs, text, key, source, WEIGHTS, SHARE).filter("copies > 0")
-    wanted = taken.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), "copies")
+    taken = stored(_mixed(docs, text, key, source, WEIGHTS, SHARE).filter("copies > 0"))
+    id_, own, other, n = (single_column(x, *docs.columns) for x in ("_id", "_own_hash", "_mix_hash", "_copies"))
     # Rows that agree in id and text are one here; earlier stages leave no such rows.
-    wanted = wanted.groupBy("_id", "_hash").agg(F.max("copies").alias("_copies"))
-    one = keep_rows(docs, taken, text, key).withColumn("_own", text_hash(text))
+    wanted = taken.groupBy(F.col("doc_id").alias(id_), F.col("text_hash").alias(other)).agg(F.max("copies").alias(n))
     copy = single_column("copy", *docs.columns)
     return (
-        one.join(wanted, F.col(key).eqNullSafe(F.col("_id")) & (F.col("_own") == F.col("_hash")))
-        .withColumn(copy, F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int"))))
+        keep_rows(docs, taken, text, key)
+        .withColumn(own, text_hash(text))
+        .join(wanted, F.col(key).eqNullSafe(F.col(id_)) & (F.col(own) == F.col(other)))
+        .withColumn(copy, F.explode(F.sequence(F.lit(1), F.col(n).cast("int"))))
         .select(*docs.columns, copy)
     )
