@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from strata.llm.shared import single_column
+from strata.llm.shared import single_column, text_blocks
 
 UNDETERMINED = "und"
 
@@ -26,8 +26,8 @@ UNDETERMINED = "und"
 #: the segments are parsed side by side.
 SEGMENT = 128
 
-#: Characters parsed together in a task.
-BLOCK_CHARS = 1 << 20
+#: Text parsed together in a task.
+BLOCK_BYTES = 1 << 19
 
 #: The sample of labelled texts per language: at most so many rows, and of them, in the order of
 #: their hashes, those that fit into so many characters.
@@ -142,9 +142,10 @@ def _letters(text: str, letters: np.ndarray) -> np.ndarray:
 
 def count_phrases(model: LanguageModel, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """(phrases per text and language, letters per text)."""
-    points = np.frombuffer("\x00".join(texts).encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+    # A separator stands before each text, the first too, and takes in what is no letter after it.
+    points = np.frombuffer("\x00".join(["", *texts]).encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
     lengths = np.fromiter(map(len, texts), dtype=np.int64, count=len(texts))
-    starts = np.concatenate(([0], np.cumsum(lengths + 1)[:-1]))
+    starts = 1 + np.concatenate(([0], np.cumsum(lengths + 1)[:-1]))
     codes = model.codes[points]
     keep = np.ones(len(codes), dtype=bool)
     keep[1:] = (codes[1:] != 0) | (codes[:-1] != 0)
@@ -177,26 +178,14 @@ def count_phrases(model: LanguageModel, texts: list[str]) -> tuple[np.ndarray, n
     return phrases, n_letters
 
 
-def _blocks(texts: list[str]) -> Iterator[list[str]]:
-    block, size = [], 0
-    for text in texts:
-        if block and size + len(text) > BLOCK_CHARS:
-            yield block
-            block, size = [], 0
-        block.append(text)
-        size += len(text)
-    if block:
-        yield block
-
-
 def _predictor(model):
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = model.value
         names = np.array([*known.languages, UNDETERMINED], dtype=object)
         for batch in batches:
             langs, scores = [], []
-            for block in _blocks([t or "" for t in batch.column(batch.num_columns - 1).to_pylist()]):
-                phrases, n_letters = count_phrases(known, block)
+            for _, _, block in text_blocks(batch.column(batch.num_columns - 1), BLOCK_BYTES):
+                phrases, n_letters = count_phrases(known, [raw.decode("utf-8", "surrogatepass") for raw in block])
                 bits = phrases * known.bits[None, :]
                 best = bits.argmin(axis=1)
                 low = bits[np.arange(len(bits)), best]
