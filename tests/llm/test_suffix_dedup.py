@@ -28,10 +28,10 @@ def planted(seed=1):
     passages = [prose(900 + k, 51 + 17 * k, 10**6).split() for k in range(6)]
     given = []
     for d in range(120):
-        words = prose(d, rng.randrange(20, 300), 10**6).split()
-        for _ in range(rng.randrange(3) if d % 3 else 0):
-            at = rng.randrange(len(words) + 1)
-            words[at:at] = rng.choice(passages)
+        words = []
+        for k in range(rng.randrange(1, 4)):
+            words += prose(1000 * k + d, rng.randrange(1, 100), 10**6).split()
+            words += rng.choice(passages) if d % 3 else []
         given.append((d, " ".join(words)))
     return given
 
