@@ -9,10 +9,10 @@ from tests.llm.support import documents, no_documents, odd_documents, prose, wor
 
 
 def repeated_words(given, n=50):
-    """{doc position: words covered by a run of n words that occurs elsewhere}."""
+    """{doc_id: words covered by a run of n words that occurs elsewhere}."""
     places = {}
     texts = [words_of(t) for _, t, *_ in given]
-    for d, words in enumerate(texts):
+    for (d, *_), words in zip(given, texts):
         for i in range(len(words) - n + 1):
             places.setdefault(tuple(words[i : i + n]), []).append((d, i))
     covered = {}
