@@ -10,7 +10,7 @@ from strata.llm.decontaminate import contamination_report
 from strata.llm.exact_dedup import exact_duplicates
 from strata.llm.html_text import extract_pages
 from strata.llm.language_id import detect_languages
-from strata.llm.licenses import scan_licenses
+from strata.llm.licenses import NOTICES, scan_licenses
 from strata.llm.line_dedup import repeated_units
 from strata.llm.mixing import mix_sources
 from strata.llm.near_dedup import near_duplicates
@@ -60,7 +60,36 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return detect_languages(table(spark, sf_dir, "documents"))
 
 
-@query("op7_near_dedup")
+OP7_SQL = r"""
+WITH RECURSIVE words AS (
+  SELECT row_number() OVER () AS r, doc_id,
+         coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                     '[^\x20\x09-\x0D]+'), []) AS w
+  FROM documents
+), sets AS (
+  SELECT r, doc_id,
+         CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
+              ELSE list_distinct(list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' '))) END AS s
+  FROM words
+), items AS (
+  SELECT r, n, hash(x) AS x FROM (SELECT r, len(s) AS n, unnest(s) AS x FROM sets)
+), pairs AS (
+  SELECT a.r AS a, b.r AS b
+  FROM items a JOIN items b ON a.x = b.x AND a.r < b.r AND 100 * least(a.n, b.n) >= 80 * greatest(a.n, b.n)
+  GROUP BY a.r, b.r, a.n, b.n HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*))
+), links AS (
+  SELECT a, b FROM pairs UNION ALL SELECT b, a FROM pairs
+), reach(r, c) AS (
+  SELECT r, r FROM sets UNION SELECT links.b, reach.c FROM reach JOIN links ON links.a = reach.r
+), named AS (
+  SELECT reach.r, min(o.doc_id) AS component_id FROM reach JOIN sets o ON o.r = reach.c GROUP BY reach.r
+)
+SELECT doc_id, CAST(len(s) AS BIGINT) AS n_shingles, component_id, doc_id = component_id AS kept
+FROM sets JOIN named USING (r)
+"""
+
+
+@query("op7_near_dedup", OP7_SQL)
 def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), n=4, percent=80)
 
@@ -163,6 +192,39 @@ def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classify_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
-@query("op8_license_scan")
+OP8_SQL = rf"""
+WITH notices AS (
+  SELECT license, list_filter(regexp_split_to_array(lower(notice), '[^\p{{L}}\p{{N}}]+'), lambda x: x <> '') AS w
+  FROM (VALUES {", ".join(f"('{name}', '{notice}')" for name, notice in NOTICES)}) AS t(license, notice)
+), templates AS (
+  SELECT license, CAST(pow(2, ceil(log2(len(w)))) AS INTEGER) AS n,
+         list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) AS p
+  FROM notices
+), docs AS (
+  SELECT row_number() OVER () AS r, doc_id,
+         list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^\p{{L}}\p{{N}}]+'), lambda x: x <> '') AS w
+  FROM documents
+), paired AS (
+  SELECT r, doc_id, list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]) AS p FROM docs
+), windows AS (
+  SELECT r, doc_id, n, k * n AS first, p[k * n + 1:k * n + 2 * n - 1] AS p
+  FROM (SELECT r, doc_id, n, p, unnest(range(0, len(p) // n + 1)) AS k FROM paired, (SELECT DISTINCT n FROM templates))
+), verified AS (
+  SELECT r, doc_id, n, first, license, list_intersect(t.p, windows.p) AS s,
+         len(list_intersect(t.p, windows.p)) / CAST(len(t.p) AS DOUBLE) AS share
+  FROM windows JOIN templates t USING (n) WHERE list_has_any(t.p, windows.p)
+), found AS (
+  SELECT * FROM verified WHERE share >= 0.8
+), kept AS (
+  SELECT * FROM found f WHERE NOT EXISTS (
+    SELECT 1 FROM found o WHERE o.r = f.r AND o.n = f.n AND abs(o.first - f.first) <= f.n AND o.share > f.share
+      AND len(list_filter(f.s, lambda x: NOT list_contains(o.s, x))) = 0)
+)
+SELECT doc_id, license, max(share) AS containment, count(*) AS n_windows, CAST(min(first) AS BIGINT) AS first_word
+FROM kept GROUP BY r, doc_id, license
+"""
+
+
+@query("op8_license_scan", OP8_SQL)
 def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_licenses(table(spark, sf_dir, "documents"))
