@@ -1,12 +1,13 @@
-"""Repeated passages by sparse suffix arrays.
+"""Repeated passages by anchors and exact runs of words.
 
-Suffixes are kept only at minimisers: positions that the text itself selects, at least one in any
+Anchors are minimisers: positions that the text itself selects, at least one in any
 ``WINDOW + GRAM - 1`` words, and the same ones wherever the passage occurs. A count of the words
-at these anchors drops those that occur once. The suffixes of the others are sorted by their
-words over all tasks, neighbours are compared, and matches are extended to the left and right.
+at the anchors gives a table of those that repeat. A run of ``MIN_WORDS`` words can only repeat if
+all anchors chosen within it do; these runs are grouped by their words, so no occurrence is out of
+reach of another, and each run has its keeper among its own occurrences.
 
-The sort is by range over suffix and place, so a passage that very many documents share spreads
-over tasks; of each task only its first and last suffixes meet outside it.
+Runs are counted by one aggregation that combines before its shuffle, so a passage that very many
+documents share costs one row per task.
 """
 
 from __future__ import annotations
@@ -18,15 +19,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from strata.llm.shared import NOT_SPACE, Words, rolling, stored, text_blocks
+from strata.llm.shared import NOT_SPACE, Words, mixed, rolling, stored, text_blocks
 
 #: Words of the anchors, and how many consecutive ones choose the smallest among them.
 GRAM, WINDOW = 8, 24
-#: Words that a repeated passage has at least, and those seen to each side of an anchor: any
-#: repeated passage has an anchor from which both its ends, or MIN_WORDS of it, are in sight.
-MIN_WORDS, SIGHT = 50, 40
-#: Neighbours in suffix order that a suffix is compared with, to each side.
-NEIGHBOURS = 4
+#: Words that a repeated passage has at least.
+MIN_WORDS = 50
+#: Changes the word hashes for the second hash of a run.
+CHECK = np.uint64(0xA0761D6478BD642F)
 FILTER_BITS = 25
 
 
@@ -55,37 +55,52 @@ def _hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(grams.view(np.int64))], names=["gram"])
 
 
-def _suffixes(sent):
+def candidates(words: Words, bits: np.ndarray, n: int) -> np.ndarray:
+    """Positions of the runs of ``n`` words whose anchors all may repeat.
+
+    Only the anchors chosen within the run count: wherever the run occurs, it has the same.
+    """
+    last = len(words.text) - n
+    if last < 0:
+        return np.zeros(0, np.int64)
+    inside = words.text[: last + 1] == words.text[n - 1 :]
+    views = n - (WINDOW + GRAM - 1) + 1
+    if views > 0:
+        grams = rolling(words.hash, GRAM)
+        whole = words.text[: len(grams)] == words.text[GRAM - 1 :]
+        grams = np.where(whole, grams, np.uint64(2**64 - 1))
+        smallest = np.lib.stride_tricks.sliding_window_view(grams, WINDOW).min(axis=1)
+        low = smallest & np.uint64((1 << FILTER_BITS) - 1)
+        known = (bits[(low >> np.uint64(3)).astype(np.int64)] >> (low & np.uint64(7)).astype(np.uint8)) & 1
+        upto = np.concatenate(([0], np.cumsum(known, dtype=np.int64)))
+        inside &= (upto[views:] - upto[:-views])[: last + 1] == views
+    return np.flatnonzero(inside)
+
+
+def _runs(sent, n: int):
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """(id, row, text) -> (suffix, before, id, row, at) of the anchors that may repeat."""
-        bits = sent.value
-        mask = np.uint64((1 << FILTER_BITS) - 1)
+        """(id, row, text) -> (run, check, id, row, at) of the runs of words that may repeat; run
+        and check are 96 bits of hashes of the words."""
         for batch in batches:
             for start, _, block in text_blocks(batch.column(2)):
                 words = Words(block, NOT_SPACE).lower_ascii()
-                at, grams = anchors(words)
-                low = grams & mask
-                at = at[(bits[(low >> np.uint64(3)).astype(np.int64)] >> (low & np.uint64(7)).astype(np.uint8)) & 1 > 0]
-                short = (words.hash >> np.uint64(32)).astype(">u4")
+                at = candidates(words, sent.value, n)
+                if not len(at):
+                    continue
+                run = rolling(words.hash, n)[at]
+                check = (rolling(mixed(words.hash ^ CHECK), n)[at] >> np.uint64(32)).astype(np.uint32)
                 first = np.concatenate(([0], np.cumsum(words.counts)))
                 text = words.text[at]
-                raw = short.tobytes()
-                back = short[::-1].tobytes()
-                n = len(short)
-                ends = np.minimum(at + SIGHT, first[text + 1])
-                begins = np.maximum(at - SIGHT, first[text])
-                after = [raw[4 * a : 4 * b] for a, b in zip(at.tolist(), ends.tolist())]
-                before = [back[4 * (n - a) : 4 * (n - b)] for a, b in zip(at.tolist(), begins.tolist())]
                 rows = pa.array(text + start)
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array(after, pa.binary()),
-                        pa.array(before, pa.binary()),
+                        pa.array(run.view(np.int64)),
+                        pa.array(check.view(np.int32)),
                         batch.column(0).take(rows),
                         batch.column(1).take(rows),
-                        pa.array(at - first[text], pa.int64()),
+                        pa.array((at - first[text]).astype(np.int32)),
                     ],
-                    names=["suffix", "before", "doc_id", "row", "at"],
+                    names=["run", "check", "doc_id", "row", "at"],
                 )
 
     return emit
@@ -106,72 +121,6 @@ def shared_words(one: bytes, other: bytes) -> int:
     return low
 
 
-class _Compared:
-    """Longest matches of the rows of a sorted run, each with NEIGHBOURS before and after it."""
-
-    def __init__(self, suffix: list[bytes], before: list[bytes]):
-        self.left = [0] * len(suffix)
-        self.right = [0] * len(suffix)
-        for i in range(len(suffix)):
-            for j in range(i + 1, min(i + 1 + NEIGHBOURS, len(suffix))):
-                right = shared_words(suffix[i], suffix[j])
-                if right < GRAM:
-                    break
-                left = shared_words(before[i], before[j])
-                for k in (i, j):
-                    if left + right > self.left[k] + self.right[k]:
-                        self.left[k], self.right[k] = left, right
-
-
-def _neighbours(min_words: int):
-    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Sorted rows -> (gram, id, row, at, left, right, edge, suffix, before): matches, and
-        the NEIGHBOURS first and last rows of the task as edges."""
-        held: pa.RecordBatch | None = None
-        first = True
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            joined = batch if held is None else pa.Table.from_batches([held, batch]).combine_chunks().to_batches()[0]
-            yield _matches(joined, min_words)
-            if first:
-                yield _edges(joined.slice(0, NEIGHBOURS), 0)
-                first = False
-            held = joined.slice(max(0, joined.num_rows - NEIGHBOURS))
-        if held is not None:
-            yield _edges(held, 1)
-
-    return compare
-
-
-_OUT = ["suffix", "before", "doc_id", "row", "at", "left", "right", "edge"]
-
-
-def _matches(batch: pa.RecordBatch, min_words: int) -> pa.RecordBatch:
-    found = _Compared(batch.column(0).to_pylist(), batch.column(1).to_pylist())
-    good = [i for i, (a, b) in enumerate(zip(found.left, found.right)) if a + b >= min_words]
-    rows = batch.take(pa.array(good, pa.int64()))
-    suffix = pa.array([s[: 4 * GRAM] for s in rows.column(0).to_pylist()], pa.binary())
-    return pa.RecordBatch.from_arrays(
-        [
-            suffix,
-            pa.array([b""] * len(good), pa.binary()),
-            *rows.columns[2:],
-            pa.array([found.left[i] for i in good], pa.int32()),
-            pa.array([found.right[i] for i in good], pa.int32()),
-            pa.array([-1] * len(good), pa.int32()),
-        ],
-        names=_OUT,
-    )
-
-
-def _edges(rows: pa.RecordBatch, edge: int) -> pa.RecordBatch:
-    zeros = pa.array([0] * rows.num_rows, pa.int32())
-    return pa.RecordBatch.from_arrays(
-        [*rows.columns, zeros, zeros, pa.array([edge] * rows.num_rows, pa.int32())], names=_OUT
-    )
-
-
 def _bit_table(grams: DataFrame) -> np.ndarray:
     """2 ** FILTER_BITS bits, set for the low bits of the hashes: a fixed size for any input."""
     at = F.col("gram").bitwiseAND(F.lit((1 << FILTER_BITS) - 1))
@@ -186,61 +135,48 @@ def _bit_table(grams: DataFrame) -> np.ndarray:
     return table.view(np.uint8)
 
 
-def repeated_anchors(docs: DataFrame, min_words: int, text: str, key: str) -> DataFrame:
-    """suffix (its first GRAM words), doc_id, row, at, left, right of the matched anchors."""
-    spark = docs.sparkSession
+def candidate_runs(docs: DataFrame, min_words: int, text: str, key: str) -> DataFrame:
+    """run, check, doc_id, row, at of the runs of ``min_words`` words that may repeat."""
     kind = docs.schema[key].dataType.simpleString()
     body = F.col(text).cast("string").alias("text")
     several = (
         docs.select(body).mapInArrow(_hashes, "gram bigint").groupBy("gram").count().filter("count > 1").select("gram")
     )
-    sent = spark.sparkContext.broadcast(_bit_table(several))
+    sent = docs.sparkSession.sparkContext.broadcast(_bit_table(several))
     source = docs.select(F.col(key).alias("doc_id"), F.monotonically_increasing_id().alias("row"), body)
-    suffixes = source.mapInArrow(
-        _suffixes(sent), f"suffix binary, before binary, doc_id {kind}, row bigint, at bigint"
-    )
-    order = ["suffix", "before", "doc_id", "row", "at"]
-    compared = stored(
-        suffixes.repartitionByRange(*order)
-        .sortWithinPartitions(*order)
-        .mapInArrow(
-            _neighbours(min_words),
-            f"suffix binary, before binary, doc_id {kind}, row bigint, at bigint, left int, right int, edge int",
-        )
-        .withColumn("task", F.spark_partition_id())
+    return source.mapInArrow(
+        _runs(sent, min_words), f"run bigint, check int, doc_id {kind}, row bigint, at int"
     )
-    # Between tasks: a few rows of each.
-    edges = compared.filter("edge >= 0").orderBy("task", "edge", *order).toArrow().drop_columns(["edge", "task"])
-    across = compared.filter("false").drop("edge", "task", "before")
-    if edges.num_rows:
-        rows = edges.drop_columns(["left", "right"]).combine_chunks().to_batches()[0]
-        matched = _matches(rows, min_words).drop_columns(["before", "edge"])
-        across = spark.createDataFrame(pa.Table.from_batches([matched]), schema=across.schema)
-    return compared.filter("edge = -1").drop("edge", "task", "before").unionByName(across)
 
 
 def repeated_passages(
     docs: DataFrame, min_words: int = MIN_WORDS, text: str = "text", key: str = "doc_id"
 ) -> DataFrame:
     """One row per passage to remove: doc_id, start_word, end_word (words of the text, counted
-    from 0, end not included), n_words, keep_id (a document in which it stays).
-
-    Words are runs of anything but white space, A-Z as a-z. A passage occurs at least twice, in
-    one or several documents, and has ``min_words`` words or more; where its anchor occurs first
-    (smallest doc_id, null last, then table order, then place) it stays. Overlapping passages of
-    a document are one. Null, empty and short texts have none; repeated rows are occurrences
-    like others; an empty table gives no rows.
+    from 0, end not included), n_words, keep_id (the document in which its first ``min_words``
+    words occur first).
+
+    Words are runs of anything but white space, A-Z as a-z. Every run of ``min_words`` words that
+    occurs more than once, in one or several documents, is found; of each run the first occurrence
+    (smallest doc_id, null last, then table order, then place) stays and all others go. Overlapping
+    runs of a document are one passage. A run that overlaps its own first occurrence loses only
+    what lies behind that, so such a passage may have fewer words. Where a kept run overlaps a
+    removed one, the words that both hold go, for they stay elsewhere. Null, empty and short texts
+    have none; repeated rows are occurrences like others; an empty table gives no rows.
     """
-    found = stored(repeated_anchors(docs, min_words, text, key).distinct())
+    runs = stored(candidate_runs(docs, min_words, text, key))
     place = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "row", "at")
-    first = stored(found.groupBy("suffix").agg(F.min(place).alias("first")))
-    later = found.join(first, "suffix").filter((F.col("first.row") != F.col("row")) | (F.col("first.at") != F.col("at")))
+    first = stored(
+        runs.groupBy("run", "check").agg(F.count("*").alias("n"), F.min(place).alias("first")).filter("n > 1").drop("n")
+    )
+    later = runs.join(first, ["run", "check"]).filter((F.col("first.row") != F.col("row")) | (F.col("first.at") != F.col("at")))
+    kept_to = F.when(F.col("first.row") == F.col("row"), F.col("first.at") + min_words)
     spans = later.select(
         "doc_id",
         "row",
         F.col("first.doc_id").alias("keep_id"),
-        (F.col("at") - F.col("left")).alias("start_word"),
-        (F.col("at") + F.col("right")).alias("end_word"),
+        F.greatest(F.col("at"), kept_to).cast("long").alias("start_word"),
+        (F.col("at") + min_words).cast("long").alias("end_word"),
     )
     in_text = Window.partitionBy("row").orderBy("start_word", "end_word")
     reach = F.max("end_word").over(in_text.rowsBetween(Window.unboundedPreceding, -1))
@@ -253,9 +189,13 @@ def repeated_passages(
             F.min("doc_id").alias("doc_id"),
             F.min("start_word").alias("start_word"),
             F.max("end_word").alias("end_word"),
-            F.min("keep_id").alias("keep_id"),
+            F.min(F.struct("start_word", "end_word", "keep_id")).alias("head"),
         )
         .select(
-            "doc_id", "start_word", "end_word", (F.col("end_word") - F.col("start_word")).alias("n_words"), "keep_id"
+            "doc_id",
+            "start_word",
+            "end_word",
+            (F.col("end_word") - F.col("start_word")).alias("n_words"),
+            F.col("head.keep_id").alias("keep_id"),
         )
     )

@@ -90,3 +90,45 @@ def test_shared_words():
     assert shared_words(b"aaaabbbb", b"aaaabbbc") == 1
     assert shared_words(b"aaaabbbb", b"aaaabbbbcccc") == 2
     assert shared_words(b"", b"aaaa") == 0
+
+
+def keepers(given, n=50):
+    """{doc_id: words to remove}: all occurrences of a run of n words but the first go."""
+    first, gone = {}, {}
+    for d, t in sorted(given):
+        words = words_of(t)
+        for i in range(len(words) - n + 1):
+            if first.setdefault(tuple(words[i : i + n]), (d, i)) != (d, i):
+                gone.setdefault(d, set()).update(range(i, i + n))
+    return gone
+
+
+def check_keepers(spark, given):
+    """Exactly the later occurrences go, and each removed run of words occurs once in what is left."""
+    found = {}
+    for r in repeated_passages(documents(spark, given)).collect():
+        found.setdefault(r.doc_id, set()).update(range(r.start_word, r.end_word))
+    assert found == keepers(given)
+    left = "".join(
+        "".join(f" {w}" if i not in found.get(d, ()) else "\n" for i, w in enumerate(words_of(t))) + " \n" for d, t in given
+    )
+    for d, gone in found.items():
+        words = words_of(dict(given)[d])
+        for i in gone:
+            if set(range(i, i + 50)) <= gone:
+                assert left.count(" " + " ".join(words[i : i + 50]) + " ") == 1
+
+
+def test_each_passage_keeps_one_copy_though_all_share_a_line(spark):
+    line = prose(1, 12, 10**6)
+    given = []
+    for k in range(20):
+        passage = f"{prose(10 + k, 60, 10**6)} {line} {prose(50 + k, 60, 10**6)}"
+        for copy in range(3):
+            given.append((len(given), f"{prose(1000 + len(given), 30, 10**6)} {passage} {prose(2000 + len(given), 30, 10**6)}"))
+    check_keepers(spark, given)
+
+
+def test_a_run_that_overlaps_itself_keeps_its_first_occurrence(spark):
+    found = repeated_passages(documents(spark, [(1, "a " * 3000), (2, "b " * 70)])).collect()
+    assert sorted(map(tuple, found)) == [(1, 50, 3000, 2950, 1), (2, 50, 70, 20, 2)]
