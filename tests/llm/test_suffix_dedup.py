@@ -129,6 +129,16 @@ def test_each_passage_keeps_one_copy_though_all_share_a_line(spark):
     check_keepers(spark, given)
 
 
+def test_partners_that_stand_behind_thousands_of_others(spark):
+    line = prose(1, 25, 10**6)
+    given = [(i, f"{prose(10**4 + i, 30, 10**6)} {line} {prose(2 * 10**4 + i, 30, 10**6)}") for i in range(2000)]
+    for k in range(40):
+        own = prose(5 * 10**4 + k, 25, 10**6)
+        for copy in (0, 1):
+            given.append((3000 + 2 * k + copy, f"{prose(6 * 10**4 + 2 * k + copy, 9, 10**6)} {own} {line} {prose(7 * 10**4 + 2 * k + copy, 30, 10**6)}"))
+    check_keepers(spark, given)
+
+
 def test_a_run_that_overlaps_itself_keeps_its_first_occurrence(spark):
     found = repeated_passages(documents(spark, [(1, "a " * 3000), (2, "b " * 70)])).collect()
     assert sorted(map(tuple, found)) == [(1, 50, 3000, 2950, 1), (2, 50, 70, 20, 2)]
