@@ -14,8 +14,11 @@ from strata.llm.shared import stored
 
 def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a language: those without a letter are rejected. A language other than the
-    labelled one is no reason to drop a document; the columns stay as they are."""
+    labelled one is no reason to drop a document, nor is it that no language could be learned; the
+    columns stay as they are."""
     model = language_id.train(docs)
+    if not model.languages:
+        return docs.filter(F.col("text").rlike(r"\p{L}"))
     own = [f"_doc_{i}" for i in range(len(docs.columns))]
     renamed = docs.select(*[docs[c].alias(n) for c, n in zip(docs.columns, own)])
     text = own[docs.columns.index("text")]

@@ -30,9 +30,12 @@ SEGMENT = 128
 BLOCK_BYTES = 1 << 19
 
 #: The sample of labelled texts per language: at most so many rows, and of them, in the order of
-#: their hashes, those that fit into so many characters.
+#: their hashes, those that fit into so many characters. A longer text gives an excerpt.
 SAMPLE_ROWS, SAMPLE_CHARS = 200, 20_000
 
+#: Characters that a text of more than SAMPLE_CHARS gives, from its first letter on.
+EXCERPT_CHARS = 2_000
+
 #: Letters with a code of their own, the most frequent of the sample; others match nothing.
 LETTERS = 62
 
@@ -209,22 +212,24 @@ def sample_texts(
     labelled: DataFrame, text: str, lang: str, rows: int = SAMPLE_ROWS, chars: int = SAMPLE_CHARS
 ) -> dict[str, list[str]]:
     """Texts for the automata: for each language at most ``rows`` of its texts, those of the
-    smallest hashes, and of them those that fit into ``chars``. Languages by how many labelled
-    texts they have, then by name.
+    smallest hashes, and of them those that fit into ``chars``. Texts without a letter are left
+    out; of a text of more than ``chars`` characters an excerpt counts, the EXCERPT_CHARS from its
+    first letter on, so every language with a letter in a labelled text has a sample. Languages by
+    how many labelled texts they have, then by name.
 
     The order comes from the texts alone. Each task sends at most ``rows`` hashes per language.
     """
     named = labelled.select(
         F.col(lang).cast("string").alias("lang"), F.col(text).cast("string").alias("text")
     ).filter("lang is not null and text is not null")
-    hashed = named.select("lang", F.xxhash64("text").alias("h"), F.length("text").alias("n"))
-    usual = hashed.filter(F.col("n").between(1, chars))
+    hashed = named.filter(F.col("text").rlike(r"\p{L}")).select("lang", F.xxhash64("text").alias("h"))
     nth = Window.partitionBy("lang").orderBy("h")
-    chosen = usual.withColumn("nth", F.row_number().over(nth)).filter(F.col("nth") <= rows).select("lang", "h")
+    chosen = hashed.withColumn("nth", F.row_number().over(nth)).filter(F.col("nth") <= rows).select("lang", "h")
     counts = {r["lang"]: r["n"] for r in named.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    excerpt = F.substring(F.regexp_replace("text", r"^\P{L}+", ""), 1, min(chars, EXCERPT_CHARS))
     found = (
         named.withColumn("h", F.xxhash64("text"))
-        .filter(F.length("text") <= chars)
+        .withColumn("text", F.when(F.length("text") <= chars, F.col("text")).otherwise(excerpt))
         .join(F.broadcast(chosen.distinct()), ["lang", "h"], "left_semi")
         .distinct()
         .collect()

@@ -5,7 +5,7 @@ import numpy as np
 import pytest
 
 from strata.llm import language_id as li
-from tests.llm.support import documents, no_documents, odd_documents
+from tests.llm.support import documents, no_documents, odd_documents, prose
 
 SF_DIR = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.01")
 SAMPLES = {"en": ["the cat sat on the mat and the dog"], "de": ["der hund und die katze sind im haus"]}
@@ -73,3 +73,13 @@ def test_held_out_accuracy(spark):
     docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
     found = li.detect_languages(docs).join(docs.select("doc_id", "lang"), "doc_id").filter("held_out").collect()
     assert sum(r.lang == r.lang_pred for r in found) >= 0.97 * len(found)
+
+
+def test_languages_of_long_texts_only_are_learned(spark):
+    long_aa = "12 " + " ".join(f"ba{w}" for w in prose(1, 5000, 50).replace("w", "x").split())
+    rest = [(i, f"the cat sat on mat number {'abcdefghij'[i % 10]}", "en", "s") for i in range(1, 60)]
+    given = rest + [(1000 + i, long_aa.replace("1", "abc"[i % 3]).replace("2", "k"), "aa", "s") for i in range(6)]
+    assert min(len(t) for _, t, lang, _ in given if lang == "aa") > li.SAMPLE_CHARS
+    found = {r.doc_id: r.lang_pred for r in li.detect_languages(documents(spark, given)).collect()}
+    assert {found[d] for d, _, lang, _ in given if lang == "aa"} == {"aa"}
+    assert {found[d] for d, _, lang, _ in given if lang == "en"} == {"en"}

@@ -88,3 +88,9 @@ def test_awkward_rows_and_empty_tables_go_through(spark, folder):
             docs = stored(stage(spark, docs, place))
             assert docs.columns[: len(columns)] == columns
         assert (docs.count() > 0) == (number == 0)
+
+
+def test_documents_stay_where_no_language_is_known(spark, folder):
+    docs = documents(spark, [(1, "some words", None), (2, "12 ...", None), (3, None, None), (4, "中", None)])
+    kept = corpus_pipeline.keep_known_languages(spark, docs, folder)
+    assert sorted(r.doc_id for r in kept.collect()) == [1, 4] and kept.columns == docs.columns
