@@ -36,20 +36,45 @@ SAMPLE_ROWS, SAMPLE_CHARS = 200, 20_000
 #: Characters that a text of more than SAMPLE_CHARS gives, from its first letter on.
 EXCERPT_CHARS = 2_000
 
-#: Letters with a code of their own, the most frequent of the sample; others match nothing.
+#: Letters with a column of their own in the table, the most frequent of the sample; the moves by
+#: the other letters of the sample stand in a sorted list.
 LETTERS = 62
 
 
 @dataclass
 class LanguageModel:
     """``table[state + code]`` holds twice the next state plus 1 where a phrase ends before this
-    character. States count in steps of ``width``; ``roots`` are those of the languages."""
+    character. States count in steps of ``width``; ``roots`` are those of the languages. Codes from
+    ``width - 1`` on are of rare letters: ``rare_keys`` (state times ``n_codes`` plus code, sorted)
+    has their moves, to the states ``rare_targets``."""
 
     languages: list[str]
     codes: np.ndarray
     table: np.ndarray
     roots: np.ndarray
     bits: np.ndarray
+    width: int
+    n_codes: int
+    rare_keys: np.ndarray
+    rare_targets: np.ndarray
+
+    def moves(self, state: np.ndarray, code: np.ndarray) -> np.ndarray:
+        """Entries as in ``table`` for states (a row for each language) and codes."""
+        found = self.table[state + np.minimum(code, self.width - 1)]
+        rare = np.flatnonzero(code >= self.width - 1)
+        if len(rare) and len(self.rare_keys):
+            numbers = code[rare].astype(np.int64)
+            target, known = self._rare(state[:, rare], numbers)
+            roots = np.broadcast_to(self.roots[:, None], target.shape)
+            again, from_root = self._rare(roots, numbers)
+            target = np.where(known, target, np.where(from_root, again, roots))
+            found[:, rare] = target * 2 + ~known
+        return found
+
+    def _rare(self, state: np.ndarray, code: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        key = state.astype(np.int64) * self.n_codes + code
+        at = np.minimum(np.searchsorted(self.rare_keys, key), len(self.rare_keys) - 1)
+        return self.rare_targets[at], self.rare_keys[at] == key
 
 
 def letter_table() -> np.ndarray:
@@ -63,8 +88,8 @@ def letter_table() -> np.ndarray:
     return out
 
 
-def _automaton(codes: list[int], width: int) -> np.ndarray:
-    """Transitions of the suffix automaton of the codes (-1: none), one row per state."""
+def _automaton(codes: list[int]) -> list[dict[int, int]]:
+    """Transitions of the suffix automaton of the codes, by state; three for a code at most."""
     nexts: list[dict[int, int]] = [{}]
     link, length, last = [-1], [0], 0
     for c in codes:
@@ -90,11 +115,7 @@ def _automaton(codes: list[int], width: int) -> np.ndarray:
                     p = link[p]
                 link[q] = link[current] = clone
         last = current
-    out = np.full((len(nexts), width), -1, dtype=np.int64)
-    for state, moves in enumerate(nexts):
-        for c, target in moves.items():
-            out[state, c] = target
-    return out
+    return nexts
 
 
 def build_model(samples: dict[str, list[str]]) -> LanguageModel:
@@ -103,24 +124,34 @@ def build_model(samples: dict[str, list[str]]) -> LanguageModel:
     points = {lang: [_letters(t, letters) for t in texts] for lang, texts in samples.items()}
     everything = np.concatenate([p for ps in points.values() for p in ps] or [np.zeros(0, np.int32)])
     kinds, counts = np.unique(everything[everything > 0], return_counts=True)
-    common = kinds[np.lexsort((kinds, -counts))][:LETTERS]
-    width = len(common) + 2
-    # 0: between words, 1..n: letters, n + 1: a letter without a code of its own.
-    codes_of = np.full(0x110000, width - 1, dtype=np.uint8)
+    ordered = kinds[np.lexsort((kinds, -counts))]
+    width = min(len(ordered), LETTERS) + 2
+    # 0: between words, then the letters by frequency; the last: a letter that the sample has not.
+    n_codes = len(ordered) + 2
+    codes_of = np.full(0x110000, n_codes - 1, dtype=np.uint8 if n_codes <= 256 else np.uint16 if n_codes <= 65_536 else np.int32)
     codes_of[letters == 0] = 0
-    own = np.zeros(0x110000, dtype=np.uint8)
-    own[common] = np.arange(1, len(common) + 1)
+    own = np.zeros(0x110000, dtype=codes_of.dtype)
+    own[ordered] = np.arange(1, len(ordered) + 1)
     mapped = own[letters]
     codes_of[mapped > 0] = mapped[mapped > 0]
 
     tables, roots, bits, base = [], [], [], 0
+    keys, targets = [], []
     for lang in samples:
         text: list[int] = []
         for p in points[lang]:
             text += [0, *codes_of[p].tolist()]
-        text = [c if c != width - 1 else 0 for c in text] + [0]
-        moves = _automaton(text, width)
-        n = len(moves)
+        text.append(0)
+        nexts = _automaton(text)
+        n = len(nexts)
+        moves = np.full((n, width), -1, dtype=np.int64)
+        for state, by_code in enumerate(nexts):
+            for c, target in by_code.items():
+                if c < width - 1:
+                    moves[state, c] = target
+                else:
+                    keys.append((base + state) * width * n_codes + c)
+                    targets.append((base + target) * width)
         fallback = np.where(moves[0] >= 0, moves[0], 0)
         ends = moves < 0
         target = np.where(ends, fallback[None, :], moves)
@@ -130,9 +161,12 @@ def build_model(samples: dict[str, list[str]]) -> LanguageModel:
         base += n
     whole = np.concatenate(tables) if tables else np.zeros((1, width), np.int64)
     kind = np.int32 if whole.max(initial=0) < 2**31 else np.int64
+    rare_keys = np.array(keys, dtype=np.int64)
+    order = np.argsort(rare_keys)
     return LanguageModel(
-        list(samples), codes_of, whole.astype(kind).ravel(), np.array(roots, dtype=kind), np.array(bits)
-    )
+        list(samples), codes_of, whole.astype(kind).ravel(), np.array(roots, dtype=kind), np.array(bits),
+        width, n_codes, rare_keys[order], np.array(targets, dtype=kind)[order],
+    )
 
 
 def _letters(text: str, letters: np.ndarray) -> np.ndarray:
@@ -172,7 +206,7 @@ def count_phrases(model: LanguageModel, texts: list[str]) -> tuple[np.ndarray, n
     ended = np.ones((n_langs, len(at)), dtype=np.int32)
     for step in range(int(left[0]) if len(left) else 0):
         live = int(np.searchsorted(-left, -step, side="left"))
-        found = model.table[state[:, :live] + codes[at[:live] + step]]
+        found = model.moves(state[:, :live], codes[at[:live] + step])
         ended[:, :live] += found & 1
         state[:, :live] = found >> 1
     phrases = np.zeros((len(texts), n_langs))

@@ -75,6 +75,30 @@ def test_held_out_accuracy(spark):
     assert sum(r.lang == r.lang_pred for r in found) >= 0.97 * len(found)
 
 
+def ideographs(first, seed, n, kinds=900):
+    rng = np.random.default_rng(seed)
+    words = ["".join(chr(first + int(i)) for i in rng.integers(0, kinds, 3)) for _ in range(300)]
+    order = np.random.default_rng(10**6 + n + seed).integers(0, 300, n)
+    return words, " ".join(words[int(i)] for i in order)
+
+
+def test_letters_beyond_the_most_frequent_count():
+    latin = "the cat sat on the mat and the dog " * 100
+    samples = {"en": [latin]}
+    words = {}
+    for lang, first, seed in (("zh", 0x4E00, 1), ("ja", 0x4E00, 2), ("xx", 0x7000, 3)):
+        words[lang], text = ideographs(first, seed, 1500)
+        samples[lang] = [text]
+    model = li.build_model(samples)
+    assert len(model.codes[model.codes > 0]) and model.n_codes > 1000
+    for lang, known in words.items():
+        text = " ".join(known[::7])
+        found, _ = li.count_phrases(model, [text])
+        for j, name in enumerate(model.languages):
+            assert found[0, j] == phrases(text, " " + samples[name][0].strip() + " "), (lang, name)
+        assert model.languages[int((found * model.bits)[0].argmin())] == lang
+
+
 def test_languages_of_long_texts_only_are_learned(spark):
     long_aa = "12 " + " ".join(f"ba{w}" for w in prose(1, 5000, 50).replace("w", "x").split())
     rest = [(i, f"the cat sat on mat number {'abcdefghij'[i % 10]}", "en", "s") for i in range(1, 60)]
