@@ -5,7 +5,8 @@ something that is no main text (menu, header, footer, sidebar, notice, advert, f
 ...), or elsewhere. Pages are put in the order of host and URL path; a page is aligned with the
 page of other content next to it by the longest common subsequence of their lines, and the lines
 both share are deleted, for they belong to the site. Blocks inside an article stay: sister
-articles may quote the same passage. Blocks inside menus and the like go, shared or not.
+articles may quote the same passage. Blocks inside menus and the like go, shared or not. All
+others stay unless they are shared, on pages with an article as on those without.
 
 For the alignment only hashes of the lines outside articles move; pages are shuffled once.
 """
@@ -207,9 +208,12 @@ def _outlines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def main_text(page: str | None, neighbour: list[int] | None) -> str:
-    """The text of a page, given the line hashes of the page beside it."""
+    """The text of a page, given the line hashes of the page beside it ([] if it has none).
+
+    With None nothing is known of the site, and where a page has an article only that stays.
+    """
     blocks = page_blocks(page or "")
-    has_article = any(in_main and not aside for _, in_main, aside in blocks)
+    only_article = neighbour is None and any(in_main and not aside for _, in_main, aside in blocks)
     shared: set[int] = set()
     if neighbour:
         shared = set(common_lines(_site_lines(blocks), neighbour))
@@ -217,7 +221,7 @@ def main_text(page: str | None, neighbour: list[int] | None) -> str:
     for text, in_main, aside in blocks:
         site = aside or not in_main
         line += site
-        if not site or (not aside and not has_article and line not in shared):
+        if not site or (not aside and not only_article and line not in shared):
             kept.append(text)
     return "\n\n".join(kept)
 
@@ -226,7 +230,7 @@ def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(..., html, lines of the neighbour) -> (..., text)."""
     for batch in batches:
         pages, neighbours = batch.columns[-2].to_pylist(), batch.columns[-1].to_pylist()
-        texts = [main_text(page, lines) for page, lines in zip(pages, neighbours)]
+        texts = [main_text(page, lines or []) for page, lines in zip(pages, neighbours)]
         yield pa.RecordBatch.from_arrays(
             [*batch.columns[:-2], pa.array(texts, pa.string()), pa.array(map(len, texts), pa.int64())],
             names=[*batch.schema.names[:-2], "text", "n_chars"],

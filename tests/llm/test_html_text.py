@@ -103,3 +103,19 @@ def test_blocks_say_where_they_stand():
     assert [b for b in page_blocks(PAGE) if b[1] and not b[2]] == [
         ("Head & line", True, False), ("One <tag> two", True, False), ("Three", True, False),
     ]
+
+
+def test_text_outside_the_article_goes_only_where_it_is_shared(spark):
+    def page(i, story):
+        return (
+            f"<nav>Home</nav><p>Our site</p><h1>Head {i}</h1><p>Lead {i}</p>{story}"
+            f"<article><p>Body {i}</p></article><p>Imprint</p><footer>Foot</footer>"
+        )
+
+    rows = [(i, f"http://a.example/{i}", page(i, f"<div>Story {i}</div>")) for i in range(3)]
+    rows += [(9, "http://b.example/1", page(9, ""))]
+    found = texts(extract_pages(pages(spark, rows)))
+    assert found == {
+        **{i: f"Head {i}\n\nLead {i}\n\nStory {i}\n\nBody {i}" for i in range(3)},
+        9: "Our site\n\nHead 9\n\nLead 9\n\nBody 9\n\nImprint",
+    }
