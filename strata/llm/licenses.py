@@ -36,6 +36,69 @@ NOTICES = (
     ("MPL-2.0", "subject to the terms of the Mozilla Public License, v. 2.0"),
     ("Proprietary", "All rights reserved"),
 )
+#: What licence files and headers say, beside the notices: the clauses that grant, and the usual
+#: short forms. A licence has several; each is a template of its own.
+_VERBS = ("Licensed under", "Released under", "Distributed under", "Available under")
+_SHORT = (
+    ("AGPL-3.0", ("the GNU AGPL v3", "the AGPL 3.0 license")),
+    ("Apache-2.0", ("the Apache License, Version 2.0", "the Apache 2.0 License", "the Apache-2.0 license")),
+    ("BSD-2-Clause", ("the BSD 2-Clause License", "the 2-Clause BSD License", "the Simplified BSD License")),
+    ("BSD-3-Clause", ("the BSD 3-Clause License", "the 3-Clause BSD License", "the New BSD License", "the Modified BSD License")),
+    ("EPL-2.0", ("the Eclipse Public License 2.0", "the Eclipse Public License, version 2.0")),
+    ("GPL-2.0", ("the GNU GPL v2", "the GPLv2 license")),
+    ("GPL-3.0", ("the GNU GPL v3", "the GPLv3 license")),
+    ("ISC", ("the ISC License",)),
+    ("LGPL-3.0", ("the GNU LGPL v3", "the LGPL 3.0 license")),
+    ("MIT", ("the MIT License",)),
+    ("MPL-2.0", ("the Mozilla Public License 2.0", "the Mozilla Public License, version 2.0", "the MPL 2.0")),
+    ("Unlicense", ("the Unlicense",)),
+)
+_SPDX = (
+    ("AGPL-3.0", ("AGPL-3.0", "AGPL-3.0-only", "AGPL-3.0-or-later")),
+    ("Apache-2.0", ("Apache-2.0",)),
+    ("BSD-2-Clause", ("BSD-2-Clause",)),
+    ("BSD-3-Clause", ("BSD-3-Clause",)),
+    ("CC-BY-4.0", ("CC-BY-4.0",)),
+    ("CC-BY-NC-4.0", ("CC-BY-NC-4.0",)),
+    ("CC-BY-SA-4.0", ("CC-BY-SA-4.0",)),
+    ("CC0-1.0", ("CC0-1.0",)),
+    ("EPL-2.0", ("EPL-2.0",)),
+    ("GPL-2.0", ("GPL-2.0", "GPL-2.0-only", "GPL-2.0-or-later")),
+    ("GPL-3.0", ("GPL-3.0", "GPL-3.0-only", "GPL-3.0-or-later")),
+    ("ISC", ("ISC",)),
+    ("LGPL-3.0", ("LGPL-3.0", "LGPL-3.0-only", "LGPL-3.0-or-later")),
+    ("MIT", ("MIT",)),
+    ("MPL-2.0", ("MPL-2.0",)),
+    ("Unlicense", ("Unlicense",)),
+)
+_GNU = "This program is free software: you can redistribute it and/or modify it under the terms of the GNU {} as published by the Free Software Foundation, either version {} of the License, or (at your option) any later version"
+_BSD = "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met"
+TEXTS = (
+    ("AGPL-3.0", _GNU.format("Affero General Public License", 3)),
+    ("AGPL-3.0", "GNU AFFERO GENERAL PUBLIC LICENSE Version 3, 19 November 2007"),
+    ("Apache-2.0", 'you may not use this file except in compliance with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0'),
+    ("Apache-2.0", "Apache License Version 2.0, January 2004 http://www.apache.org/licenses/"),
+    ("BSD-2-Clause", _BSD),
+    ("BSD-3-Clause", "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission"),
+    ("CC0-1.0", "Creative Commons CC0 1.0 Universal"),
+    ("CC-BY-4.0", "licensed under a Creative Commons Attribution 4.0 International License"),
+    ("CC-BY-NC-4.0", "licensed under a Creative Commons Attribution-NonCommercial 4.0 International License"),
+    ("CC-BY-SA-4.0", "licensed under a Creative Commons Attribution-ShareAlike 4.0 International License"),
+    ("EPL-2.0", "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0 which is available at"),
+    ("GPL-2.0", _GNU.format("General Public License", 2)),
+    ("GPL-2.0", "GNU GENERAL PUBLIC LICENSE Version 2, June 1991"),
+    ("GPL-3.0", _GNU.format("General Public License", 3)),
+    ("GPL-3.0", "GNU GENERAL PUBLIC LICENSE Version 3, 29 June 2007"),
+    ("ISC", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies"),
+    ("LGPL-3.0", _GNU.format("Lesser General Public License", 3)),
+    ("LGPL-3.0", "GNU LESSER GENERAL PUBLIC LICENSE Version 3, 29 June 2007"),
+    ("MIT", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software without restriction"),
+    ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at"),
+    ("MPL-2.0", "Mozilla Public License Version 2.0"),
+    ("Unlicense", "This is free and unencumbered software released into the public domain"),
+    *((name, f"{verb} {form}") for name, forms in _SHORT for verb in _VERBS for form in forms),
+    *((name, f"SPDX-License-Identifier: {tag}") for name, tags in _SPDX for tag in tags),
+)
 BANDS = 40
 CONTAINMENT = 0.8
 #: Up to so many notices (about 20 MB with their bands) are broadcast.
@@ -73,14 +136,15 @@ def templates(spark: SparkSession, notices=NOTICES) -> DataFrame:
 
 def scan_licenses(
     docs: DataFrame,
-    notices=NOTICES,
+    notices=NOTICES + TEXTS,
     containment: float = CONTAINMENT,
     text: str = "text",
     key: str = "doc_id",
 ) -> DataFrame:
     """One row per document and licence found in it: doc_id, license, containment (the largest
     share of a notice's word pairs in a window), n_windows (windows that hold it), first_word
-    (where the first of them starts).
+    (where the first of them starts). A text of the BSD 3-Clause licence holds the clauses of the
+    2-Clause one and gives both.
 
     Words are runs of letters and digits in lower case. A notice whose shared pairs are all among
     those of a notice of larger share, in its window or a neighbour of it, does not count (``BY``
@@ -92,11 +156,11 @@ def scan_licenses(
     # As many rows as notices, held as one small relation.
     known = templates(spark, notices).collect()
     lengths = sorted({r["length"] for r in known})
-    rows = [(r["license"], r["length"], r["pairs"]) for r in known]
-    schema = "license string, length int, pairs array<bigint>"
+    rows = [(i, r["license"], r["length"], r["pairs"]) for i, r in enumerate(known)]
+    schema = "template int, license string, length int, pairs array<bigint>"
     base = spark.createDataFrame(rows, schema)
-    banded = base.select("license", F.col("length").alias("t_length"), F.col("pairs").alias("t_pairs"), F.explode(_band_list(F.col("pairs"))).alias("b"))
-    banded = banded.select("license", "t_length", "t_pairs", F.col("b.band").alias("t_band"), F.col("b.value").alias("t_value"))
+    banded = base.select("template", "license", F.col("length").alias("t_length"), F.col("pairs").alias("t_pairs"), F.explode(_band_list(F.col("pairs"))).alias("b"))
+    banded = banded.select("template", "license", "t_length", "t_pairs", F.col("b.band").alias("t_band"), F.col("b.value").alias("t_value"))
     smallest = {x for r in known for x in r["pairs"]}
     bits = [0] * (TABLE_BITS // 64)
     for x in smallest:
@@ -149,7 +213,8 @@ def scan_licenses(
             F.broadcast(banded) if len(rows) <= MAX_BROADCAST_NOTICES else banded,
             (F.col("length") == F.col("t_length")) & (F.col("b.band") == F.col("t_band")) & (F.col("b.value") == F.col("t_value")),
         )
-        .groupBy("row", "length", "first", "license")
+        # A licence has several templates of one length.
+        .groupBy("row", "length", "first", "license", "template")
         .agg(F.first("doc_id").alias("doc_id"), F.first("pairs").alias("pairs"), F.first("t_pairs").alias("t_pairs"))
     )
     shared = F.array_intersect("t_pairs", "pairs")
@@ -184,7 +249,7 @@ def scan_licenses(
         .agg(
             F.first("doc_id").alias("doc_id"),
             F.max("share").alias("containment"),
-            F.count("*").alias("n_windows"),
+            F.count_distinct("length", "first").alias("n_windows"),
             F.min("first").cast("long").alias("first_word"),
         )
         .select("doc_id", "license", "containment", "n_windows", "first_word")
