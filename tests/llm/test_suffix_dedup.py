@@ -120,7 +120,7 @@ def check_keepers(spark, given):
 
 
 def test_each_passage_keeps_one_copy_though_all_share_a_line(spark):
-    line = prose(1, 12, 10**6)
+    line = prose(1, 40, 10**6)
     given = []
     for k in range(20):
         passage = f"{prose(10 + k, 60, 10**6)} {line} {prose(50 + k, 60, 10**6)}"
@@ -130,10 +130,10 @@ def test_each_passage_keeps_one_copy_though_all_share_a_line(spark):
 
 
 def test_partners_that_stand_behind_thousands_of_others(spark):
-    line = prose(1, 25, 10**6)
+    line = prose(1, 42, 10**6)
     given = [(i, f"{prose(10**4 + i, 30, 10**6)} {line} {prose(2 * 10**4 + i, 30, 10**6)}") for i in range(2000)]
     for k in range(40):
-        own = prose(5 * 10**4 + k, 25, 10**6)
+        own = prose(5 * 10**4 + k, 10, 10**6)
         for copy in (0, 1):
             given.append((3000 + 2 * k + copy, f"{prose(6 * 10**4 + 2 * k + copy, 9, 10**6)} {own} {line} {prose(7 * 10**4 + 2 * k + copy, 30, 10**6)}"))
     check_keepers(spark, given)
