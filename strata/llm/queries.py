@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from strata.llm.decontaminate import contamination_report
 from strata.llm.exact_dedup import exact_duplicates
@@ -14,6 +15,7 @@ from strata.llm.licenses import NOTICES, scan_licenses
 from strata.llm.line_dedup import repeated_units
 from strata.llm.mixing import mix_sources
 from strata.llm.near_dedup import near_duplicates
+from strata.llm.packing import pack_documents
 from strata.llm.quality import classify_quality
 from strata.llm.suffix_dedup import repeated_passages
 
@@ -228,3 +230,13 @@ FROM kept GROUP BY r, doc_id, license
 @query("op8_license_scan", OP8_SQL)
 def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_licenses(table(spark, sf_dir, "documents"))
+
+
+@query("op11_packing")
+def op11_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    pieces = pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+    return pieces.select(
+        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"
+    )

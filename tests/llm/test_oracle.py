@@ -16,7 +16,7 @@ SF_DIR = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.01")
 @pytest.fixture(scope="module")
 def duck():
     connection = duckdb.connect()
-    for name in ("documents", "pages", "benchmark", "labels"):
+    for name in ("documents", "pages", "benchmark", "labels", "embeddings"):
         connection.execute(f"CREATE VIEW {name} AS SELECT * FROM '{SF_DIR}/{name}.parquet'")
     return connection
 
@@ -29,7 +29,7 @@ def comparable(value):
 
 def test_one_query_for_each_operator_and_the_pipeline():
     numbers = sorted(int(name[2:].split("_")[0]) for name in QUERIES)
-    assert numbers == list(range(1, 11)) and QUERIES.items() <= entry.queries().items()
+    assert numbers == list(range(1, 14)) and QUERIES.items() <= entry.queries().items()
     assert entry.queries()["pipeline"] is corpus_pipeline.run
 
 
