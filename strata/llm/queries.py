@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strata.llm.centroids import cluster_vectors
 from strata.llm.decontaminate import contamination_report
 from strata.llm.exact_dedup import exact_duplicates
 from strata.llm.html_text import extract_pages
@@ -15,6 +16,7 @@ from strata.llm.licenses import NOTICES, scan_licenses
 from strata.llm.line_dedup import repeated_units
 from strata.llm.mixing import mix_sources
 from strata.llm.near_dedup import near_duplicates
+from strata.llm.negatives import mine_hard_negatives
 from strata.llm.packing import pack_documents
 from strata.llm.quality import classify_quality
 from strata.llm.suffix_dedup import repeated_passages
@@ -240,3 +242,77 @@ def op11_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.select(
         "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"
     )
+
+
+OP12_SQL = """
+WITH rows AS (
+  SELECT row_number() OVER () AS r, vec_id,
+         CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+  SELECT a.r, a.vec_id AS anchor_id, a.label AS own, b.r AS other, b.vec_id, b.label,
+         CAST(list_dot_product(a.v, b.v) AS BIGINT) AS score
+  FROM rows a JOIN rows b ON a.vec_id % 100 = 0 AND a.r <> b.r AND len(a.v) = len(b.v)
+), positives AS (
+  SELECT r, anchor_id, own, vec_id AS positive_id, other, score AS positive_score FROM scored WHERE label = own
+  QUALIFY row_number() OVER (PARTITION BY r ORDER BY score DESC, vec_id, other) <= 5
+)
+SELECT p.anchor_id, positive_id,
+       CAST(row_number() OVER (PARTITION BY p.r, p.other ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
+       vec_id AS negative_id, positive_score, score AS negative_score
+FROM positives p JOIN scored s ON s.r = p.r AND s.label <> p.own
+  AND 80 * positive_score <= 100 * score AND 100 * score <= 100 * positive_score
+QUALIFY row_number() OVER (PARTITION BY p.r, p.other ORDER BY score DESC, vec_id) <= 5
+"""
+
+
+@query("op12_hard_negatives", OP12_SQL)
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    vectors = table(spark, sf_dir, "embeddings").withColumn("label", moved)
+    return mine_hard_negatives(vectors, is_anchor=F.col("vec_id") % 100 == 0)
+
+
+def _op13_sql(rounds: int = 10) -> str:
+    """Assignment and move of every round, written one after the other."""
+    parts = [
+        """WITH kept AS (
+  SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: floor(1024 * CAST(x AS DOUBLE))) AS v,
+         sha256('3:' || CAST(vec_id AS VARCHAR)) AS h
+  FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), c0 AS (
+  SELECT row_number() OVER (ORDER BY h, v) - 1 AS c, v AS m FROM (SELECT h, v FROM kept ORDER BY h, v LIMIT 8)
+)"""
+    ]
+    for i in range(rounds + 1):
+        parts.append(f"""a{i} AS MATERIALIZED (
+  SELECT r, vec_id, v, c, d, m FROM (
+    SELECT *, list_dot_product(v, v) - 2 * list_dot_product(v, m) + list_dot_product(m, m) AS d FROM kept, c{i}
+  ) QUALIFY row_number() OVER (PARTITION BY r ORDER BY d, c) = 1
+)""")
+        if i < rounds:
+            parts.append(f"""m{i} AS (
+  SELECT c, list(x ORDER BY k) AS m FROM (
+    SELECT c, k, floor(sum(x) / count(*)) AS x FROM (SELECT c, unnest(v) AS x, unnest(range(64)) AS k FROM a{i}) GROUP BY c, k
+  ) GROUP BY c
+), c{i + 1} AS MATERIALIZED (
+  SELECT c, coalesce(m{i}.m, c{i}.m) AS m FROM c{i} LEFT JOIN m{i} USING (c)
+)""")
+    return ",\n".join(parts) + f"""
+SELECT vec_id, CAST(c AS INTEGER) AS cluster, CAST(d AS BIGINT) AS distance,
+       CAST(sum(d) OVER (PARTITION BY c) AS BIGINT) AS cluster_inertia, CAST(sum(d) OVER () AS BIGINT) AS inertia,
+       sha256(array_to_string(list_transform(m, lambda x: CAST(CAST(x AS BIGINT) AS VARCHAR)), ',')) AS centroid_sha256
+FROM a{rounds}
+"""
+
+
+@query("op13_centroid_clustering", _op13_sql())
+def op13_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    digest = F.sha2(F.array_join(F.col("centroid").cast("array<string>"), ","), 256)
+    return cluster_vectors(table(spark, sf_dir, "embeddings")).select(
+        "vec_id", "cluster", "distance", "cluster_inertia", "inertia", digest.alias("centroid_sha256")
+    )

@@ -36,6 +36,11 @@ def stored(df: DataFrame) -> DataFrame:
     return table
 
 
+def reread(table: DataFrame) -> DataFrame:
+    """A stored table as a frame of its own, to be joined or grouped with the first."""
+    return table.sparkSession.read.schema(table.schema).parquet(table.stored_at)
+
+
 def discard(*tables: DataFrame) -> None:
     """Deletes tables that nothing reads any more: what was made of them is stored itself."""
     for table in tables:
