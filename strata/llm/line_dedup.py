@@ -1,6 +1,7 @@
-"""Repeated lines or paragraphs: the earliest occurrence stays, the others go.
+"""Repeated lines, clauses or paragraphs: the earliest occurrence stays, the others go.
 
-Units are hashed where their text lies; only digests, ranks and offsets move. The earliest
+Passages that documents share often begin and end within lines, so lines can be cut further at
+the ends of their clauses. Units are hashed where their text lies; only digests, ranks and offsets move. The earliest
 occurrence of each digest comes from an aggregation that combines before its shuffle, so a line
 that most documents share costs one row per task.
 """
@@ -18,9 +19,12 @@ from pyspark.sql import types as T
 
 from strata.llm.shared import single_column, stored, text_hash
 
-#: What separates units, and the words that a removed run of units has at least.
+#: What separates units.
 LINES, PARAGRAPHS = r"\n", r"\n[ \t\r]*\n\s*"
-MIN_WORDS = 50
+#: Lines, and clauses within them: white space behind a punctuation mark separates too.
+CLAUSES = r"\n|(?<=[.!?,;:])[ \t\r\x0b\x0c]+"
+#: Words that a run of repeated units has at least, for it to go.
+MIN_WORDS = 30
 
 _UPPER = str.maketrans({chr(c): chr(c + 32) for c in range(65, 91)})
 _WORDS = re.compile(r"[^\x20\x09-\x0D]+")
@@ -44,16 +48,17 @@ def _units(separator: str):
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """(id, text hash, text) -> (id, text hash, array of units)."""
         pattern = re.compile(separator)
-        kind = pa.list_(
-            pa.struct([("start", pa.int32()), ("end", pa.int32()), ("words", pa.int32()), ("digest", pa.binary())])
-        )
+        kind = pa.struct([("start", pa.int32()), ("end", pa.int32()), ("words", pa.int32()), ("digest", pa.binary())])
         for batch in batches:
-            units = [
-                [{"start": a, "end": b, "words": n, "digest": d} for a, b, n, d in units_of(text or "", pattern)]
-                for text in batch.column(2).to_pylist()
-            ]
+            found, ends = [], [0]
+            for text in batch.column(2):
+                found += units_of(text.as_py() or "", pattern)
+                ends.append(len(found))
+            columns = list(zip(*found)) or [()] * 4
+            units = pa.StructArray.from_arrays([pa.array(x, t.type) for x, t in zip(columns, kind)], fields=list(kind))
+            lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), units)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(units, kind)], names=["doc_id", "text_hash", "units"]
+                [batch.column(0), batch.column(1), lists], names=["doc_id", "text_hash", "units"]
             )
 
     return split
@@ -87,13 +92,14 @@ def _repeated(docs: DataFrame, separator: str, min_words: int, text: str, key: s
 
 def repeated_units(
     docs: DataFrame,
-    separator: str = LINES,
+    separator: str = CLAUSES,
     min_words: int = MIN_WORDS,
     text: str = "text",
     key: str = "doc_id",
 ) -> DataFrame:
     """One row per unit to remove: doc_id, unit (its number among the units with words), start,
-    end (code points of the original text), n_words, keep_id, keep_unit (where it stays).
+    end (code points of the original text), n_words, keep_id, keep_unit (where it stays),
+    passage_words (of the run of removed units it stands in).
 
     Occurrences rank by doc_id (null last), then by the row of the table, then by place in the
     text. All but the first of a digest go, if the run of such units they stand in has
@@ -108,22 +114,33 @@ def repeated_units(
         F.col("words").cast("long").alias("n_words"),
         F.col("first.doc_id").alias("keep_id"),
         F.col("first.unit").cast("long").alias("keep_unit"),
+        F.col("passage_words").cast("long"),
     )
 
 
+def without(text: str, spans: list[tuple[int, int]]) -> str:
+    """The text without the spans (start, end), and without what separated them from the rest: the
+    line end behind a whole line, the white space behind a part of a line."""
+    kept, at = [], 0
+    for start, end in sorted(spans):
+        kept.append(text[at:start])
+        at = max(at, end)
+        line_start = not any(kept) or next(k for k in reversed(kept) if k)[-1] == "\n"
+        if text[at : at + 1] == "\n":
+            at += line_start
+        else:
+            while at < len(text) and text[at] in " \t\r\x0b\x0c":
+                at += 1
+    return "".join([*kept, text[at:]])
+
+
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(..., text, spans) -> (..., spans, text without them)."""
     for batch in batches:
         texts = []
         for text, spans in zip(batch.column(batch.num_columns - 2).to_pylist(), batch.column(batch.num_columns - 1).to_pylist()):
             if text is not None and spans:
-                parts, at = [], 0
-                for span in sorted(spans, key=lambda s: s["start"]):
-                    parts.append(text[at : span["start"]])
-                    at = max(at, span["end"])
-                    if at < len(text) and text[at] == "\n":
-                        at += 1
-                text = "".join([*parts, text[at:]])
+                text = without(text, [(span["start"], span["end"]) for span in spans])
             texts.append(text)
         yield pa.RecordBatch.from_arrays(
             [*batch.columns[:-2], batch.columns[-1], pa.array(texts, pa.string())],
@@ -132,7 +149,7 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def drop_repeated_units(
-    docs: DataFrame, separator: str = LINES, min_words: int = MIN_WORDS, text: str = "text", key: str = "doc_id"
+    docs: DataFrame, separator: str = CLAUSES, min_words: int = MIN_WORDS, text: str = "text", key: str = "doc_id"
 ) -> DataFrame:
     """``docs`` with the repeated units cut out of its texts and ``removed_spans`` (offsets in
     the original texts). Rows that agree in id and text lose the same units."""

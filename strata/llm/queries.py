@@ -12,7 +12,7 @@ from strata.llm.decontaminate import contamination_report
 from strata.llm.exact_dedup import exact_duplicates
 from strata.llm.html_text import extract_pages
 from strata.llm.language_id import detect_languages
-from strata.llm.licenses import NOTICES, scan_licenses
+from strata.llm.licenses import NOTICES, TEXTS, scan_licenses
 from strata.llm.line_dedup import repeated_units
 from strata.llm.mixing import mix_sources
 from strata.llm.near_dedup import near_duplicates
@@ -153,14 +153,18 @@ def op2_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 OP1_SQL = r"""
 WITH rows AS (
-  SELECT row_number() OVER (ORDER BY doc_id) AS r, doc_id, string_split(text, chr(10)) AS lines
+  SELECT row_number() OVER (ORDER BY doc_id) AS r, doc_id,
+         regexp_extract_all(text, '(?s).*?(?:\n|[.!?,;:][ \t\r\x0B\x0C]+|$)') AS parts
   FROM documents WHERE text IS NOT NULL
 ), cut AS (
-  SELECT r, doc_id, unnest(lines) AS line, unnest(range(1, len(lines) + 1)) AS k FROM rows
+  SELECT r, doc_id, unnest(parts) AS part, unnest(range(1, len(parts) + 1)) AS k FROM rows
 ), placed AS (
-  SELECT r, doc_id, k, line,
-         coalesce(sum(length(line) + 1) OVER (PARTITION BY r ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start,
-         regexp_extract_all(translate(line, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+  SELECT r, doc_id, k,
+         CASE WHEN part LIKE '%' || chr(10) THEN part[:-2]
+              WHEN regexp_matches(part, '[.!?,;:][ \t\r\x0B\x0C]+$') THEN regexp_replace(part, '[ \t\r\x0B\x0C]+$', '')
+              ELSE part END AS line,
+         coalesce(sum(length(part)) OVER (PARTITION BY r ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start,
+         regexp_extract_all(translate(part, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
                             '[^\x20\x09-\x0D]+') AS words
   FROM cut
 ), units AS (
@@ -176,8 +180,9 @@ WITH rows AS (
 ), passages AS (
   SELECT *, sum(n_words) OVER (PARTITION BY r, run) AS passage FROM later
 )
-SELECT doc_id, unit, CAST(start AS BIGINT) AS start, CAST(stop AS BIGINT) AS "end", CAST(n_words AS BIGINT) AS n_words, keep_id, keep_unit
-FROM passages WHERE passage >= 50
+SELECT doc_id, unit, CAST(start AS BIGINT) AS start, CAST(stop AS BIGINT) AS "end", CAST(n_words AS BIGINT) AS n_words, keep_id, keep_unit,
+       CAST(passage AS BIGINT) AS passage_words
+FROM passages WHERE passage >= 30
 """
 
 
@@ -196,27 +201,29 @@ def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classify_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+_OP8_ROWS = ", ".join("({}, '{}', '{}')".format(i, n, t.replace("'", "''")) for i, (n, t) in enumerate(NOTICES + TEXTS))
 OP8_SQL = rf"""
 WITH notices AS (
-  SELECT license, list_filter(regexp_split_to_array(lower(notice), '[^\p{{L}}\p{{N}}]+'), lambda x: x <> '') AS w
-  FROM (VALUES {", ".join(f"('{name}', '{notice}')" for name, notice in NOTICES)}) AS t(license, notice)
+  SELECT id, license, list_filter(regexp_split_to_array(lower(notice), '[^\p{{L}}\p{{N}}]+'), lambda x: x <> '') AS w
+  FROM (VALUES {_OP8_ROWS}) AS t(id, license, notice)
 ), templates AS (
-  SELECT license, CAST(pow(2, ceil(log2(len(w)))) AS INTEGER) AS n,
+  SELECT id, license, CAST(pow(2, ceil(log2(len(w)))) AS INTEGER) AS n,
          list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) AS p
   FROM notices
+), template_pairs AS (
+  SELECT id, license, n, len(p) AS size, unnest(p) AS x FROM templates
 ), docs AS (
   SELECT row_number() OVER () AS r, doc_id,
          list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^\p{{L}}\p{{N}}]+'), lambda x: x <> '') AS w
   FROM documents
 ), paired AS (
-  SELECT r, doc_id, list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]) AS p FROM docs
-), windows AS (
-  SELECT r, doc_id, n, k * n AS first, p[k * n + 1:k * n + 2 * n - 1] AS p
-  FROM (SELECT r, doc_id, n, p, unnest(range(0, len(p) // n + 1)) AS k FROM paired, (SELECT DISTINCT n FROM templates))
+  SELECT r, doc_id, unnest(range(0, len(w) - 1)) AS i, unnest(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) AS x
+  FROM docs
+), placed AS (
+  SELECT r, doc_id, id, license, n, size, x, unnest([i // n, i // n - 1]) AS k, i FROM paired JOIN template_pairs USING (x)
 ), verified AS (
-  SELECT r, doc_id, n, first, license, list_intersect(t.p, windows.p) AS s,
-         len(list_intersect(t.p, windows.p)) / CAST(len(t.p) AS DOUBLE) AS share
-  FROM windows JOIN templates t USING (n) WHERE list_has_any(t.p, windows.p)
+  SELECT r, doc_id, n, k * n AS first, id, license, list(DISTINCT x) AS s, count(DISTINCT x) / CAST(size AS DOUBLE) AS share
+  FROM placed WHERE k >= 0 AND i <= k * n + 2 * n - 2 GROUP BY r, doc_id, n, k, id, license, size
 ), found AS (
   SELECT * FROM verified WHERE share >= 0.8
 ), kept AS (
@@ -224,7 +231,7 @@ WITH notices AS (
     SELECT 1 FROM found o WHERE o.r = f.r AND o.n = f.n AND abs(o.first - f.first) <= f.n AND o.share > f.share
       AND len(list_filter(f.s, lambda x: NOT list_contains(o.s, x))) = 0)
 )
-SELECT doc_id, license, max(share) AS containment, count(*) AS n_windows, CAST(min(first) AS BIGINT) AS first_word
+SELECT doc_id, license, max(share) AS containment, count(DISTINCT (n, first)) AS n_windows, CAST(min(first) AS BIGINT) AS first_word
 FROM kept GROUP BY r, doc_id, license
 """
 

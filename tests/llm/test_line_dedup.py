@@ -1,20 +1,23 @@
 import random
+import re
 
-from strata.llm.line_dedup import PARAGRAPHS, drop_repeated_units, repeated_units
+from strata.llm.line_dedup import CLAUSES, LINES, PARAGRAPHS, drop_repeated_units, repeated_units, without
 from tests.llm.support import documents, no_documents, odd_documents, odd_rows, prose, words_of
 
 
-def brute_force(given, min_words=50):
-    """(doc_id, unit, start, end, words, keep_id, keep_unit) by a walk over all lines in order."""
+def brute_force(given, min_words=30, separator=CLAUSES):
+    """(doc_id, unit, start, end, words, keep_id, keep_unit, words of the run) by a walk over all
+    units in order."""
     order = sorted(range(len(given)), key=lambda i: (given[i][0] is None, given[i][0] or 0, i))
     units = {}
     for i in order:
-        at, mine = 0, []
-        for line in (given[i][1] or "").split("\n"):
-            words = words_of(line)
-            if words:
-                mine.append((" ".join(words), at, at + len(line), len(words)))
-            at += len(line) + 1
+        at, mine, text = 0, [], given[i][1] or ""
+        for piece in re.split(f"({separator})", text):
+            if not re.fullmatch(separator.replace("(?<=[.!?,;:])", ""), piece):
+                words = words_of(piece)
+                if words:
+                    mine.append((" ".join(words), at, at + len(piece), len(words)))
+            at += len(piece)
         units[i] = mine
     first = {}
     for i in order:
@@ -30,11 +33,12 @@ def brute_force(given, min_words=50):
             else:
                 runs.append([u])
         for run in runs:
-            if sum(units[i][u][3] for u in run) >= min_words:
+            total = sum(units[i][u][3] for u in run)
+            if total >= min_words:
                 for u in run:
                     key, a, b, n = units[i][u]
                     j, v = first[key]
-                    out.append((given[i][0], u, a, b, n, given[j][0], v))
+                    out.append((given[i][0], u, a, b, n, given[j][0], v, total))
     return sorted(out, key=str)
 
 
@@ -45,12 +49,39 @@ def result(df):
 def lines(seed, n=60):
     rng = random.Random(seed)
     pool = [prose(rng.randrange(12), rng.choice([1, 3, 20, 55])) for _ in range(25)]
-    return [(i, "\n".join(rng.choice(pool) for _ in range(rng.randrange(8)))) for i in range(n)]
+    ends = ["\n", "\n\n", ". ", ", ", " ", ".\n", "!  \t", "; \n", "."]
+    return [
+        (i, "".join(rng.choice(pool) + rng.choice(ends) for _ in range(rng.randrange(9)))) for i in range(n)
+    ]
 
 
 def test_matches_brute_force(spark):
     for seed in (1, 2):
-        assert result(repeated_units(documents(spark, lines(seed)))) == brute_force(lines(seed))
+        for separator in (CLAUSES, LINES):
+            for least in (1, 30):
+                found = result(repeated_units(documents(spark, lines(seed)), separator, least))
+                assert found == brute_force(lines(seed), least, separator)
+
+
+def test_a_passage_within_lines_of_many_documents(spark):
+    passage = ", ".join(prose(k, 11, 10**6) for k in range(7)) + "."
+    given = [
+        (i, f"{prose(100 + i, 9, 10**6)} {prose(300 + i, 8, 10**6)}. {passage} {prose(200 + i, 9, 10**6)}.") for i in range(80)
+    ]
+    found = result(repeated_units(documents(spark, given)))
+    assert found == brute_force(given) and {(r[0], r[7]) for r in found} == {(i, 77) for i in range(1, 80)}
+
+
+def test_what_separated_a_unit_goes_with_it():
+    text = "one. two, three\nfour\nfive. six"
+    at = lambda *words: [(text.index(w), text.index(w) + len(w)) for w in words]
+    assert without(text, at("one.")) == "two, three\nfour\nfive. six"
+    assert without(text, at("two,")) == "one. three\nfour\nfive. six"
+    assert without(text, at("three")) == "one. two, \nfour\nfive. six"
+    assert without(text, at("four")) == "one. two, three\nfive. six"
+    assert without(text, at("one.", "two,", "three")) == "four\nfive. six"
+    assert without(text, at("four", "five.")) == "one. two, three\nsix"
+    assert without(text, at("six", "five.")) == "one. two, three\nfour\n"
 
 
 def test_a_line_that_all_share(spark):
@@ -66,6 +97,9 @@ def test_awkward_rows(spark):
     # Repeated rows are told apart by their place in the table, which has no fixed order.
     assert [r[:5] for r in found] == [r[:5] for r in brute_force(odd_rows())]
     assert result(repeated_units(no_documents(spark))) == []
+    assert result(repeated_units(no_documents(spark), PARAGRAPHS)) == []
+    found = result(repeated_units(odd_documents(spark), PARAGRAPHS))
+    assert [r[:5] for r in found] == [r[:5] for r in brute_force(odd_rows(), separator=PARAGRAPHS)]
 
 
 def test_units_are_cut_out(spark):
