@@ -4,7 +4,8 @@
 Two layouts, told apart by extension:
 
 * ``.json``: a file (or a folder of files) that each hold one JSON *array* of records, as
-  fetchers write them. Such a file cannot be split, so one file is one task.
+  fetchers write them. One file is one task, unless ``split_arrays`` has large files read by
+  ranges.
 * ``.jsonl``: a folder of text files with one record per line, as ``append_records`` writes
   them. These split at any line.
 """
@@ -23,7 +24,7 @@ from pyspark.sql import functions as F
 
 from strata.functions.text import is_json
 from strata.operators.dedup import keep_latest
-from strata.sources import storage
+from strata.sources import arrays, storage
 
 RUN_PATTERN = r"(.+?)_bronze_(.+)_(\d{4}-\d{2}-\d{2})_(\d{8})_(\d{6})(?:_(\d{6}))?\.jsonl?"
 
@@ -115,16 +116,20 @@ def runs(
     return found
 
 
+def _paths_of(landing: str, found: list[Run]) -> dict[str, list[str]]:
+    """Per layout, the paths of the runs."""
+    paths = {e: [f"{landing.rstrip('/')}/{r.name}" for r in found if r.name.endswith(e)] for e in (".json", ".jsonl")}
+    return {extension: some for extension, some in paths.items() if some}
+
+
+def _text(spark: SparkSession, paths: list[str], whole: bool) -> DataFrame:
+    """The raw text of files or lines with its file path."""
+    return spark.read.text(paths, wholetext=whole).select("value", F.col("_metadata.file_path").alias("_path"))
+
+
 def _text_of(spark: SparkSession, landing: str, found: list[Run]) -> dict[str, DataFrame]:
-    """Per layout, the raw text of the runs with its file path."""
-    texts = {}
-    for extension, whole in ((".json", True), (".jsonl", False)):
-        paths = [f"{landing.rstrip('/')}/{r.name}" for r in found if r.name.endswith(extension)]
-        if paths:
-            texts[extension] = spark.read.text(paths, wholetext=whole).select(
-                "value", F.col("_metadata.file_path").alias("_path")
-            )
-    return texts
+    """Per layout, the raw text of the runs."""
+    return {e: _text(spark, paths, e == ".json") for e, paths in _paths_of(landing, found).items()}
 
 
 @dataclass(frozen=True)
@@ -199,6 +204,7 @@ def scan(
     source: str | None = None,
     on_invalid: str = "raise",
     dataset: str | None = None,
+    split_arrays: bool = False,
 ) -> DataFrame:
     """Records of every run of a date as ``payload`` plus run columns.
 
@@ -206,21 +212,31 @@ def scan(
     array are skipped (``inventory`` reports them). A file or line that is no JSON is an error;
     with ``on_invalid='skip'`` it is left out. Text after the end of an array is only reported
     by ``inventory``, which parses more thoroughly.
+
+    With ``split_arrays`` array files are read by byte ranges of
+    ``spark.sql.files.maxPartitionBytes``: the same rows, but many tasks share a large file and
+    none holds more of it than a record. It scans the files three times, so it is for files
+    that are too large for one task.
     """
     if on_invalid not in ("raise", "skip"):
         raise ValueError(f"on_invalid must be 'raise' or 'skip', not {on_invalid!r}")
+    strict = on_invalid == "raise"
+
+    def whole_arrays(paths: list[str]) -> DataFrame:
+        # The outer form, with its empty rows dropped after: for the plain form Spark
+        # infers a filter on the array and would parse every file again to test it.
+        return (
+            _elements(_text(spark, paths, True), strict)
+            .select("_path", F.posexplode_outer("_elements").alias("_position", "payload"))
+            .filter(F.col("_position").isNotNull())
+        )
+
     found, parts = runs(spark, landing, date, source, dataset), []
-    for extension, text in _text_of(spark, landing, found).items():
+    for extension, paths in _paths_of(landing, found).items():
         if extension == ".json":
-            # The outer form, with its empty rows dropped after: for the plain form Spark
-            # infers a filter on the array and would parse every file again to test it.
-            records = (
-                _elements(text, on_invalid == "raise")
-                .select("_path", F.posexplode_outer("_elements").alias("_position", "payload"))
-                .filter(F.col("_position").isNotNull())
-            )
+            records = arrays.elements(spark, paths, strict, whole_arrays) if split_arrays else whole_arrays(paths)
         else:
-            records = _lines(text, on_invalid == "raise").select(
+            records = _lines(_text(spark, paths, False), strict).select(
                 "_path", F.lit(None).cast("int").alias("_position"), F.col("value").alias("payload")
             )
         parts.append(records)
@@ -244,6 +260,7 @@ def load_latest(
     normalize_key: bool = False,
     dataset: str | None = None,
     counts: Observation | None = None,
+    split_arrays: bool = False,
 ) -> DataFrame:
     """Landed records of a date through ``parser``, newest record per ``key``.
 
@@ -251,7 +268,7 @@ def load_latest(
     count as one key; ``counts`` observes how many records were read and how many lack the key
     (``records_read``, ``null_keys``).
     """
-    parsed = scan(spark, landing, date, source, dataset=dataset).transform(parser)
+    parsed = scan(spark, landing, date, source, dataset=dataset, split_arrays=split_arrays).transform(parser)
     if counts is not None:
         parsed = parsed.observe(
             counts,

@@ -216,6 +216,25 @@ def landed(spark: SparkSession, sf_dir: str) -> str:
     return _stored(spark, sf_dir, "landing", _land)
 
 
+def _one_array(spark: SparkSession, sf_dir: str) -> str:
+    """A run of one file: the lines of the records in order, between brackets and commas."""
+    root = storage.workspace(spark, "array")
+    places = messy_places(spark, sf_dir)
+    first, last = places.agg(F.min("seq"), F.max("seq")).first()
+    line = F.concat(
+        F.when(F.col("seq") == first, "[").otherwise(","),
+        landing.as_json(places),
+        F.when(F.col("seq") == last, "]").otherwise(""),
+    )
+    lines = places.orderBy("seq").select(line.alias("value")).coalesce(1)
+    lines.write.text(f"{root}/places_bronze_api_{DATE}_20260125_010000.json")
+    return root
+
+
+def one_array(spark: SparkSession, sf_dir: str) -> str:
+    return _stored(spark, sf_dir, "array", _one_array)
+
+
 def _write_dates(spark: SparkSession, sf_dir: str) -> str:
     """Silver table with all places on each of two dates."""
     root = storage.workspace(spark, "dated")

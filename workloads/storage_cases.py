@@ -83,6 +83,16 @@ def bronze_skip_invalid(spark, sf_dir):
     return parsed.groupBy("id").agg(F.count("*").alias("n"))
 
 
+@query(
+    "bronze_split_arrays",
+    f"""WITH {fx.RAW_CTE} {RAW_TEXT}, CAST(row_number() OVER (ORDER BY raw.seq) - 1 AS INTEGER) AS position FROM raw""",
+)
+def bronze_split_arrays(spark, sf_dir):
+    """One array file with all records, read by byte ranges; positions are those of the array."""
+    records = landing.scan(spark, fx.one_array(spark, sf_dir), fx.DATE, split_arrays=True)
+    return parse_payload(records.withColumnRenamed("_position", "position"), fx.FIELDS, keep=["position"])
+
+
 SILVER_LIST = ", ".join(fx.SILVER_COLUMNS)
 EVERY_DATE = f"""WITH {fx.SILVER_CTE}, dated AS (
   SELECT *, '{fx.DATE}' AS _processing_date FROM silver UNION ALL
