@@ -6,8 +6,9 @@ and a template become candidates when they agree in a minwise hash (a band of on
 ``BANDS`` bands a notice is retrieved with probability 1 - (1 - J) ** BANDS, J >= 0.2 for every
 template and its window: more than 0.9998. Candidates are verified by exact containment.
 
-Everything is built from Spark's own functions and runs where the text lies. A window that
-collides contains the smallest pair of a template; windows without any such pair are not hashed.
+Everything is built from Spark's own functions and runs where the text lies. Only windows with as
+many pairs of templates as the smallest template of their class must share are hashed: fewer
+cannot contain one.
 """
 
 from __future__ import annotations
@@ -15,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm.shared import stored
+from strata.llm.shared import reread, stored
 
 #: Notices, fixed values: the wording is that of the licences' own recommended notices.
 NOTICES = (
@@ -103,7 +104,7 @@ BANDS = 40
 CONTAINMENT = 0.8
 #: Up to so many notices (about 20 MB with their bands) are broadcast.
 MAX_BROADCAST_NOTICES = 5_000
-#: Bits of the table of pairs that can be the smallest of a template.
+#: Bits of the table of the pairs of all templates.
 TABLE_BITS = 1 << 16
 
 
@@ -125,6 +126,11 @@ def _band_list(pairs: Column) -> Column:
     return F.transform(numbers, lambda j: F.struct(j.alias("band"), F.array_min(F.transform(pairs, lambda x: F.xxhash64(x, j))).alias("value")))
 
 
+def _needed(n: int, containment: float) -> int:
+    """The fewest of ``n`` pairs that are a share of ``containment``; one at least."""
+    return next(m for m in range(1, n + 1) if m / n >= containment or m == n)
+
+
 def templates(spark: SparkSession, notices=NOTICES) -> DataFrame:
     """license, length (its class: words rounded up to a power of two), pairs: as many rows as
     there are notices of two words or more."""
@@ -159,14 +165,15 @@ def scan_licenses(
     rows = [(i, r["license"], r["length"], r["pairs"]) for i, r in enumerate(known)]
     schema = "template int, license string, length int, pairs array<bigint>"
     base = spark.createDataFrame(rows, schema)
-    banded = base.select("template", "license", F.col("length").alias("t_length"), F.col("pairs").alias("t_pairs"), F.explode(_band_list(F.col("pairs"))).alias("b"))
-    banded = banded.select("template", "license", "t_length", "t_pairs", F.col("b.band").alias("t_band"), F.col("b.value").alias("t_value"))
-    smallest = {x for r in known for x in r["pairs"]}
+    bands = base.select("template", F.col("length").alias("t_length"), F.explode(_band_list(F.col("pairs"))).alias("b"))
+    bands = bands.select("template", "t_length", F.col("b.band").alias("t_band"), F.col("b.value").alias("t_value"))
     bits = [0] * (TABLE_BITS // 64)
-    for x in smallest:
+    for x in {x for r in known for x in r["pairs"]}:
         at = x % TABLE_BITS
         bits[at // 64] |= 1 << (at % 64)
     table = F.array(*[F.lit(b - (1 << 64) if b >= 1 << 63 else b).cast("long") for b in bits])
+    # A window that holds a template has at least so many pairs of templates.
+    least = {n: min(_needed(len(r["pairs"]), containment) for r in known if r["length"] == n) for n in lengths}
 
     def possible(x: Column) -> Column:
         at = x.bitwiseAND(F.lit(TABLE_BITS - 1)).cast("int")
@@ -186,36 +193,42 @@ def scan_licenses(
         F.filter(F.transform("pairs", lambda x, i: F.when(possible(x), i)), lambda i: i.isNotNull()).alias("hits"),
     )
 
-    def windows(length: int) -> Column:
-        # Windows start at multiples of the length and hold twice as many words.
-        return F.array_distinct(
-            F.flatten(
-                F.transform(
-                    "hits",
-                    lambda i: F.filter(
-                        F.array(F.floor(i / length).cast("int"), F.floor(i / length).cast("int") - 1), lambda k: k >= 0
-                    ),
-                )
-            )
-        )
-
     def starts(length: int) -> Column:
-        return F.transform(windows(length), lambda k: F.struct(F.lit(length).alias("length"), (k * length).alias("first")))
+        """Windows start at multiples of the length and hold twice as many words. Each that has
+        enough hits is found from the first of them."""
+        place = lambda i: F.floor(i / length).cast("int")
+        last = lambda j: F.get(F.col("hits"), j + (least[length] - 1))
+        full = F.transform(
+            "hits",
+            lambda i, j: F.filter(
+                F.array(place(i), place(i) - 1), lambda k: (k >= 0) & (last(j) <= k * length + (2 * length - 2))
+            ),
+        )
+        return F.transform(
+            F.array_distinct(F.flatten(full)), lambda k: F.struct(F.lit(length).alias("length"), (k * length).alias("first"))
+        )
 
     placed = F.flatten(F.array(*[starts(n) for n in lengths]))
-    window = (
-        hits.select("doc_id", "row", "pairs", F.explode(placed).alias("w"))
-        .select("doc_id", "row", "w.length", "w.first", F.slice("pairs", F.col("w.first") + 1, F.col("w.length") * 2 - 1).alias("pairs"))
-        .select("*", F.explode(_band_list(F.col("pairs"))).alias("b"))
+    # Stored, for its bands and its pairs are read apart: bands move without the pairs.
+    window = stored(
+        hits.select("doc_id", "row", "pairs", F.explode(placed).alias("w")).select(
+            "doc_id", "row", "w.length", "w.first", F.slice("pairs", F.col("w.first") + 1, F.col("w.length") * 2 - 1).alias("pairs")
+        )
     )
-    candidates = (
-        window.join(
-            F.broadcast(banded) if len(rows) <= MAX_BROADCAST_NOTICES else banded,
+    banded = window.select("row", "length", "first", F.explode(_band_list(F.col("pairs"))).alias("b"))
+    small = len(rows) <= MAX_BROADCAST_NOTICES
+    alike = (
+        banded.join(
+            F.broadcast(bands) if small else bands,
             (F.col("length") == F.col("t_length")) & (F.col("b.band") == F.col("t_band")) & (F.col("b.value") == F.col("t_value")),
         )
         # A licence has several templates of one length.
-        .groupBy("row", "length", "first", "license", "template")
-        .agg(F.first("doc_id").alias("doc_id"), F.first("pairs").alias("pairs"), F.first("t_pairs").alias("t_pairs"))
+        .select("row", "length", "first", "template")
+        .distinct()
+    )
+    named = base.select("template", "license", F.col("pairs").alias("t_pairs"))
+    candidates = alike.join(F.broadcast(named) if small else named, "template").join(
+        reread(window), ["row", "length", "first"]
     )
     shared = F.array_intersect("t_pairs", "pairs")
     share = F.size(shared) / F.size("t_pairs")
