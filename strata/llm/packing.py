@@ -30,8 +30,8 @@ MAX_SEGMENTS = 256
 END_ID = 1
 #: Tokens that are packed together: about a thousand sequences.
 GROUP_TOKENS = 1 << 21
-#: Words, and parts of words, whose ids a worker remembers; the ones beyond are encoded each time.
-MAX_WORDS, MAX_WORD_CHARS = 1 << 19, 64
+#: Words, and what follows them, whose ids a worker remembers; the ones beyond are encoded each time.
+MAX_WORDS, MAX_WORD_CHARS = 1 << 20, 64
 
 #: White space, and letters and punctuation that every byte-level pre-tokenizer keeps apart.
 SPACE = "\t\n\x0b\x0c\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
@@ -39,10 +39,9 @@ LETTER = "A-Za-zÀ-ÖØ-öø-ɏ"
 PUNCTUATION = r"!-&(-/:-@\[-`{-~"
 #: Before a space that a word follows every byte-level pre-tokenizer cuts, whatever stands before.
 WORD_START = re.compile(rf" (?=[^{SPACE}])")
-#: It also cuts before white space behind a word, and between letters and punctuation behind them.
-PART = re.compile(rf"[{SPACE}]*[{LETTER}]+(?=[{PUNCTUATION}])|[{SPACE}]*[^{SPACE}]+|[{SPACE}]+")
-#: A part that the pre-tokenizer leaves in one piece, so that the model can have it at once.
-ONE_PIECE = re.compile(rf" ?[{LETTER}]+")
+#: It also cuts between letters and punctuation behind them, and before white space behind anything else.
+LETTERS, BEHIND_LETTERS = re.compile(f"[{LETTER}]*"), re.compile(f"[{PUNCTUATION}]")
+PARTS = re.compile(f"[{SPACE}]*[^{SPACE}]+|[{SPACE}]+")
 ID_BYTES = 4
 
 
@@ -68,19 +67,25 @@ class Encoder:
             and not kind.add_prefix_space
             and self.tokenizer.normalizer is None
         )
-        self.parts = _Known(self.part)
-        self.words = _Known(lambda word: b"".join(map(self.parts.__getitem__, PART.findall(f" {word}"))))
+        self.words, self.tails = _Known(self.word), _Known(self.tail)
 
     def whole(self, text: str) -> bytes:
         return _id_bytes(self.tokenizer.encode(text, add_special_tokens=False).ids)
 
-    def part(self, text: str) -> bytes:
-        if not ONE_PIECE.fullmatch(text):
-            return self.whole(text)
-        letters = text.replace(" ", BYTE_LETTERS[32])
-        if not text.isascii():
-            letters = text.encode().decode("latin-1").translate(BYTE_LETTERS)
-        return _id_bytes([token.id for token in self.model.tokenize(letters)])
+    def word(self, text: str) -> bytes:
+        """Ids of a space and the word."""
+        letters = LETTERS.match(text).end()
+        if letters == len(text):
+            mapped = text if text.isascii() else text.encode().decode("latin-1").translate(BYTE_LETTERS)
+            return _id_bytes([token.id for token in self.model.tokenize(BYTE_LETTERS[32] + mapped)])
+        if letters and BEHIND_LETTERS.match(text, letters):
+            return self.words[text[:letters]] + self.tails[text[letters:]]
+        return self.whole(f" {text}")
+
+    def tail(self, text: str) -> bytes:
+        """Ids of what follows a word: punctuation, and the next word behind other white space."""
+        parts = PARTS.findall(text)
+        return self.whole(text) if len(parts) == 1 else b"".join(map(self.tails.__getitem__, parts))
 
     def encode(self, text: str) -> bytes:
         if not self.by_word:
