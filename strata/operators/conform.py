@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strata.functions import quality, text
+from strata.operators import mappings
 from strata.operators.schema import TYPES, Declared, field_types, spark_type
 from strata.plans.specs import DatasetSpec, ScoreSpec, StandardizeSpec
 
@@ -76,23 +77,36 @@ def clean_strings(df: DataFrame) -> DataFrame:
     return df.withColumns(cleaned)
 
 
-def map_values(df: DataFrame, name: str, mapping: Mapping[str, str]) -> DataFrame:
+def map_values(df: DataFrame, name: str, mapping: Mapping[str, str] | DataFrame) -> DataFrame:
     """Replace values of one column.
 
     A long mapping becomes a local lookup table and a join, broadcast up to a fixed number
-    of entries; beyond that Spark picks the join by the table's size.
+    of entries; beyond that Spark picks the join by the table's size. A mapping that is a table
+    (``position``, ``source``, ``target``) is resolved by joins and never collected.
     """
+    if isinstance(mapping, DataFrame):
+        return _map_by_table(df, name, mapping)
     if len(mapping) <= text.MAX_LITERAL_MAPPING:
         return df.withColumn(name, text.mapped(F.col(name), mapping))
     pairs = text.resolve_mapping(mapping)
+    lookup = df.sparkSession.createDataFrame(
+        pa.table({"source": list(pairs.keys()), "target": list(pairs.values())})
+    )
+    return _replaced(df, name, lookup, len(pairs))
+
+
+def _map_by_table(df: DataFrame, name: str, rules: DataFrame) -> DataFrame:
+    lookup = mappings.resolve_rules(rules)
+    return _replaced(df, name, lookup, lookup.count())
+
+
+def _replaced(df: DataFrame, name: str, lookup: DataFrame, entries: int) -> DataFrame:
     taken = {c.lower() for c in df.columns}
     source, target = "_mapped_from", "_mapped_to"
     while {source, target} & taken:
         source, target = f"_{source}", f"_{target}"
-    lookup = df.sparkSession.createDataFrame(
-        pa.table({source: list(pairs.keys()), target: list(pairs.values())})
-    )
-    if len(pairs) <= text.MAX_BROADCAST_MAPPING:
+    lookup = lookup.withColumnsRenamed({"source": source, "target": target})
+    if entries <= text.MAX_BROADCAST_MAPPING:
         lookup = F.broadcast(lookup)
     joined = df.join(lookup, F.lower(df[name]) == lookup[source], "left")
     return joined.withColumn(name, F.coalesce(target, name)).select(*df.columns)

@@ -161,27 +161,48 @@ def aggregate(df: DataFrame, spec: RollupSpec) -> DataFrame:
     return rollup(base_for(df, [spec], _grain(spec)), spec)
 
 
-def _joined(df: DataFrame, spec: RollupSpec) -> DataFrame:
-    """An aggregate with several distinct columns: one pass for each, joined by dimension."""
+def separate(spec: RollupSpec) -> tuple[RollupSpec, dict[str, dict[str, Measure]]]:
+    """A rollup without its distinct columns, and the measures of each of those."""
     measures = _measures(spec)
     apart = {
         c: {a: m for a, m in measures.items() if m != "count" and m[1] in SET_FUNCTIONS and m[0] == c}
         for c in _apart(spec)
     }
     rest = {a: m for a, m in measures.items() if not any(a in group for group in apart.values())}
-    plain = RollupSpec("plain", spec.dimensions, {**rest, ROWS: "count"}, record_count=False)
-    base = base_for(df, [plain], _grain(plain))
+    return RollupSpec("plain", spec.dimensions, {**rest, ROWS: "count"}, record_count=False), apart
+
+
+def distinct_rollup(spec: RollupSpec, column: str, measures: Mapping[str, Measure]) -> RollupSpec:
+    return RollupSpec(column, spec.dimensions, measures, record_count=False)
+
+
+def _joined(df: DataFrame, spec: RollupSpec) -> DataFrame:
+    """An aggregate with several distinct columns: one pass for each, joined by dimension."""
+    plain, apart = separate(spec)
+    found = {}
+    for column, group in apart.items():
+        one = distinct_rollup(spec, column, group)
+        found[column] = rollup(base_for(df, [one], _grain(one)), one).drop("_created_at")
+    return assembled(base_for(df, [plain], _grain(plain)), spec, found)
+
+
+def assembled(base: DataFrame, spec: RollupSpec, found: Mapping[str, DataFrame]) -> DataFrame:
+    """An aggregate from the base of its plain part and, for each distinct column, a frame of the
+    dimensions and the measures of that column. A group that such a frame lacks has no values."""
+    measures = _measures(spec)
+    plain, apart = separate(spec)
     result = rollup(base, plain).drop("_created_at")
     for column, group in apart.items():
-        one = RollupSpec(column, spec.dimensions, group, record_count=False)
-        found = rollup(base_for(df, [one], _grain(one)), one).drop("_created_at")
+        values = found[column]
         if spec.dimensions:
-            found = found.withColumnsRenamed({d: f"{PART}{d}" for d in spec.dimensions})
+            values = values.withColumnsRenamed({d: f"{PART}{d}" for d in spec.dimensions})
             same = [F.col(d).eqNullSafe(F.col(f"{PART}{d}")) for d in spec.dimensions]
-            result = result.join(found, same).drop(*[f"{PART}{d}" for d in spec.dimensions])
+            counts = [a for a, m in group.items() if m[1] == "count_distinct"]
+            result = result.join(values, same, "left").drop(*[f"{PART}{d}" for d in spec.dimensions])
+            result = result.fillna(0, counts) if counts else result
         else:
-            values = found.select(F.struct(*group).alias("v")).scalar()
-            result = result.withColumns({alias: values.getField(alias) for alias in group})
+            one = values.select(F.struct(*group).alias("v")).scalar()
+            result = result.withColumns({alias: one.getField(alias) for alias in group})
     columns = [*spec.dimensions, *measures]
     if spec.percentage and spec.record_count:
         share = F.round(F.try_divide(ROWS, total_rows(base)) * 100, 2)

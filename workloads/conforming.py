@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from strata.functions import quality, text
-from strata.operators import conform, dedup, preview, records
+from strata.operators import conform, dedup, drift, preview, records
 from strata.operators.parse import parse_payload
 from strata.operators.schema import build_schema, required_fields
+from strata.plans.specs import FieldSpec
 from strata.sources import landing
 from workloads import fixtures as fx
 from workloads.registry import query
@@ -142,6 +143,84 @@ def std_value_map_join(spark, sf_dir):
     )
 
 
+@query(
+    "std_value_map_table",
+    """WITH RECURSIVE rules AS (
+         SELECT n_nationkey AS position, concat('CODE-', n_nationkey) AS source, concat('Step-', n_nationkey % 20) AS target FROM nation
+         UNION ALL SELECT 100 + n_nationkey, concat('step-', n_nationkey), n_name FROM nation
+         UNION ALL SELECT 200 + n_nationkey, n_name, r_name FROM nation JOIN region ON n_regionkey = r_regionkey
+         UNION ALL SELECT 50, 'AFRICA', 'never' UNION ALL SELECT 300, 'asia', 'ASIA PACIFIC' UNION ALL SELECT 301, 'asia pacific', 'asia'
+       ), follow(start, pos, target) AS (
+         SELECT position, position, target FROM rules
+         UNION ALL
+         SELECT start, r.position, r.target FROM follow JOIN rules r ON lower(r.source) = lower(follow.target) AND r.position > follow.pos
+           AND NOT EXISTS (SELECT 1 FROM rules o WHERE lower(o.source) = lower(r.source) AND o.position > follow.pos AND o.position < r.position)
+       ), resolved AS (
+         SELECT lower(source) AS source, last(f.target ORDER BY f.pos) AS target FROM rules JOIN follow f ON f.start = rules.position
+         GROUP BY rules.position, source
+       )
+       SELECT o_orderkey, coalesce(target, code) AS code
+       FROM (SELECT o_orderkey, concat('code-', o_custkey % 40) AS code FROM orders) LEFT JOIN resolved ON source = lower(code)""",
+)
+def std_value_map_table(spark, sf_dir):
+    """Rules held as a table: they chain over three steps, out of order they do not."""
+    nation, region = (fx.table(spark, sf_dir, t) for t in ("nation", "region"))
+    key, text_key = F.col("n_nationkey"), F.col("n_nationkey").cast("string")
+    columns = lambda df, at, source, target: df.select(at.alias("position"), source.alias("source"), target.alias("target"))
+    named = nation.join(region, nation["n_regionkey"] == region["r_regionkey"])
+    odd = [(50, "AFRICA", "never"), (300, "asia", "ASIA PACIFIC"), (301, "asia pacific", "asia")]
+    rules = (
+        columns(nation, key, F.concat(F.lit("CODE-"), text_key), F.concat(F.lit("Step-"), (key % 20).cast("string")))
+        .union(columns(nation, key + 100, F.concat(F.lit("step-"), text_key), F.col("n_name")))
+        .union(columns(named, key + 200, F.col("n_name"), F.col("r_name")))
+        .union(spark.createDataFrame(odd, "position int, source string, target string"))
+    )
+    orders = fx.table(spark, sf_dir, "orders")
+    coded = orders.select("o_orderkey", F.concat(F.lit("code-"), (F.col("o_custkey") % 40).cast("string")).alias("code"))
+    return conform.map_values(coded, "code", rules)
+
+
+# Declared for the drift query: latitude is landed as text, rating never, seq is not declared.
+DRIFT_FIELDS = (
+    *[FieldSpec(n) for n in ("id", "name", "kind", "street", "city")], FieldSpec("latitude", "double"), FieldSpec("rating", "int"),
+)
+DRIFT_DECLARED = ", ".join(f"('{f.name}', '{f.type}')" for f in DRIFT_FIELDS)
+
+
+@query(
+    "payload_drift",
+    f"""WITH {fx.RAW_CTE}, payloads AS (
+         SELECT CASE WHEN seq % 50 = 7 THEN '[1]' WHEN seq % 50 = 8 THEN '{{bad' ELSE CAST(json_merge_patch('{{}}', json_object(
+           'id', id, 'name', name, 'kind', kind, 'street', street, 'city', city, 'latitude', latitude, 'seq', seq,
+           'extra', CASE WHEN seq % 3 = 0 THEN json_object('a', seq) WHEN seq % 3 = 1 THEN to_json(seq) END)) AS VARCHAR) END AS p FROM raw
+       ), declared AS (SELECT * FROM (VALUES {DRIFT_DECLARED}) AS t(field, declared)
+       ), objects AS (SELECT p FROM payloads WHERE json_valid(p) AND json_type(p) = 'OBJECT'
+       ), entries AS (
+         SELECT field, json_type(p, concat('$.', field)) AS kind FROM (SELECT p, unnest(json_keys(p)) AS field FROM objects)
+       ), named AS (
+         SELECT field, CASE kind WHEN 'VARCHAR' THEN 'STRING' WHEN 'UBIGINT' THEN 'BIGINT' ELSE kind END AS kind FROM entries
+       )
+       SELECT NULL AS field, 'no_object' AS status, NULL AS declared, NULL AS found, (SELECT count(*) FROM payloads) - (SELECT count(*) FROM objects) AS records
+       UNION ALL
+       SELECT field, 'undeclared', NULL, string_agg(DISTINCT kind, ',' ORDER BY kind), count(*) FROM named
+       WHERE field NOT IN (SELECT field FROM declared) GROUP BY field
+       UNION ALL
+       SELECT field, 'absent', declared, NULL, (SELECT count(*) FROM objects) - (SELECT count(*) FROM named n WHERE n.field = d.field) FROM declared d
+       WHERE (SELECT count(*) FROM named n WHERE n.field = d.field) < (SELECT count(*) FROM objects)
+       UNION ALL
+       SELECT field, 'retyped', declared, string_agg(DISTINCT kind, ',' ORDER BY kind), count(*) FROM named JOIN declared USING (field)
+       WHERE kind <> 'NULL' AND kind <> CASE declared WHEN 'string' THEN 'STRING' ELSE 'BIGINT' END GROUP BY field, declared""",
+)
+def payload_drift(spark, sf_dir):
+    """Records whose fields come and go: every third has an object where others have a number."""
+    seq = F.col("seq")
+    extra = F.when(seq % 3 == 0, F.parse_json(F.format_string('{"a":%d}', seq))).when(seq % 3 == 1, F.parse_json(seq.cast("string")))
+    names = ("id", "name", "kind", "street", "city", "latitude", "seq")
+    record = F.to_json(F.struct(*names, extra.alias("extra")))
+    payload = F.when(seq % 50 == 7, "[1]").when(seq % 50 == 8, "{bad").otherwise(record).alias("payload")
+    return drift.payload_drift(fx.messy_places(spark, sf_dir).select(payload), DRIFT_FIELDS)
+
+
 @query("std_upper", f"WITH {fx.RAW_CTE} SELECT seq, upper({CLEAN('state')}) AS state FROM raw")
 def std_upper(spark, sf_dir):
     return _standardized(spark, sf_dir, "state")

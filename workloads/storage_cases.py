@@ -5,6 +5,7 @@ Each writes to a fresh folder and returns what a reader finds there.
 
 from __future__ import annotations
 
+from dataclasses import replace
 from datetime import datetime
 from functools import reduce
 
@@ -13,12 +14,12 @@ from pyspark.sql import functions as F
 
 from strata.operators import pages, rollup
 from strata.operators.parse import parse_payload
-from strata.plans import daily
+from strata.plans import daily, states
 from strata.plans.daily import Layout
 from strata.sources import landing, storage, tables
 from workloads import fixtures as fx
 from workloads.registry import query
-from workloads.rollups import BY_KIND, BY_LOCATION, GOLD_SQL, joined_kinds
+from workloads.rollups import BY_KIND, BY_LOCATION, GOLD_SQL, QUALITY, joined_kinds
 
 RAW_TEXT = f"SELECT {', '.join(n for n in fx.NAMES if n != 'seq')}, CAST(seq AS VARCHAR) AS seq"
 
@@ -364,3 +365,39 @@ def bronze_two_datasets(spark, sf_dir):
     for dataset, parity in (("places", 0), ("places_old", 1), ("old_places", 1)):
         landing.append_records(places.filter(F.col("seq") % 2 == parity), root, dataset, fx.DATE)
     return parse_payload(landing.scan(spark, root, fx.DATE, dataset="places"), fx.FIELDS[:1], keep=())
+
+
+# --- gold over many dates from states ------------------------------------------------------
+
+BOTH_DATES = f"""WITH {fx.SILVER_CTE.replace('silver AS', 'every AS')}, silver AS (
+  SELECT * FROM every WHERE CAST(seq AS INTEGER) % 3 <> 0 UNION ALL
+  SELECT * FROM every WHERE CAST(seq AS INTEGER) % 3 <> 1)"""
+
+
+def _from_states(spark, sf_dir, *rollups):
+    """Two dates that share a third of their records, each read once into its state."""
+    layout = Layout.under(storage.workspace(spark, "states"), "places")
+    spec = replace(fx.PLACES, rollups=rollups)
+    rows = fx.conformed_places(spark, sf_dir)
+    for date, rest in ((fx.DATE, 0), (fx.NEXT_DATE, 1)):
+        some = rows.filter(F.col("seq").cast("int") % 3 != rest)
+        tables.write_dated(some, layout.silver, date, spec.partition_by)
+        states.update(spark, spec, layout, date)
+    return states.merged(spark, spec, layout)
+
+
+@query("gold_states_by_kind", f"{BOTH_DATES} {GOLD_SQL['by_kind']}")
+def gold_states_by_kind(spark, sf_dir):
+    return _from_states(spark, sf_dir, BY_KIND)[BY_KIND.name].drop("_created_at")
+
+
+@query("gold_states_by_location", f"{BOTH_DATES} {GOLD_SQL['by_location']}")
+def gold_states_by_location(spark, sf_dir):
+    """Two distinct columns: collected values of one, bitmaps of the other."""
+    return joined_kinds(_from_states(spark, sf_dir, BY_LOCATION)[BY_LOCATION.name]).drop("_created_at")
+
+
+@query("gold_states_quality", f"{BOTH_DATES} {GOLD_SQL['quality_metrics']}")
+def gold_states_quality(spark, sf_dir):
+    """Four distinct columns without dimensions: bitmaps of dictionary codes."""
+    return _from_states(spark, sf_dir, QUALITY)[QUALITY.name].drop("_created_at")
