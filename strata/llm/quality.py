@@ -1,6 +1,6 @@
 """Quality and toxicity by hierarchical empirical Bayes.
 
-A classifier of each text's own features gives evidence; the documents of a host, and of a path
+A classifier of each text's own features (logistic, fitted by Newton steps) gives evidence; the documents of a host, and of a path
 within it, give priors for one another. Sites with few documents shrink toward their host, hosts
 toward the whole, by as much as the sites differ beyond chance. All site figures come from
 grouped aggregates over every document.
@@ -17,14 +17,16 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.shared import ALNUM, Words, byte_table, mixed, stored, text_blocks
+from strata.llm.shared import ALNUM, Words, byte_table, discard, mixed, stored, text_blocks
 
 #: Features are counted in so many buckets, which bounds the model whatever the vocabulary.
 BUCKETS = 1 << 18
 #: The classifier is fitted on at most so many labelled rows, those of the smallest id hashes.
 MAX_LABELS = 20_000
-#: Features whose two rates differ by fewer standard errors do not count.
-SIGNIFICANT = 4.0
+#: Features whose two rates differ by fewer standard errors do not count, and of the others so
+#: many of the clearest at most do; RIDGE holds their weights near 0.
+SIGNIFICANT, MAX_FEATURES, RIDGE = 3.0, 1_000, 1.0
+STEPS = 30
 #: Probabilities of sites and texts stay that far from 0 and 1.
 EDGE = 1e-4
 HELD_OUT = 5
@@ -74,16 +76,14 @@ def text_features(texts: list[bytes]) -> list[np.ndarray]:
 
 
 def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(quality, toxic, text) -> (bucket, quality, toxic), one row per text and bucket."""
+    """(quality, toxic, text) -> (quality, toxic, its buckets)."""
     for batch in batches:
         for start, stop, block in text_blocks(batch.column(2)):
             found = text_features(block)
-            rows = pa.array(np.repeat(np.arange(start, stop), list(map(len, found))))
-            buckets = np.concatenate([*found, np.zeros(0, np.int32)])
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(buckets, pa.int32()), batch.column(0).take(rows), batch.column(1).take(rows)],
-                names=["bucket", *TARGETS],
-            )
+            ends = np.cumsum([0, *map(len, found)])
+            lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(found), pa.int32()))
+            own = [batch.column(i).slice(start, stop - start) for i in (0, 1)]
+            yield pa.RecordBatch.from_arrays([*own, lists], names=[*TARGETS, "buckets"])
 
 
 def _scorer(sent):
@@ -111,36 +111,80 @@ def held_out(key: str) -> Column:
 def fit(docs: DataFrame, labels: DataFrame, text: str, key: str) -> tuple[np.ndarray, np.ndarray]:
     """(log odds of each target, weights per target and bucket) from the labelled rows.
 
-    At most MAX_LABELS labels are used, so their ids may be sent to the documents; the counts
-    come back as one row per bucket.
+    At most MAX_LABELS labels, and as many labelled rows, are used: the ids may be sent to the
+    documents, and the rows with their chosen features to the driver. The counts that choose the
+    features come back as one row per bucket; they are those of the rows themselves, so that
+    repeated documents count in both.
     """
     usable = labels.filter(F.col(key).isNotNull() & F.col("quality").isNotNull() & F.col("toxic").isNotNull())
     usable = usable.filter(~held_out(key)).select(F.col(key).alias("_id"), *[F.col(t).cast("int").alias(t) for t in TARGETS])
     chosen = stored(usable.orderBy(F.xxhash64("_id"), *TARGETS).limit(MAX_LABELS))
     rows = docs.select(F.col(key).alias("_id"), F.col(text).cast("string").alias("text")).join(F.broadcast(chosen), "_id")
-    counts = {t: r for t, r in zip(TARGETS, [[0, 0], [0, 0]])}
-    for r in chosen.groupBy(*TARGETS).count().collect():
-        for t in TARGETS:
-            counts[t][1 if r[t] > 0 else 0] += r["count"]
+    rows = rows.orderBy(F.xxhash64("_id"), F.xxhash64("text"), *TARGETS).limit(MAX_LABELS)
+    found = stored(rows.select(*TARGETS, "text").mapInArrow(_features, "quality int, toxic int, buckets array<int>"))
+    discard(chosen)
+    totals = found.agg(F.count("*"), *[F.count_if(F.col(t) > 0) for t in TARGETS]).first()
     table = (
-        rows.select(*TARGETS, "text")
-        .mapInArrow(_features, "bucket int, quality int, toxic int")
+        found.select(*TARGETS, F.explode("buckets").alias("bucket"))
         .groupBy("bucket")
-        .agg(F.count("*").alias("n"), *[F.count(F.when(F.col(t) > 0, 1)).alias(t) for t in TARGETS])
+        .agg(F.count("*").alias("n"), *[F.count_if(F.col(t) > 0).alias(t) for t in TARGETS])
         .toArrow()
     )
     bucket, n = table.column("bucket").to_numpy(), table.column("n").to_numpy()
     priors, weights = np.zeros(len(TARGETS)), np.zeros((len(TARGETS), BUCKETS))
     for i, t in enumerate(TARGETS):
-        without, with_ = counts[t]
+        with_, without = totals[i + 1], totals[0] - totals[i + 1]
         priors[i] = math.log((with_ + 0.5) / (without + 0.5))
-        yes = table.column(t).to_numpy()
-        p, q = (yes + 0.5) / (with_ + 1), (n - yes + 0.5) / (without + 1)
-        error = np.sqrt(p * (1 - p) / (with_ + 1) + q * (1 - q) / (without + 1)) + 1e-12
-        weights[i, bucket] = np.where(np.abs(p - q) >= SIGNIFICANT * error, np.log(p / q), 0.0)
+        if with_ and without:
+            some = bucket[_clearest(n, table.column(t).to_numpy(), with_, without)]
+            kept = found.select(t, F.array_intersect("buckets", F.lit(some.tolist()).cast("array<int>")).alias("b"))
+            priors[i], weights[i, some] = _newton(kept.toArrow(), some, priors[i])
+    discard(found)
     return priors, weights
 
 
+def _clearest(n: np.ndarray, yes: np.ndarray, with_: int, without: int) -> np.ndarray:
+    """Places of the features whose rates with and without the label differ most clearly."""
+    p, q = (yes + 0.5) / (with_ + 1), (n - yes + 0.5) / (without + 1)
+    error = np.sqrt(p * (1 - p) / (with_ + 1) + q * (1 - q) / (without + 1)) + 1e-12
+    clear = np.abs(p - q) / error
+    order = np.lexsort((np.arange(len(n)), -clear))[:MAX_FEATURES]
+    return order[clear[order] >= SIGNIFICANT]
+
+
+def _newton(rows: pa.Table, buckets: np.ndarray, prior: float) -> tuple[float, np.ndarray]:
+    """(intercept, weights) of the ridge logistic regression of a label on the given features."""
+    y = (rows.column(0).to_numpy() > 0).astype(np.float64)
+    place = np.full(BUCKETS, -1)
+    place[buckets] = np.arange(len(buckets))
+    lists = rows.column(1).combine_chunks()
+    x = np.zeros((len(y), len(buckets) + 1), dtype=np.float32)
+    x[:, -1] = 1
+    x[np.repeat(np.arange(len(y)), lists.value_lengths().to_numpy()), place[lists.flatten().to_numpy()]] = 1
+    w = np.zeros(len(buckets) + 1)
+    w[-1] = prior
+    ridge = np.full(len(w), RIDGE)
+    ridge[-1] = 1e-3
+
+    def loss(w: np.ndarray) -> float:
+        odds = x @ w
+        return float(np.logaddexp(0, odds).sum() - odds @ y + (ridge * w * w).sum() / 2)
+
+    before = loss(w)
+    for _ in range(STEPS):
+        p = 1 / (1 + np.exp(-np.clip(x @ w, -500, 500)))
+        curve = (x * (p * (1 - p)).astype(np.float32)[:, None]).T @ x + np.diag(ridge)
+        step, size = np.linalg.solve(curve.astype(np.float64), x.T @ (y - p) - ridge * w), 1.0
+        while loss(w + size * step) > before and size > 1e-6:
+            size /= 2
+        w = w + size * step
+        after = loss(w)
+        if before - after < 1e-9 * max(1.0, before):
+            break
+        before = after
+    return float(w[-1]), w[:-1]
+
+
 def _logit(p: Column) -> Column:
     inside = F.least(F.greatest(p, F.lit(EDGE)), F.lit(1 - EDGE))
     return F.ln(inside / (1 - inside))

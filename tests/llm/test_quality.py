@@ -49,6 +49,59 @@ def test_sparse_sites_shrink_toward_their_host(spark):
     assert alone.p_quality < 1 / (1 + np.exp(-3.0)) < few.p_quality
 
 
+def plain_sites(rows):
+    """{doc_id: (site, posterior)} of the quality by loops over hosts and paths."""
+    sigmoid = lambda x: 1 / (1 + np.exp(-x))
+    logit = lambda p: np.log(p / (1 - p))
+    inside = lambda p: min(max(p, 1e-4), 1 - 1e-4)
+    p = {d: sigmoid(o) for d, _, _, o, _ in rows}
+    overall = inside(sum(p.values()) / len(p))
+    hosts, paths = {}, {}
+    for d, h, q, _, _ in rows:
+        hosts.setdefault(h, []).append(p[d])
+        paths.setdefault((h, q), []).append(p[d])
+
+    def strength(groups):
+        several = [(values, mean) for values, mean in groups if len(values) > 1]
+        if not several:
+            return 10.0
+        n = sum(len(v) for v, _ in several)
+        spread = sum(len(v) * (np.mean(v) - m) ** 2 for v, m in several) - sum(m * (1 - m) for _, m in several)
+        within = sum(len(v) * m * (1 - m) for v, m in several)
+        return min(max(within / n / max(spread / n, 1e-6) - 1, 1.0), 1e6)
+
+    a = strength([(v, overall) for v in hosts.values()])
+    host = {h: (sum(v) + a * overall) / (len(v) + a) for h, v in hosts.items()}
+    b = strength([(v, host[h]) for (h, _), v in paths.items()])
+    out = {}
+    for d, h, q, o, _ in rows:
+        others = paths[h, q]
+        site = (max(sum(others) - p[d], 0) + b * host[h]) / (len(others) - 1 + b)
+        out[d] = (site, sigmoid(o + logit(inside(site)) - logit(overall)))
+    return out
+
+
+def test_host_and_path_posteriors_match_plain_loops(spark):
+    rng = np.random.default_rng(1)
+    rows = [
+        (i, None if i % 11 == 0 else f"h{rng.integers(6)}", None if i % 13 == 0 else f"p{rng.integers(3)}", float(rng.normal(1, 3)), -2.0)
+        for i in range(300)
+    ]
+    frame = spark.createDataFrame(rows, "doc_id bigint, host string, path string, quality_odds double, toxic_odds double")
+    found = {r.doc_id: (r.site_quality, r.p_quality) for r in site_quality(frame).collect()}
+    wanted = plain_sites(rows)
+    assert found.keys() == wanted.keys()
+    assert all(np.allclose(found[d], wanted[d], atol=1e-9) for d in wanted)
+
+
+def test_repeated_documents_count_in_rates_and_totals(spark):
+    given, labels = made(200)
+    given = [*given, *[given[1]] * 300]
+    found = {r.doc_id: r for r in classify_quality(documents(spark, given), spark.createDataFrame(labels, LABELS)).collect()}
+    held = [row for row in labels if zlib.crc32(str(row[0]).encode()) % 5 == 0]
+    assert sum((found[d].p_quality >= 0.5) == (q == 1) for d, q, _ in held) >= 0.9 * len(held)
+
+
 def test_awkward_rows(spark):
     labels = spark.createDataFrame([(7, 1, 0), (8, 0, 1), (None, 1, 1), (4, None, 0), (7, 1, 0)], LABELS)
     found = classify_quality(odd_documents(spark), labels).collect()
