@@ -6,7 +6,7 @@ The download stops at the first empty page, so later pages do not count.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -55,3 +55,48 @@ def reconcile_pages(pages: DataFrame) -> DataFrame:
         (F.coalesce("last_page", F.lit(0)) - F.col("pages_received")).alias("missing_pages"),
         F.coalesce(F.col("received") == F.col("reported_total"), F.lit(True)).alias("complete"),
     )
+
+
+#: Page numbers of a stretch; gaps are looked for within one, then between the ends of them.
+STRETCH = 1 << 16
+
+
+def page_gaps(pages: DataFrame) -> DataFrame:
+    """One row per departure from one landing of each page: kind, first_page, last_page, n.
+
+    * ``missing``: a range of pages between 1 and the last one, of ``n`` pages. The last page is
+      the larger of the last landed with records and the one that the reported total ends on;
+    * ``repeated``: a page that landed ``n`` times with records.
+
+    Pages from the first empty one on do not count. Ranges come from the neighbours of the landed
+    numbers, within stretches of the numbers and between these; no page is enumerated.
+    """
+    size = F.coalesce(F.array_size("records"), F.lit(0))
+    landed = pages.groupBy("page").agg(F.count_if(size > 0).alias("n"))
+    stop = landed.filter("n = 0").agg(F.min("page")).scalar()
+    counted = landed.filter((F.col("n") > 0) & F.coalesce(F.col("page") < stop, F.lit(True))).select(
+        F.col("page").cast("long").alias("page"), "n", F.floor(F.col("page") / STRETCH).alias("stretch")
+    )
+    expected = pages.agg(
+        F.ceil(F.try_divide(F.max("reported_total").cast("double"), F.max("per_page"))).cast("long").alias("e")
+    )
+    # Beyond the ends: page 0 landed, and so did the one behind the last.
+    end = F.greatest(expected.select("e").scalar(), counted.agg(F.max("page")).scalar())
+    ends = pages.sparkSession.range(2).select(F.when(F.col("id") == 0, F.lit(0).cast("long")).otherwise(end + 1).alias("page"))
+    marks = counted.select("page", "stretch").unionByName(
+        ends.filter("page IS NOT NULL").select("page", F.floor(F.col("page") / STRETCH).alias("stretch"))
+    )
+    near = Window.partitionBy("stretch").orderBy("page")
+    within = marks.select(F.lag("page").over(near).alias("before"), "page").filter("before IS NOT NULL")
+    # As many rows as stretches.
+    edges = marks.groupBy("stretch").agg(F.min("page").alias("page"), F.max("page").alias("last"))
+    between = edges.select(F.lag("last").over(Window.orderBy("stretch")).alias("before"), "page").filter("before IS NOT NULL")
+    gaps = within.unionByName(between).filter("page - before > 1")
+    missing = gaps.select(
+        F.lit("missing").alias("kind"),
+        (F.col("before") + 1).alias("first_page"),
+        (F.col("page") - 1).alias("last_page"),
+        (F.col("page") - F.col("before") - 1).alias("n"),
+    )
+    repeated = counted.filter("n > 1").select(F.lit("repeated").alias("kind"), F.col("page").alias("first_page"), F.col("page").alias("last_page"), "n")
+    return missing.unionByName(repeated)

@@ -5,6 +5,7 @@ Each writes to a fresh folder and returns what a reader finds there.
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import replace
 from datetime import datetime
 from functools import reduce
@@ -16,7 +17,7 @@ from strata.operators import pages, rollup
 from strata.operators.parse import parse_payload
 from strata.plans import daily, states
 from strata.plans.daily import Layout
-from strata.sources import landing, storage, tables
+from strata.sources import landing, latest, storage, tables
 from workloads import fixtures as fx
 from workloads.registry import query
 from workloads.rollups import BY_KIND, BY_LOCATION, GOLD_SQL, QUALITY, joined_kinds
@@ -60,6 +61,25 @@ def bronze_load_dedup(spark, sf_dir):
     return daily.load_latest(spark, fx.PLACES, layout, fx.DATE).drop("_ingest_ts")
 
 
+@query(
+    "bronze_merge_latest",
+    f"""WITH {fx.RAW_CTE}, latest AS (SELECT * FROM raw
+          QUALIFY row_number() OVER (PARTITION BY id ORDER BY seq % 2 DESC, seq DESC) = 1)
+        {RAW_TEXT} FROM latest""",
+)
+def bronze_merge_latest(spark, sf_dir):
+    """The later run is merged into a bucketed table of the earlier one: the rule, and the rows,
+    of ``bronze_load_dedup`` without a shuffle of the stored side."""
+    name, path = f"latest_{uuid.uuid4().hex}", storage.workspace(spark, "latest")
+    records = parse_payload(landing.scan(spark, fx.landed(spark, sf_dir), fx.DATE), fx.FIELDS, keep=landing.RUN_COLUMNS)
+    later = F.col("_ingest_ts") >= F.to_timestamp(F.lit(fx.SECOND_RUN.isoformat(sep=" ")))
+    # Positions order an array file; lines go by the number that the fixture gives them.
+    placed = records.withColumn("_position", F.col("seq").cast("int"))
+    latest.create(placed.filter(~later), name, path, "id", buckets=8)
+    latest.refresh(spark, placed.filter(later), name, path, "id")
+    return spark.table(name).drop(*landing.RUN_COLUMNS)
+
+
 @query(
     "bronze_multi_run_union",
     f"""WITH {fx.RAW_CTE} SELECT CASE seq % 2 WHEN 0 THEN '01:00' ELSE '02:00' END AS run,
@@ -272,6 +292,29 @@ def page_reconciliation(spark, sf_dir):
     return pages.reconcile_pages(_landed_pages(spark, sf_dir))
 
 
+GAPPED = "page % 10 NOT IN (3, 4) AND page NOT IN (1, 12)"
+
+
+@query(
+    "page_gaps",
+    f"""WITH {fx.RAW_CTE}, every AS (SELECT DISTINCT CAST(floor(seq / 20) + 1 AS BIGINT) AS page FROM raw), bounds AS (
+         SELECT greatest(max(page), CAST(ceil((SELECT count(*) FROM raw) / 20.0) AS BIGINT)) AS last FROM every WHERE {GAPPED}
+       ), gone AS (
+         SELECT page, page - row_number() OVER (ORDER BY page) AS island FROM (SELECT unnest(range(1, last + 1)) AS page FROM bounds)
+         WHERE page NOT IN (SELECT page FROM every WHERE {GAPPED})
+       )
+       SELECT 'missing' AS kind, min(page) AS first_page, max(page) AS last_page, count(*) AS n FROM gone GROUP BY island
+       UNION ALL SELECT 'repeated', page, page, CAST(2 AS BIGINT) FROM every WHERE {GAPPED} AND page % 7 = 0""",
+)
+def page_gaps(spark, sf_dir):
+    """Pages of 20 records of which some ranges never landed and some pages landed twice."""
+    places = fx.messy_places(spark, sf_dir)
+    total = places.agg(F.count("*")).scalar()
+    landed = fx.paged(places, 20).select((F.col("page") + 1).alias("page"), "records").filter(GAPPED)
+    twice = landed.unionByName(landed.filter("page % 7 = 0"))
+    return pages.page_gaps(twice.select("page", F.lit(20).alias("per_page"), "records", total.alias("reported_total")))
+
+
 @query(
     "page_union",
     f"WITH {fx.RAW_CTE} SELECT CAST(floor(seq / 200) + 1 AS BIGINT) AS page, id FROM raw",
