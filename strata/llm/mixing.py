@@ -1,29 +1,32 @@
 """Mixing sources to target weights by entropy balancing.
 
-The mix takes every document at a rate exp(l), l belonging to its source, such that each
-source's words meet its target: the rates that stay closest, in relative entropy, to taking each
-document once. The convex dual sum(size * exp(l)) - target * l is solved by Newton iterations
-over Spark aggregates. Rates become copies per class of equal source and size, the rounding of a
-class carried on to the next smaller size, so a source misses its target by no more than its
-small documents. Only ids, sizes and sources move; texts stay where they are.
+The mix takes every document at a rate such that each source's words meet its target: the rates
+that stay closest, in relative entropy over documents, to taking each document once, and at most
+CAP times. They are min(CAP, exp(l * size)) with an l for each source, so long documents give way
+first where a source has too many words and come first where it has too few. The convex dual is
+solved by Newton iterations over Spark aggregates. Rates become copies per class of equal source
+and size, the rounding of a class carried on to the next smaller size, so a source misses its
+target by no more than its small documents. Only ids, sizes and sources move; texts stay where
+they are.
 """
 
 from __future__ import annotations
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from strata.llm.shared import global_rank, keep_rows, single_column, stored, text_hash
+from strata.llm.shared import discard, global_rank, keep_rows, single_column, stored, text_hash
 
 WEIGHTS = (3.0, 1.0, 2.0)
 #: The mix has so many times the words of the input; no source gives more than CAP times its own.
 SHARE, CAP = 1.5, 2.0
 #: Newton stops when every source is that near its target, relative to it.
-TOLERANCE = 1e-12
+TOLERANCE = 1e-9
 MAX_STEPS = 200
 #: Documents of equal source and size that are ranked together.
-RANKED = 4096
+RANKED = 256
 
 
 def word_count(text: str) -> Column:
@@ -63,24 +66,49 @@ def source_targets(
 
 
 def balance(classes: DataFrame, targets: DataFrame) -> DataFrame:
-    """source, rate: exp(l) for the l that solve the dual, by Newton's method.
+    """source, tilt: the l that solve the dual, by Newton's method.
 
-    ``classes`` (source, size, n) is aggregated anew in each step, so that the gradient is that
-    of the documents; its rows are the distinct sizes of a source, not the documents. Steps are
-    held to 1 upwards, where the curve would otherwise throw them too far.
+    ``classes`` (source, size, n) is aggregated anew in each step, so that gradient and curvature
+    are those of the documents; its rows are the distinct sizes of a source, not the documents.
+    A step that would leave the interval in which the solution lies halves it instead. Sources
+    without words or target have none.
     """
-    dual = stored(targets.filter("target > 0 and source_size > 0").select("source", "target", F.lit(0.0).alias("l")))
+    share = F.col("target") / F.col("source_size")
+    # With sizes of 1 or more, exp(l) alone is a bound on each side; at the cap every document is.
+    dual = stored(
+        targets.filter("target > 0 and source_size > 0").select(
+            "source",
+            "target",
+            F.when(share >= CAP, float(np.log(CAP))).otherwise(0.0).alias("l"),
+            F.least(F.ln(share), F.lit(0.0)).alias("low"),
+            F.when(share > 1, float(np.log(CAP))).otherwise(0.0).alias("high"),
+        )
+    )
+    power = F.col("l") * F.col("size")
+    free = power < float(np.log(CAP))
+    rate = F.when(free, F.exp(power)).otherwise(CAP)
     for _ in range(MAX_STEPS):
-        words = (
-            classes.join(dual, classes["source"].eqNullSafe(dual["source"]))
-            .groupBy(dual["source"], "target", "l")
-            .agg(F.sum(F.col("size") * F.col("n") * F.exp("l")).alias("m"))
+        sums = (
+            classes.filter("size > 0").join(dual, classes["source"].eqNullSafe(dual["source"]))
+            .groupBy(dual["source"], "target", "l", "low", "high")
+            .agg(
+                F.sum(F.col("size") * F.col("n") * rate).alias("m"),
+                F.sum(F.when(free, F.col("size") * F.col("size") * F.col("n") * rate).otherwise(0.0)).alias("curve"),
+            )
+        )
+        gap = F.col("target") - F.col("m")
+        off = sums.withColumn("off", F.abs(gap) / F.col("target"))
+        off = off.withColumn("low", F.when(gap >= 0, F.col("l")).otherwise(F.col("low"))).withColumn(
+            "high", F.when(gap <= 0, F.col("l")).otherwise(F.col("high"))
         )
-        step = F.least(F.lit(1.0), F.col("target") / F.col("m") - 1)
-        dual = stored(words.select("source", "target", (F.col("l") + step).alias("l"), F.abs(step).alias("step")))
-        if (dual.agg(F.max("step")).first()[0] or 0.0) <= TOLERANCE:
-            break
-    return dual.select("source", F.exp("l").alias("rate"))
+        newton = F.col("l") + F.try_divide(gap, F.col("curve"))
+        inside = newton.isNotNull() & (newton >= F.col("low")) & (newton <= F.col("high"))
+        moved = F.when(F.col("off") <= TOLERANCE, F.col("l")).when(inside, newton).otherwise((F.col("low") + F.col("high")) / 2)
+        before, dual = dual, stored(off.select("source", "target", moved.alias("l"), "low", "high", "off"))
+        discard(before)
+        if (dual.agg(F.max("off")).first()[0] or 0.0) <= TOLERANCE:
+            return dual.select("source", F.col("l").alias("tilt"))
+    raise RuntimeError("the mix did not settle")
 
 
 def _round_source(rows: pd.DataFrame) -> pd.DataFrame:
@@ -125,13 +153,15 @@ def _mixed(docs: DataFrame, text: str, key: str, source: str, weights, share) ->
     classes = stored(rows.groupBy("source", "size").agg(F.count("*").alias("n")))
     sizes = classes.groupBy("source").agg(F.sum(F.col("size") * F.col("n")).alias("source_size"))
     targets = stored(source_targets(sizes, weights, share))
-    rates = stored(balance(classes, targets))
+    tilts = stored(balance(classes, targets))
 
     def to_source(left: DataFrame, right: DataFrame, how: str = "inner") -> DataFrame:
         other = right.withColumnRenamed("source", "_s")
         return left.join(other, left["source"].eqNullSafe(other["_s"]), how).drop("_s")
 
-    rated = to_source(classes.filter("size > 0"), rates, "left").withColumn("rate", F.coalesce("rate", F.lit(0.0)))
+    tilted = to_source(classes.filter("size > 0"), tilts, "left")
+    rate = F.least(F.lit(CAP), F.exp(F.least(F.col("tilt") * F.col("size"), F.lit(1.0))))
+    rated = tilted.withColumn("rate", F.coalesce(rate, F.lit(0.0)))
     rounded = rated.groupBy("source").applyInPandas(
         _round_source, "source string, size bigint, n bigint, copies bigint"
     )
@@ -177,11 +207,12 @@ def _floored(copies: str, through: Column, n: str) -> Column:
 
 
 def apply_mix(docs: DataFrame, text: str = "text", key: str = "doc_id", source: str = "source") -> DataFrame:
-    """The documents of the mix, each as often as it is taken, with ``copy`` (1, 2, ...)."""
+    """The documents of the mix, each as often as it is taken, with ``copy`` (1, 2, ...). Rows that
+    agree in id and text come as often as they are taken together."""
     taken = stored(_mixed(docs, text, key, source, WEIGHTS, SHARE).filter("copies > 0"))
     id_, own, other, n = (single_column(x, *docs.columns) for x in ("_id", "_own_hash", "_mix_hash", "_copies"))
-    # Rows that agree in id and text are one here; earlier stages leave no such rows.
-    wanted = taken.groupBy(F.col("doc_id").alias(id_), F.col("text_hash").alias(other)).agg(F.max("copies").alias(n))
+    # Rows that agree in id and text are one here, which comes as often as all of them.
+    wanted = taken.groupBy(F.col("doc_id").alias(id_), F.col("text_hash").alias(other)).agg(F.sum("copies").alias(n))
     copy = single_column("copy", *docs.columns)
     return (
         keep_rows(docs, taken, text, key)

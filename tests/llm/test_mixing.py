@@ -1,6 +1,8 @@
+import math
+
 import pytest
 
-from strata.llm.mixing import apply_mix, mix_sources, source_targets, word_count
+from strata.llm.mixing import CAP, apply_mix, balance, mix_sources, source_targets, word_count
 from tests.llm.support import WORDS, documents, no_documents, odd_documents, odd_rows, prose
 
 
@@ -111,6 +113,28 @@ def test_the_mix_repeats_documents(spark):
     assert counted == {d: n for d, n in copies.items() if n}
 
 
+def test_rates_tilt_by_size_under_the_cap(spark):
+    sizes = {"few": [1, 2, 3, 400, 5000], "many": [7] * 50 + [1], "full": [3, 9], "one": [20_000], None: [1, 10**6]}
+    classes = [(s, z, found.count(z)) for s, found in sizes.items() for z in sorted(set(found))]
+    targets = [("few", 5406, 3000.0), ("many", 351, 500.0), ("full", 12, 24.0), ("one", 20_000, 31_000.0), (None, 10**6 + 1, 5.5)]
+    found = balance(
+        spark.createDataFrame(classes, "source string, size bigint, n bigint"),
+        spark.createDataFrame(targets, "source string, source_size bigint, target double"),
+    )
+    tilt = {r.source: r.tilt for r in found.collect()}
+    for s, _, target in targets:
+        rates = {z: min(CAP, math.exp(min(tilt[s] * z, 1.0))) for z in sizes[s]}
+        assert abs(sum(z * rates[z] for z in sizes[s]) - target) <= 1e-6 * target
+    assert tilt["few"] < 0 < tilt["many"] and tilt[None] < 0
+
+
+def test_rows_that_agree_come_as_often_as_all_of_them(spark):
+    given = [(1, "a b c", "en", "s0")] * 6 + [(2, "d e", "en", "s1"), (3, "f", "en", "s2")]
+    docs = documents(spark, given)
+    wanted = sum(r.copies for r in mix_sources(docs).collect() if r.doc_id == 1)
+    assert sum(r.doc_id == 1 for r in apply_mix(docs).collect()) == wanted >= 6
+
+
 def test_empty_table(spark):
     assert mix_sources(no_documents(spark)).collect() == []
     assert apply_mix(no_documents(spark)).collect() == []
