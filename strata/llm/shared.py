@@ -174,18 +174,17 @@ def global_rank(df: DataFrame, *keys: str) -> DataFrame:
             "rank", F.monotonically_increasing_id()
         )
     )
-    part = F.shiftright("rank", 33)
-    counts = sorted(tuple(r) for r in placed.groupBy(part.alias("part")).count().collect())
-    offsets, total = {}, 0
-    for number, n in counts:
-        offsets[number] = total
+    number, first = single_column("_part", *df.columns), single_column("_first", *df.columns)
+    placed_in = placed.withColumn(number, F.shiftright("rank", 33))
+    offsets, total = [], 0
+    for part, n in sorted(tuple(r) for r in placed_in.groupBy(number).count().collect()):
+        offsets.append((part, total))
         total += n
-    if not offsets:
-        return placed
-    lookup = F.create_map(*[F.lit(x) for pair in offsets.items() for x in pair])
-    base = F.element_at(lookup, part) if len(offsets) > 1 else F.lit(0)
+    # As many rows as partitions.
+    starts = df.sparkSession.createDataFrame(offsets, f"{number} bigint, {first} bigint")
     within = F.col("rank").bitwiseAND(F.lit((1 << 33) - 1))
-    return placed.withColumn("rank", within + base)
+    ranked = placed_in.join(F.broadcast(starts), number).withColumn("rank", within + F.col(first))
+    return ranked.select(*df.columns, "rank")
 
 
 def text_hash(text: str) -> Column:
