@@ -37,6 +37,16 @@ def _counted(df: DataFrame) -> tuple[DataFrame, Observation]:
     return df.observe(rows, F.count(F.lit(1)).alias("n")), rows
 
 
+def require_format(spark: SparkSession, fmt: str) -> None:
+    """An error that names what is missing, before anything is read or written."""
+    if fmt != "delta":
+        return
+    try:
+        spark._jvm.org.apache.spark.util.Utils.classForName("io.delta.tables.DeltaTable", True, False)
+    except Exception as missing:
+        raise ValueError("Table format 'delta' needs the Delta Lake package on the session's class path") from missing
+
+
 def write_dated(
     df: DataFrame,
     path: str,
@@ -58,6 +68,7 @@ def write_dated(
     """
     if replace not in ("date", "cells"):
         raise ValueError(f"replace must be 'date' or 'cells', not {replace!r}")
+    require_format(df.sparkSession, fmt)
     requested = date is not None or DATE_COLUMN not in df.columns
     date = date or calendar_date.today().isoformat()
     if DATE_COLUMN not in df.columns:
@@ -153,6 +164,7 @@ def read_dated(
     would turn dates and codes into other types. The columns come from the file that each write
     leaves, so nothing is listed or read to infer them; a table without it is inspected.
     """
+    require_format(spark, fmt)
     reader = spark.read.format(fmt)
     if fmt == "delta":
         df = reader.load(path)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from strata.operators import alerts, checks, rollup
+from strata.operators import alerts, checks, quantiles, rollup
 from strata.plans import daily
 from strata.sources import landing, storage, tables
 from workloads import fixtures as fx
@@ -404,3 +404,38 @@ def daily_checks_declared(spark, sf_dir):
     daily.build_gold(spark, fx.LENIENT, layout, fx.DATE)
     found = daily.check_declared(spark, fx.LENIENT, layout, fx.DATE)
     return found.select("layer", "dataset", "metric", F.round("observed", 6).alias("observed"), "passed")
+
+
+@query(
+    "quantiles_by_group",
+    """WITH every AS (SELECT event_type, value FROM events UNION ALL SELECT 'all', value FROM events),
+            found AS (SELECT event_type, count(value) AS n, quantile_disc(value, [0.05, 0.5, 0.95]) AS v FROM every GROUP BY event_type)
+       SELECT event_type, n, unnest([CAST(0.05 AS DOUBLE), 0.5, 0.95]) AS probability, unnest(v) AS value FROM found""",
+)
+def quantiles_by_group(spark, sf_dir):
+    """Quantiles of each kind of event and, from the same sketches merged, of all events."""
+    events = fx.table(spark, sf_dir, "events")
+    states = quantiles.quantile_states(events, ["value"], by=["event_type"], k=32_000)
+    every = quantiles.merge_states(states).select(F.lit("all").alias("event_type"), "field", "n", "sketch")
+    return quantiles.quantiles(states.unionByName(every), (0.05, 0.5, 0.95)).drop("field")
+
+
+@query(
+    "quantile_drift",
+    """WITH halves AS (SELECT event_type, value, event_id % 2 AS half FROM events UNION ALL
+                       SELECT 'moved', value + 1000 * (event_id % 2), event_id % 2 FROM events),
+            ranked AS (SELECT event_type, half, cume_dist() OVER (PARTITION BY event_type, half ORDER BY value) AS r, value FROM halves),
+            points AS (SELECT a.event_type, abs(a.r - coalesce((SELECT max(b.r) FROM ranked b
+                       WHERE b.event_type = a.event_type AND b.half <> a.half AND b.value <= a.value), 0)) AS d FROM ranked a)
+       SELECT event_type, (SELECT count(*) FROM halves h WHERE h.event_type = p.event_type AND half = 0) AS n_before,
+         (SELECT count(*) FROM halves h WHERE h.event_type = p.event_type AND half = 1) AS n_after, max(d) <= 0.2 AS passed
+       FROM points p GROUP BY event_type""",
+)
+def quantile_drift(spark, sf_dir):
+    """The even events of each kind against the odd ones, and one kind that has moved."""
+    events = fx.table(spark, sf_dir, "events").select("event_type", "value", (F.col("event_id") % 2).alias("half"))
+    moved = events.select(F.lit("moved").alias("event_type"), (F.col("value") + 1000 * F.col("half")).alias("value"), "half")
+    states = quantiles.quantile_states(events.unionByName(moved), ["value"], by=["event_type", "half"], k=32_000)
+    side = lambda half: states.filter(F.col("half") == half).select(F.col("event_type").alias("field"), "n", "sketch")
+    found = quantiles.quantile_drift(side(0), side(1), limit=0.2)
+    return found.select(F.col("field").alias("event_type"), "n_before", "n_after", "passed")
