@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from strata.operators import alerts, checks, quantiles, rollup
-from strata.plans import daily
+from strata.plans import daily, sql_checks
 from strata.sources import landing, storage, tables
 from workloads import fixtures as fx
 from workloads.registry import query
@@ -439,3 +439,16 @@ def quantile_drift(spark, sf_dir):
     side = lambda half: states.filter(F.col("half") == half).select(F.col("event_type").alias("field"), "n", "sketch")
     found = quantiles.quantile_drift(side(0), side(1), limit=0.2)
     return found.select(F.col("field").alias("event_type"), "n_before", "n_after", "passed")
+
+
+@query(
+    "checks_from_sql",
+    f"""WITH {fx.RAW_CTE} SELECT metric, field, severity, observed, passed FROM (
+          {required_sql('id', 'raw')} UNION ALL {required_sql('name', 'raw')} UNION ALL {allowed_sql('raw')})""",
+)
+def checks_from_sql(spark, sf_dir):
+    """Declared checks asked for by name, and combined, from SQL."""
+    declared = [checks.required("id"), checks.required("name"), checks.allowed("kind", fx.KINDS)]
+    sql_checks.register(spark, _places(spark, sf_dir), declared, "silver", "places")
+    calls = dict.fromkeys(f"places_{c.metric}()" for c in declared)
+    return spark.sql(" UNION ALL ".join(f"SELECT metric, field, severity, observed, passed FROM {c}" for c in calls))
