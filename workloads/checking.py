@@ -8,7 +8,7 @@ from strata.operators import alerts, checks, quantiles, rollup
 from strata.plans import daily, sql_checks
 from strata.sources import landing, storage, tables
 from workloads import fixtures as fx
-from workloads.registry import query
+from workloads.registry import ORACLES, query
 from workloads.rollups import BY_KIND, BY_LOCATION
 
 RULES = fx.PLACES.quality
@@ -254,16 +254,21 @@ def check_completeness(spark, sf_dir):
     return _silver(_places(spark, sf_dir), *[checks.complete(n, RULES.completeness) for n in names])
 
 
+def _present_sql(layer, dataset, date, source):
+    found = f"(SELECT count(DISTINCT date) FROM {source} WHERE date = '{date}')"
+    return _row(layer, dataset, "present", date, "error", found, 1, "v = 1")
+
+
 @query(
     "presence_audit",
-    " UNION ALL ".join(
-        _row("bronze", "places", "present", date, "error", found, 1, "v = 1")
-        for date, found in ((fx.DATE, "1"), (fx.NEXT_DATE, "1"), (fx.MISSING_DATE, "0"))
-    )
-    + " UNION ALL "
+    f"""WITH {fx.SILVER_CTE},
+          landed AS (SELECT '{fx.DATE}' AS date FROM raw UNION SELECT '{fx.NEXT_DATE}' FROM raw),
+          snapshots AS (SELECT DISTINCT '{fx.DATE}' AS date FROM (SELECT kind FROM silver GROUP BY kind)) """
     + " UNION ALL ".join(
-        _row("gold", "by_kind", "present", date, "error", found, 1, "v = 1")
-        for date, found in ((fx.DATE, "1"), (fx.MISSING_DATE, "0"))
+        [
+            *[_present_sql("bronze", "places", d, "landed") for d in (fx.DATE, fx.NEXT_DATE, fx.MISSING_DATE)],
+            *[_present_sql("gold", "by_kind", d, "snapshots") for d in (fx.DATE, fx.MISSING_DATE)],
+        ]
     ),
 )
 def presence_audit(spark, sf_dir):
@@ -362,10 +367,10 @@ def kpi_alerts(spark, sf_dir):
 
 @query(
     "alert_rows",
-    """SELECT 'HIGH' AS severity, 'bronze' AS layer, 'places' AS dataset, 'email,slack' AS channels,
-         'empty_record_count,invalid_json_count.path,non_array_count.path' AS failed_checks
-       UNION ALL SELECT 'HIGH', 'silver', 'places', 'email,slack',
-         'kind_invalid_values.kind,latitude_out_of_range.latitude,longitude_out_of_range.longitude,name_null_count.name'""",
+    f"""SELECT CASE WHEN bool_or(severity = 'error') THEN 'HIGH' ELSE 'MEDIUM' END AS severity, layer, 'places' AS dataset,
+          'email,slack' AS channels, string_agg(name, ',' ORDER BY name) AS failed_checks
+        FROM (SELECT *, metric || coalesce('.' || field, '') AS name FROM ({ORACLES['all_checks']}))
+        WHERE NOT passed AND severity <> 'info' GROUP BY layer""",
 )
 def alert_rows(spark, sf_dir):
     raised = alerts.alert_rows(all_checks(spark, sf_dir))
