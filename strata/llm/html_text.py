@@ -3,7 +3,7 @@
 A page becomes text blocks, each marked by where it stands: inside the page's article, inside
 something that is no main text (menu, header, footer, sidebar, notice, advert, form, comments,
 ...), or elsewhere. Pages are put in the order of host and URL path; a page is aligned with the
-page of other content next to it by the longest common subsequence of their lines, and the lines
+page of other content with the nearest URL by the longest common subsequence of their lines, and the lines
 both share are deleted, for they belong to the site. Blocks inside an article stay: sister
 articles may quote the same passage. Blocks inside menus and the like go, shared or not. All
 others stay unless they are shared, on pages with an article as on those without.
@@ -20,7 +20,7 @@ from bisect import bisect_left
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -237,14 +237,22 @@ def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
+def shared_path(one: str, other: str) -> Column:
+    """How many leading steps two URL paths have in common."""
+    steps = F.zip_with(F.split(one, "/"), F.split(other, "/"), lambda a, b: a.eqNullSafe(b))
+    differs = F.array_position(steps, False)
+    return F.when(differs > 0, differs - 1).otherwise(F.size(steps))
+
+
 def extract_pages(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
     """``pages`` without its html column, with text and n_chars (code points).
 
     The text holds the blocks that stay, joined by empty lines; "" if there are none, for null
-    and for empty pages. Pages without a URL count as one host. The neighbour of a page is the
-    page before it, or else after it, in the order of path on the same host among pages with
-    other lines (pages of equal lines count once, at the smallest path), so that copies of a page
-    do not delete each other; a host with one kind of page deletes nothing. Repeated rows get
+    and for empty pages. Pages without a URL count as one host. The neighbour of a page is that of
+    the two beside it, in the order of path on the same host, whose path has more leading steps in
+    common with its own (the one before, if both have as many), among pages with other lines
+    (pages of equal lines count once, at the smallest path), so that copies of a page do not
+    delete each other; a host with one kind of page deletes nothing. Repeated rows get
     equal texts; columns named text or n_chars make way; an empty table gives no rows.
     """
     columns = [c for c in pages.columns if c not in (html,) and c.lower() not in ("text", "n_chars")]
@@ -266,13 +274,14 @@ def extract_pages(pages: DataFrame, url: str = "url", html: str = "html") -> Dat
         outlined.groupBy("host", digest.alias("kind")).agg(F.min("path").alias("path"), F.first("lines").alias("lines"))
     )
     placed = stored(global_rank(kinds.select("host", "path", "kind"), "host", "path", "kind"))
-    beside = placed.select(F.col("host"), F.col("kind").alias("other"), "rank")
-    before = beside.withColumn("rank", F.col("rank") + 1).withColumnRenamed("other", "previous")
-    after = beside.withColumn("rank", F.col("rank") - 1).withColumnRenamed("other", "next")
+    beside = placed.select("host", F.col("kind").alias("other"), F.col("path").alias("there"), "rank")
+    before = beside.withColumn("rank", F.col("rank") + 1).withColumnsRenamed({"other": "previous", "there": "before"})
+    after = beside.withColumn("rank", F.col("rank") - 1).withColumnsRenamed({"other": "next", "there": "after"})
+    nearer = F.col("previous").isNull() | (shared_path("path", "after") > shared_path("path", "before"))
     pairs = (
         placed.join(before, ["host", "rank"], "left")
         .join(after, ["host", "rank"], "left")
-        .select("host", "kind", F.coalesce("previous", "next").alias("other"))
+        .select("host", "kind", F.when(F.col("next").isNotNull() & nearer, F.col("next")).otherwise(F.col("previous")).alias("other"))
     )
     lines = kinds.select(F.col("host"), F.col("kind").alias("other"), F.col("lines").alias("beside"))
     beside_kind = stored(pairs.join(lines, ["host", "other"]).select("host", "kind", "beside"))

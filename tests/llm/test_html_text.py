@@ -81,6 +81,19 @@ def test_lines_that_neighbours_share_go(spark):
     }
 
 
+def test_the_neighbour_has_the_longer_path_in_common(spark):
+    def page(section, own):
+        return f"<p>Our site</p><p>{section} links</p><p>{own}</p>"
+
+    rows = [
+        (1, "http://a.example/news/1", page("News", "one")), (2, "http://a.example/news/2", page("News", "two")),
+        (3, "http://a.example/shop/x/1", page("Shop", "three")), (4, "http://a.example/shop/x/2", page("Shop", "four")),
+        (5, "http://a.example/top", page("Top", "five")),
+    ]
+    # The first of the shop is aligned with the second, not with the news before it.
+    assert texts(extract_pages(pages(spark, rows))) == {1: "one", 2: "two", 3: "three", 4: "four", 5: "Top links\n\nfive"}
+
+
 def test_articles_keep_what_they_share(spark):
     rows = [(i, f"http://a.example/{i}", PAGE.replace("Three", f"Three {i % 2}")) for i in range(4)]
     assert texts(extract_pages(pages(spark, rows)))[2] == "Head & line\n\nOne <tag> two\n\nThree 0"
