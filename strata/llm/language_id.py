@@ -215,14 +215,20 @@ def count_phrases(model: LanguageModel, texts: list[str]) -> tuple[np.ndarray, n
     return phrases, n_letters
 
 
-def _predictor(model):
+def _predictor(model, text_at: int, n_kept: int):
+    """Of batches with the text in column ``text_at`` and, in the last, whether it has a letter: the
+    first ``n_kept`` columns, the language and the score, one batch for each block of texts."""
+
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = model.value
         names = np.array([*known.languages, UNDETERMINED], dtype=object)
         for batch in batches:
-            langs, scores = [], []
-            for _, _, block in text_blocks(batch.column(batch.num_columns - 1), BLOCK_BYTES):
-                phrases, n_letters = count_phrases(known, [raw.decode("utf-8", "surrogatepass") for raw in block])
+            lettered = batch.column(batch.num_columns - 1).to_pylist()
+            for start, stop, block in text_blocks(batch.column(text_at), BLOCK_BYTES):
+                texts = [
+                    raw.decode("utf-8", "surrogatepass") if has else "" for raw, has in zip(block, lettered[start:stop])
+                ]
+                phrases, n_letters = count_phrases(known, texts)
                 bits = phrases * known.bits[None, :]
                 best = bits.argmin(axis=1)
                 low = bits[np.arange(len(bits)), best]
@@ -232,12 +238,13 @@ def _predictor(model):
                 with np.errstate(invalid="ignore", divide="ignore"):
                     score = np.where(np.isinf(second), 1.0, second / (low + second))
                 none = n_letters == 0
-                langs += names[np.where(none, len(known.languages), best)].tolist()
-                scores += np.where(none, 0.0, score).tolist()
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:-1], pa.array(langs, pa.string()), pa.array(scores, pa.float64())],
-                names=[*batch.schema.names[:-1], "lang_pred", "score"],
-            )
+                langs = names[np.where(none, len(known.languages), best)].tolist()
+                scores = np.where(none, 0.0, score)
+                rows = batch.slice(start, stop - start)
+                yield pa.RecordBatch.from_arrays(
+                    [*rows.columns[:n_kept], pa.array(langs, pa.string()), pa.array(scores, pa.float64())],
+                    names=[*batch.schema.names[:n_kept], "lang_pred", "score"],
+                )
 
     return predict
 
@@ -299,14 +306,18 @@ def predict_language(docs: DataFrame, model: LanguageModel, text: str = "text",
     Columns of ``docs`` named lang_pred or score make way for the new ones.
     """
     columns = [c for c in (docs.columns if keep is None else keep) if c.lower() not in ("lang_pred", "score")]
-    own = single_column("_text", *columns)
-    body = F.when(F.col(text).cast("string").rlike(r"\p{L}"), F.col(text).cast("string")).alias(own)
     if not model.languages:
         return docs.select(*columns, F.lit(UNDETERMINED).alias("lang_pred"), F.lit(0.0).alias("score"))
-    source = docs.select(*columns, body)
-    schema = source.drop(own).schema.add("lang_pred", "string").add("score", "double")
+    body = F.col(text).cast("string")
+    flag, own = single_column("_lettered", *columns), single_column("_text", *columns)
+    lettered = F.coalesce(body.rlike(r"\p{L}"), F.lit(False)).alias(flag)
+    # A text that is kept anyway goes to the tasks once: a second copy doubles their memory.
+    whole = text in columns and dict(docs.dtypes)[text] == "string"
+    source = docs.select(*columns, *([] if whole else [body.alias(own)]), lettered)
+    at = columns.index(text) if whole else len(columns)
+    schema = docs.select(*columns).schema.add("lang_pred", "string").add("score", "double")
     sent = docs.sparkSession.sparkContext.broadcast(model)
-    return source.mapInArrow(_predictor(sent), schema)
+    return source.mapInArrow(_predictor(sent, at, len(columns)), schema)
 
 
 def detect_languages(docs: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc_id") -> DataFrame:

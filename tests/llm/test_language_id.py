@@ -107,3 +107,22 @@ def test_languages_of_long_texts_only_are_learned(spark):
     found = {r.doc_id: r.lang_pred for r in li.detect_languages(documents(spark, given)).collect()}
     assert {found[d] for d, _, lang, _ in given if lang == "aa"} == {"aa"}
     assert {found[d] for d, _, lang, _ in given if lang == "en"} == {"en"}
+
+
+def test_a_kept_text_is_sent_once_and_comes_back_in_blocks(spark, monkeypatch):
+    given = [(i, prose(i, 400), "en", "s") for i in range(900)] + [(900, None), (901, "1 2"), (902, "the cat")]
+    docs = documents(spark, given).select("doc_id", "text", "lang")
+    model = li.build_model(SAMPLES)
+    sent, send = [], type(docs).mapInArrow
+    monkeypatch.setattr(type(docs), "mapInArrow", lambda self, f, schema: sent.append((self, f)) or send(self, f, schema))
+    found = li.predict_language(docs, model)
+    source, predict = sent[0]
+    size = docs.toArrow().nbytes
+    assert size > 2 * li.BLOCK_BYTES and source.toArrow().nbytes < 1.2 * size
+    whole = source.toArrow().combine_chunks().to_batches()
+    assert max(b.nbytes for b in predict(iter(whole))) < 1.2 * li.BLOCK_BYTES
+    kept = {r.doc_id: tuple(r) for r in found.collect()}
+    alone = li.predict_language(docs, model, keep=["doc_id"]).collect()
+    assert [r[:3] for r in sorted(kept.values())] == [(*r, "en")[:3] for r in given]
+    assert {r.doc_id: tuple(r)[1:] for r in alone} == {d: r[3:] for d, r in kept.items()}
+    assert kept[900][3:] == kept[901][3:] == ("und", 0.0) and kept[902][3] == "en"
